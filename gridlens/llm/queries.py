@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from gridlens.llm import chat_format, mixing, url_filter
+from gridlens.llm import chat_format, license_scan, mixing, token_counts, url_filter
 
 
 def queries() -> dict:
     return {
+        "op1_license_scan": license_scan.query,
         "op2_chat_format": chat_format.query,
+        "op3_token_counts": token_counts.query,
         "op8_url_filter": url_filter.query,
         "op9_mixing": mixing.query,
     }
