@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridlens.llm import chat_format, license_scan, mixing, simhash, token_counts, url_filter
+from gridlens.llm import chat_format, license_scan, mixing, simhash, suffix_dedup, token_counts, url_filter
 
 
 def queries() -> dict:
@@ -10,6 +10,7 @@ def queries() -> dict:
         "op1_license_scan": license_scan.query,
         "op2_chat_format": chat_format.query,
         "op3_token_counts": token_counts.query,
+        "op4_suffix_dedup": suffix_dedup.query,
         "op5_simhash": simhash.query,
         "op8_url_filter": url_filter.query,
         "op9_mixing": mixing.query,
