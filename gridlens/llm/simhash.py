@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import Scratch, components
+from gridlens.llm.common import Scratch, components, small
 
 RADIUS = 3
 #: Bits of the six blocks.
@@ -97,18 +97,25 @@ def block_keys(fp):
     return F.array(*out)
 
 
-def link_stars(prints: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b) with bit_count(a ^ b) <= 3 whose components are those of all links among the distinct ``prints`` (fp)."""
+def link_stars(prints: DataFrame, scratch: Scratch, name: str = "near", hubs: int = 1) -> DataFrame:
+    """(a, b) with bit_count(a ^ b) <= 3 whose components are those of all links among the distinct ``prints`` (fp).
+
+    With ``hubs`` 4 every variant has stars to four of its members, for links that are to be
+    tested further and of which some may then fall out.
+    """
     keyed = prints.select("fp", F.explode(block_keys(F.col("fp"))).alias("k"))
     shared = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
-    near = scratch.save(keyed.join(shared, "k").select("fp").distinct(), "near")
+    near = scratch.save(keyed.join(shared, "k").select("fp").distinct(), name)
     masks = F.array(*[F.lit(m) for m in ball_masks(1)])
     far = F.array(*[F.lit(m) for m in ball_masks(2)])
     one = near.select("fp", F.explode(masks).alias("m"), F.lit(True).alias("close"))
     two = near.where("bit_count(fp) % 2 = 1").select("fp", F.explode(far).alias("m"), F.lit(False).alias("close"))
     met = one.union(two).select("fp", F.col("fp").bitwiseXOR(F.col("m")).alias("v"), "close")
-    hub = met.groupBy("v").agg(F.min(F.when(F.col("close"), F.col("fp"))).alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1 and hub is not null")
-    stars = met.join(hub.select("v", "hub"), "v").where("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct()
+    centre = F.when(F.col("close"), F.col("fp"))
+    by_hash = F.when(F.col("close"), F.xxhash64("fp"))
+    chosen = [F.min(centre), F.max(centre), F.min_by(centre, by_hash), F.max_by(centre, by_hash)][:hubs]
+    hub = met.groupBy("v").agg(F.array_distinct(F.array(*chosen)).alias("hubs"), F.count(F.lit(1)).alias("n")).where("n > 1 and hubs[0] is not null")
+    stars = met.join(hub.select("v", "hubs"), "v").select(F.col("fp").alias("a"), F.explode("hubs").alias("b")).where("a <> b").distinct()
     return stars.where(f"bit_count(a ^ b) <= {RADIUS}")
 
 
@@ -133,6 +140,140 @@ def near_duplicates(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return rows.join(joined, "fp").select("doc_id", *keep, "fp", "class_id", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+#: Fingerprints of a document in ``keep_one``, each under its own hash; words of the shingles that
+#: verify a link, and the Jaccard similarity that they must have.
+TABLES, VERIFY_WORDS, SIMILARITY = 4, 5, 0.8
+#: A word weighs its length, up to a bound, to this power: long words are rare, and a few rare words
+#: stay as they are in a near copy while unrelated texts do not share them.
+LENGTH_POWER, LENGTH_BOUND = 6, 30
+
+
+def _table_bits(h: np.ndarray, table: int) -> np.ndarray:
+    """Other 64 bits for the hashes, by table."""
+    x = h + np.uint64(0x9E3779B97F4A7C15 * table % 2**64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_fingerprints(text: bytes | None, tables: int = TABLES) -> list[int]:
+    """Fingerprints over the single words of a text, weighed by length, one for each table."""
+    import xxhash
+
+    counts: dict[bytes, int] = {}
+    for w in (text or b"").lower().split():
+        counts[w] = counts.get(w, 0) + 1
+    if not counts:
+        return [0] * tables
+    h = np.array([xxhash.xxh64_intdigest(w, 42) for w in counts], dtype=np.uint64)
+    n = np.array([k * float(min(len(w), LENGTH_BOUND)) ** LENGTH_POWER for w, k in counts.items()])
+    out = []
+    for t in range(tables):
+        bits = np.unpackbits(_table_bits(h, t).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones = n @ bits
+        out.append(int(np.packbits(ones * 2 > n.sum(), bitorder="little").view("<i8")[0]))
+    return out
+
+
+def shingle_set(text: bytes | None, n: int = VERIFY_WORDS) -> np.ndarray:
+    import xxhash
+
+    words = (text or b"").lower().split()
+    found = {xxhash.xxh64_intdigest(b" ".join(words[i : i + n])) for i in range(max(1, len(words) - n + 1))} if words else set()
+    return np.fromiter(found, dtype=np.uint64, count=len(found))
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` whose texts (key, text) are SIMILARITY alike over VERIFY_WORDS words."""
+
+    @F.pandas_udf("boolean")
+    def alike(left: pd.Series, right: pd.Series) -> pd.Series:
+        out, last, held = [], None, None
+        for a, b in zip(left, right, strict=True):
+            if b != last:  # the hub's, which often comes again
+                last, held = b, shingle_set(b)
+            out.append(jaccard(shingle_set(a), held) >= SIMILARITY)
+        return pd.Series(out, dtype=bool)
+
+    first = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
+    both = first.join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
+    return both.where(alike("ta", "tb")).select("a", "b")
+
+
+def candidate_pairs(texts: DataFrame, scratch: Scratch, tables: int = TABLES) -> DataFrame:
+    """(a, b): keys of ``texts`` (key, fp0, fp1, ...) of which b is a hub of a under one of the tables:
+    an outer key of the same fingerprint, or of one within the radius."""
+    out = None
+    for t in range(tables):
+        own = texts.select("key", F.col(f"fp{t}").alias("fp"))
+        classes = scratch.save(own.groupBy("fp").agg(F.min("key").alias("hub"), F.max("key").alias("other")), f"classes{t}")
+        same = own.join(classes, "fp").select(F.col("key").alias("a"), F.explode(F.array("hub", "other")).alias("b")).where("a <> b")
+        stars = link_stars(classes.select("fp"), scratch, f"near{t}", hubs=4)
+        ends = stars.join(classes.select(F.col("fp").alias("a"), F.col("hub").alias("ka")), "a").join(classes.select(F.col("fp").alias("b"), F.col("hub").alias("kb")), "b")
+        found = same.union(ends.select(F.col("ka").alias("a"), F.col("kb").alias("b")))
+        out = found if out is None else out.union(found)
+    return out.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def near_copies(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, bool]:
+    """(key, doc_id) of the rows that go, key the digest of the text, and whether rows are repeated.
+
+    Of each group of near copies the row of the least doc_id stays.
+    """
+    tables = [f"fp{t}" for t in range(TABLES)]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            fps = [word_fingerprints(t) for t in batch["text"]]
+            yield batch[["doc_id", "key"]].assign(**{c: [f[i] for f in fps] for i, c in enumerate(tables)})
+
+    rows = docs.select("doc_id", digest().alias("key"), F.col("text").cast("binary").alias("text"))
+    kinds = dict(rows.dtypes)
+    rows = rows.mapInPandas(run, f"doc_id {kinds['doc_id']}, key string, " + ", ".join(f"{c} long" for c in tables))
+    rows = scratch.save(rows.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n"), *[F.min(c).alias(c) for c in tables]), "rows")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"))
+    texts = scratch.save(rows.groupBy("key").agg(F.min(rank).alias("rank"), *[F.min(c).alias(c) for c in tables]), "texts")
+    pairs = scratch.save(candidate_pairs(texts, scratch), "pairs")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(texts, "key").select("key", F.col("rank.doc_id").alias("_first"))
+    needed = scratch.save(needed, "needed")
+    again = docs.select("doc_id", digest().alias("key"), F.col("text").cast("binary").alias("text")).join(small(needed, needed.count()), "key").where("doc_id <=> _first")
+    again = scratch.save(again.dropDuplicates(["key"]).select("key", "text"), "needed_texts")
+    links = scratch.save(verified(pairs, again), "links")
+    kept = texts.select("key", "rank", F.col("key").alias("group"))
+    if not links.isEmpty():
+        member = scratch.save(components(links, scratch), "members")
+        kept = texts.select("key", "rank").join(member.withColumnRenamed("node", "key"), "key", "left").select("key", "rank", F.coalesce("component", "key").alias("group"))
+    best = kept.groupBy("group").agg(F.min(F.struct("rank", "key")).alias("best")).select("best.key", F.col("best.rank.doc_id").alias("_stays"), F.lit(True).alias("_is"))
+    gone = rows.join(best, "key", "left").where("not coalesce(_is and doc_id <=> _stays, false)").select("key", "doc_id")
+    return scratch.save(gone, "gone"), not rows.where("n > 1").isEmpty()
+
+
+def digest(col: str = "text"):
+    return F.md5(F.coalesce(F.col(col), F.lit("")).cast("binary"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """docs with one document of each group of near copies, that of the least doc_id.
+
+    Exact copies of a text are one at once, counted in every task before they meet. Of the
+    distinct texts those are candidates whose word fingerprints lie within the radius under any
+    of TABLES hashes, as stars; a candidate is linked if the two texts are SIMILARITY alike over
+    VERIFY_WORDS-word shingles. Rows of equal doc_id and text: one stays; a null doc_id sorts
+    last; null and empty texts are copies of each other. All columns stay.
+    """
+    gone, repeated = near_copies(docs.select("doc_id", "text"), Scratch(docs.sparkSession, "nearcopies"))
+    gone = gone.select(F.col("key").alias("_key"), F.col("doc_id").alias("_gone"))
+    left = docs.join(small(gone, gone.count()), (digest() == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    if repeated:
+        left = left.withColumn("_digest", digest()).dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+    return left
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = near_duplicates(docs)
