@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows up to which a small side may be broadcast; beyond it a shuffle join is used.
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 20_000
 
 _own_dir: str | None = None
 

@@ -71,15 +71,14 @@ def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return rows.mapInPandas(run, ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != "text") + ", fp long")
 
 
-def _flip(bits: int) -> int:
-    return bits - (1 << 64) if bits >= 1 << 63 else bits
+def ball_masks(steps: int):
+    """Array of the flips' masks: none and single bits at 1 step, pairs within a half at 2.
 
-
-def ball_masks(steps: int) -> list[int]:
-    """Masks of the flips: none and single bits at 1 step, pairs within a half at 2."""
+    Written as a rule, so that plans stay short.
+    """
     if steps == 1:
-        return [0, *(_flip(1 << i) for i in range(64))]
-    return [_flip(1 << i | 1 << j) for half in (range(32), range(32, 64)) for i, j in combinations(half, 2)]
+        return F.expr("concat(array(0L), transform(sequence(0, 63), i -> shiftleft(1L, i)))")
+    return F.expr("flatten(transform(sequence(0, 62), i -> transform(filter(sequence(i + 1, 63), j -> i div 32 = j div 32), j -> shiftleft(1L, i) | shiftleft(1L, j))))")
 
 
 def block_keys(fp):
@@ -106,10 +105,9 @@ def link_stars(prints: DataFrame, scratch: Scratch, name: str = "near", hubs: in
     keyed = prints.select("fp", F.explode(block_keys(F.col("fp"))).alias("k"))
     shared = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
     near = scratch.save(keyed.join(shared, "k").select("fp").distinct(), name)
-    masks = F.array(*[F.lit(m) for m in ball_masks(1)])
-    far = F.array(*[F.lit(m) for m in ball_masks(2)])
-    one = near.select("fp", F.explode(masks).alias("m"), F.lit(True).alias("close"))
-    two = near.where("bit_count(fp) % 2 = 1").select("fp", F.explode(far).alias("m"), F.lit(False).alias("close"))
+    near = near.repartition(2 * max(prints.sparkSession.sparkContext.defaultParallelism, 1), "fp")  # few rows, many variants
+    one = near.select("fp", F.explode(ball_masks(1)).alias("m"), F.lit(True).alias("close"))
+    two = near.where("bit_count(fp) % 2 = 1").select("fp", F.explode(ball_masks(2)).alias("m"), F.lit(False).alias("close"))
     met = one.union(two).select("fp", F.col("fp").bitwiseXOR(F.col("m")).alias("v"), "close")
     centre = F.when(F.col("close"), F.col("fp"))
     by_hash = F.when(F.col("close"), F.xxhash64("fp"))
@@ -142,10 +140,10 @@ def near_duplicates(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 #: Fingerprints of a document in ``keep_one``, each under its own hash; words of the shingles that
 #: verify a link, and the Jaccard similarity that they must have.
-TABLES, VERIFY_WORDS, SIMILARITY = 4, 5, 0.8
+TABLES, VERIFY_WORDS, SIMILARITY = 6, 5, 0.8
 #: A word weighs its length, up to a bound, to this power: long words are rare, and a few rare words
 #: stay as they are in a near copy while unrelated texts do not share them.
-LENGTH_POWER, LENGTH_BOUND = 6, 30
+LENGTH_POWER, LENGTH_BOUND = 4, 30
 
 
 def _table_bits(h: np.ndarray, table: int) -> np.ndarray:
@@ -209,13 +207,14 @@ def candidate_pairs(texts: DataFrame, scratch: Scratch, tables: int = TABLES) ->
     """(a, b): keys of ``texts`` (key, fp0, fp1, ...) of which b is a hub of a under one of the tables:
     an outer key of the same fingerprint, or of one within the radius."""
     out = None
-    for t in range(tables):
+    for t in range(tables):  # one table after the other: short plans, and the same code for each
         own = texts.select("key", F.col(f"fp{t}").alias("fp"))
-        classes = scratch.save(own.groupBy("fp").agg(F.min("key").alias("hub"), F.max("key").alias("other")), f"classes{t}")
+        classes = scratch.save(own.groupBy("fp").agg(F.min("key").alias("hub"), F.max("key").alias("other")), "classes")
         same = own.join(classes, "fp").select(F.col("key").alias("a"), F.explode(F.array("hub", "other")).alias("b")).where("a <> b")
-        stars = link_stars(classes.select("fp"), scratch, f"near{t}", hubs=4)
+        stars = scratch.save(link_stars(classes.select("fp"), scratch, "near", hubs=4), "stars")
         ends = stars.join(classes.select(F.col("fp").alias("a"), F.col("hub").alias("ka")), "a").join(classes.select(F.col("fp").alias("b"), F.col("hub").alias("kb")), "b")
-        found = same.union(ends.select(F.col("ka").alias("a"), F.col("kb").alias("b")))
+        found = scratch.save(same.union(ends.select(F.col("ka").alias("a"), F.col("kb").alias("b"))), f"pairs{t}")
+        scratch.drop("classes", "near", "stars")
         out = found if out is None else out.union(found)
     return out.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
