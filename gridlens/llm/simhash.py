@@ -24,6 +24,7 @@ are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -31,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import Scratch, components, small
+from gridlens.llm.common import Scratch, components
 
 RADIUS = 3
 #: Bits of the six blocks.
@@ -99,7 +100,7 @@ def block_keys(fp):
 def link_stars(prints: DataFrame, scratch: Scratch, name: str = "near", hubs: int = 1) -> DataFrame:
     """(a, b) with bit_count(a ^ b) <= 3 whose components are those of all links among the distinct ``prints`` (fp).
 
-    With ``hubs`` 4 every variant has stars to four of its members, for links that are to be
+    With ``hubs`` 2 every variant has stars to its least and its greatest, for links that are to be
     tested further and of which some may then fall out.
     """
     keyed = prints.select("fp", F.explode(block_keys(F.col("fp"))).alias("k"))
@@ -110,8 +111,7 @@ def link_stars(prints: DataFrame, scratch: Scratch, name: str = "near", hubs: in
     two = near.where("bit_count(fp) % 2 = 1").select("fp", F.explode(ball_masks(2)).alias("m"), F.lit(False).alias("close"))
     met = one.union(two).select("fp", F.col("fp").bitwiseXOR(F.col("m")).alias("v"), "close")
     centre = F.when(F.col("close"), F.col("fp"))
-    by_hash = F.when(F.col("close"), F.xxhash64("fp"))
-    chosen = [F.min(centre), F.max(centre), F.min_by(centre, by_hash), F.max_by(centre, by_hash)][:hubs]
+    chosen = [F.min(centre), F.max(centre)][:hubs]
     hub = met.groupBy("v").agg(F.array_distinct(F.array(*chosen)).alias("hubs"), F.count(F.lit(1)).alias("n")).where("n > 1 and hubs[0] is not null")
     stars = met.join(hub.select("v", "hubs"), "v").select(F.col("fp").alias("a"), F.explode("hubs").alias("b")).where("a <> b").distinct()
     return stars.where(f"bit_count(a ^ b) <= {RADIUS}")
@@ -143,7 +143,7 @@ def near_duplicates(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 TABLES, VERIFY_WORDS, SIMILARITY = 6, 5, 0.8
 #: A word weighs its length, up to a bound, to this power: long words are rare, and a few rare words
 #: stay as they are in a near copy while unrelated texts do not share them.
-LENGTH_POWER, LENGTH_BOUND = 4, 30
+LENGTH_POWER, LENGTH_BOUND = 6, 12
 
 
 def _table_bits(h: np.ndarray, table: int) -> np.ndarray:
@@ -203,20 +203,25 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.where(alike("ta", "tb")).select("a", "b")
 
 
-def candidate_pairs(texts: DataFrame, scratch: Scratch, tables: int = TABLES) -> DataFrame:
-    """(a, b): keys of ``texts`` (key, fp0, fp1, ...) of which b is a hub of a under one of the tables:
-    an outer key of the same fingerprint, or of one within the radius."""
-    out = None
-    for t in range(tables):  # one table after the other: short plans, and the same code for each
-        own = texts.select("key", F.col(f"fp{t}").alias("fp"))
-        classes = scratch.save(own.groupBy("fp").agg(F.min("key").alias("hub"), F.max("key").alias("other")), "classes")
-        same = own.join(classes, "fp").select(F.col("key").alias("a"), F.explode(F.array("hub", "other")).alias("b")).where("a <> b")
-        stars = scratch.save(link_stars(classes.select("fp"), scratch, "near", hubs=4), "stars")
-        ends = stars.join(classes.select(F.col("fp").alias("a"), F.col("hub").alias("ka")), "a").join(classes.select(F.col("fp").alias("b"), F.col("hub").alias("kb")), "b")
-        found = scratch.save(same.union(ends.select(F.col("ka").alias("a"), F.col("kb").alias("b"))), f"pairs{t}")
-        scratch.drop("classes", "near", "stars")
-        out = found if out is None else out.union(found)
-    return out.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+def candidate_pairs(texts: DataFrame, scratch: Scratch, table: int) -> DataFrame:
+    """(a, b), a > b: keys of ``texts`` (key, fp0, fp1, ...) of which one is a hub of the other in a
+    table: an outer key of the same fingerprint, or of one within the radius."""
+    own = texts.select("key", F.col(f"fp{table}").alias("fp"))
+    classes = scratch.save(own.groupBy("fp").agg(F.min("key").alias("hub"), F.max("key").alias("other")), "classes")
+    same = own.join(classes, "fp").select(F.col("key").alias("a"), F.explode(F.array("hub", "other")).alias("b")).where("a <> b")
+    stars = scratch.save(link_stars(classes.select("fp"), scratch, "near", hubs=2), "stars")
+    ends = stars.join(classes.select(F.col("fp").alias("a"), F.col("hub").alias("ka")), "a").join(classes.select(F.col("fp").alias("b"), F.col("hub").alias("kb")), "b")
+    found = same.union(ends.select(F.col("ka").alias("a"), F.col("kb").alias("b")))
+    found = scratch.save(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"pairs{table}")
+    scratch.drop("classes", "near", "stars")
+    return found
+
+
+def not_linked(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """Pairs that ``links`` (a, b) do not hang on the same least text already."""
+    least = links.groupBy("a").agg(F.min("b").alias("l"))
+    named = pairs.join(least.select("a", F.col("l").alias("la")), "a", "left").join(least.select(F.col("a").alias("b"), F.col("l").alias("lb")), "b", "left")
+    return named.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
 
 
 def near_copies(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, bool]:
@@ -237,12 +242,15 @@ def near_copies(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, bool]:
     rows = scratch.save(rows.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n"), *[F.min(c).alias(c) for c in tables]), "rows")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"))
     texts = scratch.save(rows.groupBy("key").agg(F.min(rank).alias("rank"), *[F.min(c).alias(c) for c in tables]), "texts")
-    pairs = scratch.save(candidate_pairs(texts, scratch), "pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(texts, "key").select("key", F.col("rank.doc_id").alias("_first"))
-    needed = scratch.save(needed, "needed")
-    again = docs.select("doc_id", digest().alias("key"), F.col("text").cast("binary").alias("text")).join(small(needed, needed.count()), "key").where("doc_id <=> _first")
+    # one table after the other: short plans, and the same code for each
+    pairs = [candidate_pairs(texts, scratch, t) for t in range(TABLES)]
+    every = reduce(DataFrame.union, pairs).select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    needed = scratch.save(every.join(texts, "key").select("key", F.col("rank.doc_id").alias("_first")), "needed")
+    again = docs.select("doc_id", digest().alias("key"), F.col("text").cast("binary").alias("text")).join(needed.hint("merge"), "key").where("doc_id <=> _first")
     again = scratch.save(again.dropDuplicates(["key"]).select("key", "text"), "needed_texts")
-    links = scratch.save(verified(pairs, again), "links")
+    links = scratch.save(verified(pairs[0], again), "links0")
+    for t in range(1, TABLES):
+        links = scratch.save(links.union(verified(not_linked(pairs[t], links), again)), f"links{t}")
     kept = texts.select("key", "rank", F.col("key").alias("group"))
     if not links.isEmpty():
         member = scratch.save(components(links, scratch), "members")
@@ -267,7 +275,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     gone, repeated = near_copies(docs.select("doc_id", "text"), Scratch(docs.sparkSession, "nearcopies"))
     gone = gone.select(F.col("key").alias("_key"), F.col("doc_id").alias("_gone"))
-    left = docs.join(small(gone, gone.count()), (digest() == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    left = docs.join(gone.hint("merge"), (digest() == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
     if repeated:
         left = left.withColumn("_digest", digest()).dropDuplicates(["doc_id", "_digest"]).drop("_digest")
     return left

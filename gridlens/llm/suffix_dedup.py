@@ -258,7 +258,8 @@ def cut_repeats(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR) -> Da
     """
     spark = docs.sparkSession
     found = Scratch(spark, "repeats").save(repeats(docs, least, anchor).where("size(copies) > 0").select(F.col("doc_id").alias("_id"), "copies"), "found")
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    # the copies grow with the corpus: shuffled, at every size alike
+    joined = docs.join(found.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, copies: pd.Series) -> pd.Series:
