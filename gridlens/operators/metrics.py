@@ -127,42 +127,74 @@ def _iou_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(u > 0, w * h / np.where(u > 0, u, 1), 0.0)
 
 
+def _coco_image(pb: np.ndarray, gb: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """tp and ignored by (area range, IoU, prediction in order of rank), and the boxes counted by range.
+
+    A prediction takes the best box that is free, one outside the range only if no other fits.
+    """
+    size = lambda x: (x[:, 2] - x[:, 0]) * (x[:, 3] - x[:, 1])
+    n, ranges = len(pb), list(COCO_AREAS.values())
+    skip = np.array([(size(gb) < lo) | (size(gb) > hi) for lo, hi in ranges]).reshape(len(ranges), len(gb))
+    outside = np.array([(size(pb) < lo) | (size(pb) > hi) for lo, hi in ranges]).reshape(len(ranges), n)
+    tp = np.zeros((len(ranges), len(COCO_IOU), n), bool)
+    ignored = np.repeat(outside[:, None, :], len(COCO_IOU), axis=1)
+    m = _iou_matrix(pb, gb)
+    for k, t in enumerate(COCO_IOU):
+        if not m.size or m.max() < t:
+            continue
+        for r in range(len(ranges)):
+            used, order = np.zeros(len(gb), bool), np.argsort(skip[r], kind="stable")
+            for i in range(n):
+                best, at = min(t, 1 - 1e-10), -1
+                for j in order:
+                    if used[j] or m[i, j] < best:
+                        continue
+                    if at >= 0 and not skip[r, at] and skip[r, j]:
+                        break
+                    best, at = m[i, j], j
+                if at >= 0:
+                    used[at] = True
+                    ignored[r, k, i] = skip[r, at]
+                    tp[r, k, i] = not skip[r, at]
+    return tp, ignored, (~skip).sum(axis=1)
+
+
 def coco_matches(preds: DataFrame, truth: DataFrame, scale: float = 640.0) -> DataFrame:
-    """Per image, class, area range and IoU: predictions with tp and ignored, ``rank`` in the image, and the boxes counted (n_gt in rank 0 rows)."""
-
-    def run(key, p: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
-        img, cls = key
-        p = p.sort_values(["score", "cand"], ascending=[False, True]).head(COCO_MOST)
-        g = g.sort_values("gt")
-        pb, gb = p[list(BOX)].to_numpy(float) * scale, g[list(BOX)].to_numpy(float) * scale
-        m = _iou_matrix(pb, gb) if len(p) and len(g) else np.zeros((len(p), len(g)))
-        size = lambda x: (x[:, 2] - x[:, 0]) * (x[:, 3] - x[:, 1])
-        out = []
-        for name, (lo, hi) in COCO_AREAS.items():
-            skip = (size(gb) < lo) | (size(gb) > hi) if len(g) else np.zeros(0, bool)
-            outside = (size(pb) < lo) | (size(pb) > hi) if len(p) else np.zeros(0, bool)
-            order = np.argsort(skip, kind="stable")
-            for t in COCO_IOU:
-                used = np.zeros(len(g), bool)
-                out.append((img, cls, name, t, 0, 0.0, False, True, int((~skip).sum())))
-                for i in range(len(p)):
-                    best, at = min(t, 1 - 1e-10), -1
-                    for j in order:
-                        if used[j]:
-                            continue
-                        if at >= 0 and not skip[at] and skip[j]:
-                            break
-                        if m[i, j] >= best:
-                            best, at = m[i, j], j
-                    if at >= 0:
-                        used[at] = True
-                    ignored = bool(skip[at]) if at >= 0 else bool(outside[i])
-                    out.append((img, cls, name, t, i + 1, float(p["score"].iloc[i]), at >= 0 and not ignored, ignored, 0))
-        return pd.DataFrame(out, columns=["img", "cls", "area", "th", "rank", "score", "tp", "ignored", "n_gt"])
+    """By image, class, area range and IoU: predictions with tp, ignored and their rank in the image; rows of rank 0 hold the boxes counted (n_gt).
+
+    Images are dealt to buckets, each a pass over arrays; an image's boxes of a class are matched together.
+    """
+    buckets = 4 * int(preds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(p: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values(["img", "cls", "score", "cand"], ascending=[True, True, False, True], kind="stable")
+        g = g.sort_values(["img2", "cls2", "gt"], kind="stable")
+        pk, gk = (d.to_numpy(np.int64) for d in (p[["img", "cls"]], g[["img2", "cls2"]]))
+        pb, gb, score = p[list(BOX)].to_numpy(float) * scale, g[[f"g_{c}" for c in BOX]].to_numpy(float) * scale, p["score"].to_numpy(float)
+        at: dict[tuple[int, int], list[slice]] = {}
+        for side, keys in ((0, pk), (1, gk)):
+            cut = np.nonzero(np.any(np.diff(keys, axis=0) != 0, axis=1))[0] + 1 if len(keys) else np.empty(0, int)
+            for a, b in zip(np.concatenate(([0], cut)), np.concatenate((cut, [len(keys)])), strict=True):
+                if b > a:
+                    at.setdefault(tuple(keys[a]), [slice(0, 0), slice(0, 0)])[side] = slice(a, b)
+        parts = []
+        areas, ths = np.array(list(COCO_AREAS)), np.array(COCO_IOU)
+        for (img, cls), (ps, gs) in at.items():
+            ps = slice(ps.start, min(ps.stop, ps.start + COCO_MOST))
+            tp, ignored, n_gt = _coco_image(pb[ps], gb[gs])
+            n = tp.shape[2]
+            shape = (len(areas), len(ths), n + 1)
+            head = np.zeros(shape[:2] + (1,))
+            col = {"area": np.broadcast_to(areas[:, None, None], shape), "th": np.broadcast_to(ths[None, :, None], shape), "rank": np.broadcast_to(np.arange(n + 1), shape)}
+            col["score"] = np.broadcast_to(np.concatenate(([0.0], score[ps])), shape)
+            col["tp"], col["ignored"] = np.concatenate((head > 0, tp), axis=2), np.concatenate((head == 0, ignored), axis=2)
+            col["n_gt"] = np.concatenate((np.repeat(n_gt[:, None, None], len(ths), axis=1), np.zeros(shape[:2] + (n,), int)), axis=2)
+            parts.append({"img": np.full(np.prod(shape), img), "cls": np.full(np.prod(shape), cls)} | {k: v.ravel() for k, v in col.items()})
+        return pd.DataFrame({c: np.concatenate([x[c] for x in parts]) for c in parts[0]})
 
     cols = "img long, cls long, area string, th double, rank int, score double, tp boolean, ignored boolean, n_gt long"
-    a = preds.select("img", F.col("cls").cast("long").alias("cls"), "cand", "score", *BOX).groupBy("img", "cls")
-    b = truth.select("img", F.col("cls").cast("long").alias("cls"), "gt", *BOX).groupBy("img", "cls")
+    a = preds.select(F.pmod(F.xxhash64("img"), F.lit(buckets)).alias("b"), "img", F.col("cls").cast("long").alias("cls"), "cand", "score", *BOX).groupBy("b")
+    b = truth.select(F.pmod(F.xxhash64("img"), F.lit(buckets)).alias("b2"), F.col("img").alias("img2"), F.col("cls").cast("long").alias("cls2"), "gt", *[F.col(c).alias(f"g_{c}") for c in BOX]).groupBy("b2")
     return a.cogroup(b).applyInPandas(run, cols)
 
 

@@ -205,7 +205,7 @@ def _(t):
 
 def knn_sql(k: int, th: float, source: str = "embeddings") -> str:
     return f"""WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e, row_number() OVER (ORDER BY vec_id) AS i FROM {source}),
-u AS (SELECT i, vec_id, list_transform(e, x -> x / greatest(sqrt(list_inner_product(e, e)), 1e-8)) AS e FROM v),
+u AS (SELECT i, vec_id, list_transform(e, lambda x: x / greatest(sqrt(list_inner_product(e, e)), 1e-8)) AS e FROM v),
 n AS (SELECT a.i, b.i AS j, list_inner_product(a.e, b.e) AS s FROM u a, u b),
 top AS (SELECT i, j, s FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY (i <> j)::INT, s DESC, j) AS rn FROM n) x WHERE rn <= {k} AND i <> j AND s >= {th}e0),
 bad AS (SELECT u.i, coalesce(list(t.i) FILTER (t.i < u.i), []) AS s FROM u LEFT JOIN top t ON t.j = u.i GROUP BY u.i),

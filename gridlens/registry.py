@@ -18,7 +18,7 @@ def register(name: str, run: Callable, sql: str | None = None) -> None:
 
 
 #: Modules that register queries when they are imported.
-MODULES = ("state_queries", "box_queries", "eval_queries")
+MODULES = ("state_queries", "box_queries", "eval_queries", "misc_queries")
 
 
 def _load() -> None:
