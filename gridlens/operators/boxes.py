@@ -73,7 +73,8 @@ def nested(h_tolerance: float) -> Callable[[Column, Column], Column]:
     return test
 
 
-SCORE_FIRST = (-F.col("score"), F.col("cand"))
+def score_first() -> tuple[Column, Column]:
+    return -F.col("score"), F.col("cand")
 
 
 def pairs(rows: DataFrame, by: Sequence[str], key: str = "cand", keep: Sequence[str] = ()) -> DataFrame:

@@ -275,23 +275,28 @@ def _(t):
 
 
 def nms(name: str, sql: str, by, order, test, source=lambda t: t.detections):
-    query(name, sql)(lambda t: B.greedy(source(t), by, order, test).select("cand"))
+    query(name, sql)(lambda t: B.greedy(source(t), by, order(), test).select("cand"))
 
 
 IOU = iou("k", "x")
-nms("nms_torch", fold(D, "img", "score DESC, cand", f"{inter('k', 'x')} / ({union('k', 'x')} + 1e-6) > 0.5e0"), ["img"], B.SCORE_FIRST, B.over(0.5, True, 1e-6))
-nms("nms_class", fold(D, "img, cls", "score DESC, cand", f"{IOU} > 0.5e0"), ["img", "cls"], B.SCORE_FIRST, B.over(0.5))
-nms("nms_ge", fold(D, "img, cls", "score DESC, cand", f"{IOU} >= 0.5e0"), ["img", "cls"], B.SCORE_FIRST, B.over(0.5, False))
-nms("nms_eval", fold(D, "img, model", "score DESC, cand", f"coalesce(NOT ({inter('k', 'x')} / nullif({union('k', 'x')}, 0) <= 0.5e0), true)"), ["img", "model"], B.SCORE_FIRST, B.over_or_empty(0.5))
-nms("nms_uniform", fold(D, "img", "cand DESC", f"{IOU} > 0.5e0"), ["img"], (-F.col("cand"),), B.over(0.5))
+nms("nms_torch", fold(D, "img", "score DESC, cand", f"{inter('k', 'x')} / ({union('k', 'x')} + 1e-6) > 0.5e0"), ["img"], B.score_first, B.over(0.5, True, 1e-6))
+nms("nms_class", fold(D, "img, cls", "score DESC, cand", f"{IOU} > 0.5e0"), ["img", "cls"], B.score_first, B.over(0.5))
+nms("nms_ge", fold(D, "img, cls", "score DESC, cand", f"{IOU} >= 0.5e0"), ["img", "cls"], B.score_first, B.over(0.5, False))
+nms("nms_eval", fold(D, "img, model", "score DESC, cand", f"coalesce(NOT ({inter('k', 'x')} / nullif({union('k', 'x')}, 0) <= 0.5e0), true)"), ["img", "model"], B.score_first, B.over_or_empty(0.5))
+nms("nms_uniform", fold(D, "img", "cand DESC", f"{IOU} > 0.5e0"), ["img"], lambda: (-F.col("cand"),), B.over(0.5))
 SMALL = f"least({area('k')}, {area('x')}) / greatest({area('k')}, {area('x')}) < 0.875e0"
 INSIDE = f"CASE WHEN {area('x')} < {area('k')} THEN {inter('k', 'x')} / {area('x')} >= 0.85e0 ELSE {inter('k', 'x')} / {area('k')} >= 0.85e0 END"
-nms("nms_size_aware", fold(D, "img, cls", "score DESC, cand", f"{IOU} >= 0.5e0 AND NOT ({SMALL} AND {INSIDE})"), ["img", "cls"], B.SCORE_FIRST, B.size_aware(0.5, 0.875))
-nms("nms_dedup_v2", fold(D, "img, cls", "score DESC, cand", f"{IOU} >= 0.625e0"), ["img", "cls"], B.SCORE_FIRST, B.over(0.625, False))
+nms("nms_size_aware", fold(D, "img, cls", "score DESC, cand", f"{IOU} >= 0.5e0 AND NOT ({SMALL} AND {INSIDE})"), ["img", "cls"], B.score_first, B.size_aware(0.5, 0.875))
+nms("nms_dedup_v2", fold(D, "img, cls", "score DESC, cand", f"{IOU} >= 0.625e0"), ["img", "cls"], B.score_first, B.over(0.625, False))
 BY_AREA = "(x2 - x1) * (y2 - y1) DESC, cand"
-AREA_FIRST = (-G.area(G.box()), F.col("cand"))
-nms("nms_nested", fold(D, "img", BY_AREA, "x.x1 >= k.x1 AND x.y1 >= k.y1 AND x.x2 <= k.x2 AND x.y2 <= k.y2 AND abs(1 - (x.y2 - x.y1) / (k.y2 - k.y1)) <= 0.15e0"), ["img"], AREA_FIRST, B.nested(0.15))
-nms("nms_cross_query", fold("SELECT * FROM detections WHERE model IN (0, 2)", "img", "score DESC, cand", f"{IOU} > 0.5e0"), ["img"], B.SCORE_FIRST, B.over(0.5), lambda t: t.detections.where("model in (0, 2)"))
+
+
+def area_first():
+    return -G.area(G.box()), F.col("cand")
+
+
+nms("nms_nested", fold(D, "img", BY_AREA, "x.x1 >= k.x1 AND x.y1 >= k.y1 AND x.x2 <= k.x2 AND x.y2 <= k.y2 AND abs(1 - (x.y2 - x.y1) / (k.y2 - k.y1)) <= 0.15e0"), ["img"], area_first, B.nested(0.15))
+nms("nms_cross_query", fold("SELECT * FROM detections WHERE model IN (0, 2)", "img", "score DESC, cand", f"{IOU} > 0.5e0"), ["img"], B.score_first, B.over(0.5), lambda t: t.detections.where("model in (0, 2)"))
 
 
 @query("nms_inner", f"""SELECT cand FROM detections x WHERE NOT EXISTS (SELECT 1 FROM detections k WHERE k.img = x.img AND {area('k')} > {area('x')}
@@ -308,7 +313,7 @@ def _(t):
 
 @query("pipe_merge", fold(D, "img, cls", "score DESC, cand", f"{IOU} >= 0.5e0 AND NOT ({SMALL} AND {INSIDE})", "img, cls, cand, model"))
 def _(t):
-    return B.greedy(t.detections, ["img", "cls"], B.SCORE_FIRST, B.size_aware(0.5, 0.875)).select("img", "cls", "cand", "model")
+    return B.greedy(t.detections, ["img", "cls"], B.score_first(), B.size_aware(0.5, 0.875)).select("img", "cls", "cand", "model")
 
 
 FIRST_PASS = fold("SELECT * FROM detections WHERE score >= 0.25e0", "img, model", "score DESC, cand", f"{IOU} >= 0.5e0", "*").replace("SELECT * FROM ranked", "SELECT cand, img, cls, model, score / max(score) OVER (PARTITION BY model) AS score, x1, y1, x2, y2 FROM ranked")
@@ -316,10 +321,10 @@ FIRST_PASS = fold("SELECT * FROM detections WHERE score >= 0.25e0", "img, model"
 
 @query("pipe_fl_pj", fold(D, "img", "score DESC, cand", f"{IOU} >= 0.5e0").replace("WITH RECURSIVE src AS (SELECT * FROM detections)", "WITH RECURSIVE " + FIRST_PASS[len("WITH RECURSIVE "):].replace("src", "src0").replace("ranked", "ranked0").replace("sup", "sup0").replace("walk", "walk0").replace("SELECT cand, img, cls", "src AS (SELECT cand, img, cls").replace(" JOIN kept USING (img, model, rn)", " JOIN kept0 USING (img, model, rn))").replace("kept AS (SELECT img, model", "kept0 AS (SELECT img, model").replace("GROUP BY img, model)\n", "GROUP BY img, model),\n")))
 def _(t):
-    one = B.greedy(t.detections.where("score >= 0.25"), ["img", "model"], B.SCORE_FIRST, B.over(0.5, False))
+    one = B.greedy(t.detections.where("score >= 0.25"), ["img", "model"], B.score_first(), B.over(0.5, False))
     top = one.groupBy("model").agg(F.max("score").alias("_m"))
     scaled = one.join(F.broadcast(top), "model").withColumn("score", F.col("score") / F.col("_m")).drop("_m")  # one row a model
-    return B.greedy(scaled, ["img"], B.SCORE_FIRST, B.over(0.5, False)).select("cand")
+    return B.greedy(scaled, ["img"], B.score_first(), B.over(0.5, False)).select("cand")
 
 
 # clusters and rules
@@ -423,7 +428,7 @@ def _(t):
 
 @query("agg_nms_stats", fold(D, "img, model", "score DESC, cand", f"{IOU} > 0.5e0", "model, count(*) AS kept") + " GROUP BY model")
 def _(t):
-    return B.greedy(t.detections, ["img", "model"], B.SCORE_FIRST, B.over(0.5)).groupBy("model").agg(F.count(F.lit(1)).alias("kept"))
+    return B.greedy(t.detections, ["img", "model"], B.score_first(), B.over(0.5)).groupBy("model").agg(F.count(F.lit(1)).alias("kept"))
 
 
 @query("agg_conf_prompts", "SELECT model, cls, count(DISTINCT img) AS images, count(*) AS n, round(avg(score), 6) AS mean_score FROM detections GROUP BY model, cls")

@@ -127,7 +127,7 @@ def _(t):
     """Kept boxes and their true positives for every model and suppression threshold, all in one plan."""
     out = None
     for th in SWEEP:
-        kept = B.greedy(t.detections, ["img", "cls", "model"], B.SCORE_FIRST, B.over(th))
+        kept = B.greedy(t.detections, ["img", "cls", "model"], B.score_first(), B.over(th))
         s = M.match(kept, t.ground_truth).groupBy("model").agg(F.count(F.lit(1)).alias("kept"), F.count_if("tp").alias("tp")).withColumn("nms", F.lit(th))
         out = s if out is None else out.unionByName(s)
     return out
@@ -139,7 +139,7 @@ def _(t):
     out = None
     n = t.ground_truth.agg(F.count(F.lit(1)).alias("n"))
     for th in SWEEP:
-        kept = B.greedy(t.detections, ["img", "cls", "model"], B.SCORE_FIRST, B.over(th))
+        kept = B.greedy(t.detections, ["img", "cls", "model"], B.score_first(), B.over(th))
         s = M.match(kept, t.ground_truth).groupBy("model").agg(F.count(F.lit(1)).alias("kept"), F.count_if("tp").alias("tp")).withColumn("nms", F.lit(th))
         out = s if out is None else out.unionByName(s)
     s = out.join(F.broadcast(n), F.lit(True)).withColumn("precision", F.col("tp") / F.col("kept")).withColumn("recall", F.col("tp") / F.col("n"))

@@ -9,7 +9,12 @@ from gridlens.operators import state as S
 from gridlens.plans.views import NOW
 from gridlens.registry import query
 
-N = F.expr(NOW)
+
+
+def now():
+    return F.expr(NOW)
+
+
 MINUTES = f"(epoch({NOW}) - epoch({{}})) / 60e0"
 
 COUNTS_SQL = """SELECT pv.project_id, coalesce(sum(v.frame_count), 0)::BIGINT AS extracted_frames, coalesce(sum(pv.passed_frames), 0)::BIGINT AS filtered_frames,
@@ -157,7 +162,7 @@ def _(t):
 
 @query("lim_longlock", f"SELECT video_id, status, locked_by, {MINUTES.format('locked_at')} AS minutes_locked FROM videos WHERE locked_by IS NOT NULL AND locked_at < {NOW} - INTERVAL 30 MINUTE")
 def _(t):
-    return S.held_long(t.videos, N, 30).orderBy("locked_at", "video_id").select("video_id", "status", "locked_by", "minutes_locked")
+    return S.held_long(t.videos, now(), 30).orderBy("locked_at", "video_id").select("video_id", "status", "locked_by", "minutes_locked")
 
 
 @query("st_claim", """SELECT image_id, stage, CASE WHEN rn = 1 AND status = 'queued' THEN 'processing' ELSE status END AS status FROM (
@@ -180,22 +185,22 @@ STALE = f"locked_by IS NOT NULL AND heartbeat_at IS NOT NULL AND heartbeat_at <
 @query("fn_case_stale", f"""SELECT video_id, CASE WHEN {STALE} AND status = 'DOWNLOADING' THEN 'PENDING' WHEN {STALE} AND status = 'EXTRACTING' THEN 'DOWNLOADED' ELSE status END AS status,
   CASE WHEN {STALE} AND status IN ('DOWNLOADING', 'EXTRACTING') THEN NULL ELSE locked_by END AS locked_by FROM videos""")
 def _(t):
-    return S.recover(t.videos, N, 2, S.VIDEO_ROLLBACK).select("video_id", "status", "locked_by")
+    return S.recover(t.videos, now(), 2, S.VIDEO_ROLLBACK).select("video_id", "status", "locked_by")
 
 
 @query("fn_now_age", f"SELECT video_id, {MINUTES.format('heartbeat_at')} AS minutes FROM videos WHERE heartbeat_at IS NOT NULL")
 def _(t):
-    return t.videos.where("heartbeat_at is not null").select("video_id", S.minutes_since(F.col("heartbeat_at"), N).alias("minutes"))
+    return t.videos.where("heartbeat_at is not null").select("video_id", S.minutes_since(F.col("heartbeat_at"), now()).alias("minutes"))
 
 
 @query("st_stale", f"""SELECT id, CASE WHEN {STALE} AND status = 'FILTERING' THEN 'PENDING' ELSE status END AS status, CASE WHEN {STALE} AND status = 'FILTERING' THEN NULL ELSE locked_by END AS locked_by FROM project_videos""")
 def _(t):
-    return S.recover(t.project_videos, N, 2, {"FILTERING": "PENDING"}).select("id", "status", "locked_by")
+    return S.recover(t.project_videos, now(), 2, {"FILTERING": "PENDING"}).select("id", "status", "locked_by")
 
 
 @query("st_longlock_warn", f"SELECT locked_by, count(*) AS locks, max({MINUTES.format('locked_at')}) AS longest FROM videos WHERE locked_by IS NOT NULL AND locked_at < {NOW} - INTERVAL 30 MINUTE GROUP BY locked_by")
 def _(t):
-    return S.held_long(t.videos, N, 30).groupBy("locked_by").agg(F.count(F.lit(1)).alias("locks"), F.max("minutes_locked").alias("longest"))
+    return S.held_long(t.videos, now(), 30).groupBy("locked_by").agg(F.count(F.lit(1)).alias("locks"), F.max("minutes_locked").alias("longest"))
 
 
 @query("st_retry", """SELECT image_id, stage, CASE WHEN status = 'failed' THEN 'queued' ELSE status END AS status, attempts + (status = 'failed')::INT AS attempts
@@ -295,7 +300,7 @@ def _(t):
 
 @query("dml_heartbeat", f"SELECT video_id, CASE WHEN locked_by = 'w1' THEN {NOW} ELSE heartbeat_at END AS heartbeat_at FROM videos")
 def _(t):
-    return S.beat(t.videos.withColumn("heartbeat_at", F.col("heartbeat_at").cast("timestamp")), "w1", N).select("video_id", F.col("heartbeat_at").cast("timestamp_ntz").alias("heartbeat_at"))
+    return S.beat(t.videos.withColumn("heartbeat_at", F.col("heartbeat_at").cast("timestamp")), "w1", now()).select("video_id", F.col("heartbeat_at").cast("timestamp_ntz").alias("heartbeat_at"))
 
 
 @query("dml_stage_move", "SELECT project_id, CASE WHEN project_stage = 'DEDUPING' THEN 'DETECT_READY' WHEN project_id = 7 THEN 'FAILED' ELSE project_stage END AS project_stage FROM projects")

@@ -11,7 +11,6 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridlens.functions.scalars import stem, yolo_line
 
@@ -98,7 +97,7 @@ def to_label_files(rows: DataFrame, values: Sequence[str] = CENTRE, digits: int
     return out.select("path", F.when(F.size("l") > 0, F.concat(F.array_join("l", "\n"), F.lit("\n"))).otherwise("").alias("value"))
 
 
-COCO = T.StructType.fromDDL(
+COCO = (
     "images array<struct<id:bigint,file_name:string,width:int,height:int>>, "
     "annotations array<struct<id:bigint,image_id:bigint,category_id:bigint,bbox:array<double>,area:double,iscrowd:int>>, "
     "categories array<struct<id:bigint,name:string>>"
