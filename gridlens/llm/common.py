@@ -58,6 +58,11 @@ def small(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= bound else df
 
 
+def packed(docs: DataFrame, *own) -> DataFrame:
+    """``docs`` as one struct ``_doc`` beside the columns ``own``, so that no name of theirs meets one of ours; ``_doc.*`` unpacks."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), *own)
+
+
 def ascii_lower(col):
     """Lower-cases A-Z only."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import Scratch, small
+from gridlens.llm.common import Scratch, packed, small
 
 #: Words of a window, share of an item's windows that must match, plain words a template needs.
 WINDOW, SHARE, LITERALS = 5, 0.8, 2
@@ -108,7 +108,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """docs without the documents that hold an item; all columns stay."""
     found = Scratch(docs.sparkSession, "leaked").save(leaks(docs, items).select(F.col("doc_id").alias("_leaked")).distinct(), "docs")
-    return docs.join(small(found, found.count()), F.col("doc_id").eqNullSafe(F.col("_leaked")), "left_anti")
+    return packed(docs, "doc_id").join(small(found, found.count()), F.col("doc_id").eqNullSafe(F.col("_leaked")), "left_anti").select("_doc.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

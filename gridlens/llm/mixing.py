@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import BROADCAST_ROWS, WORD, Scratch, small
+from gridlens.llm.common import BROADCAST_ROWS, WORD, Scratch, packed, small
 
 WEIGHTS = (5, 2, 1)
 #: Hex digits of the hash that make the draw: 13 digits are 52 bits, exact in a double.
@@ -78,11 +78,9 @@ def plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.5,
 
 def emit(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: every document as often as its plan says, numbered by ``copy`` from 1."""
-    keep = [c for c in docs.columns if c not in ("doc_id", "source")]
-    clash = {c: f"_kept_{c}" for c in keep if c in ("size", "source_size", "target", "copies", "taken", "rate", "goal_source", "copy")}
-    planned = plan(docs.withColumnsRenamed(clash), keep=[clash.get(c, c) for c in keep], **how)
-    rows = planned.where("copies > 0").withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
-    return rows.select(*[F.col(clash.get(c, c)).alias(c) for c in docs.columns if c != "copy"], "copy")
+    planned = plan(packed(docs, "doc_id", "source", "text"), keep=["_doc"], **how)
+    rows = planned.where("copies > 0").select("_doc", F.explode(F.expr("sequence(1L, copies)")).alias("copy"))
+    return rows.select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns if c != "copy"], "copy")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import Scratch, components
+from gridlens.llm.common import Scratch, components, packed
 
 RADIUS = 3
 #: Bits of the six blocks.
@@ -275,10 +275,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     gone, repeated = near_copies(docs.select("doc_id", "text"), Scratch(docs.sparkSession, "nearcopies"))
     gone = gone.select(F.col("key").alias("_key"), F.col("doc_id").alias("_gone"))
-    left = docs.join(gone.hint("merge"), (digest() == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    rows = packed(docs, "doc_id", digest().alias("_digest"))
+    left = rows.join(gone.hint("merge"), (F.col("_digest") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
     if repeated:
-        left = left.withColumn("_digest", digest()).dropDuplicates(["doc_id", "_digest"]).drop("_digest")
-    return left
+        left = left.dropDuplicates(["doc_id", "_digest"])
+    return left.select("_doc.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

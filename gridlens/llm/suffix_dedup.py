@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import Scratch
+from gridlens.llm.common import Scratch, packed
 
 #: Words of a passage that counts as repeated, and words of a suffix's beginning.
 LEAST, ANCHOR = 50, 20
@@ -259,17 +259,17 @@ def cut_repeats(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR) -> Da
     spark = docs.sparkSession
     found = Scratch(spark, "repeats").save(repeats(docs, least, anchor).where("size(copies) > 0").select(F.col("doc_id").alias("_id"), "copies"), "found")
     # the copies grow with the corpus: shuffled, at every size alike
-    joined = docs.join(found.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    joined = packed(docs, "doc_id", F.col("text").cast("binary").alias("_text")).join(found.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, copies: pd.Series) -> pd.Series:
         return pd.Series([cut_text(t, [(c["start"], c["end"]) for c in x]).decode("utf-8", "replace") for t, x in zip(texts, copies, strict=True)])
 
-    changed = joined.where("copies is not null").withColumn("text", cut(F.col("text").cast("binary"), F.col("copies")))
-    changed = changed.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    changed = joined.where("copies is not null and _text is not null").select("_doc", cut("_text", "copies").alias("_left")).where(F.col("_left").rlike(r"[^\x20\x09-\x0D]"))
+    changed = changed.withColumn("_doc", F.col("_doc").withField("text", F.col("_left")))
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.where("copies is null").select(*docs.columns).unionByName(changed.select(*docs.columns))
+        changed = changed.withColumn("_doc", F.col("_doc").withField("n_chars", F.length("_left").cast(docs.schema["n_chars"].dataType)))
+    return joined.where("copies is null or _text is null").select("_doc.*").unionByName(changed.select("_doc.*"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
