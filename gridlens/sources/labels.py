@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +22,23 @@ def text_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     return df.select(F.input_file_name().alias("path"), "value")
 
 
+def named_files(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
+    """(path, value) of files given by name below ``root``, read in tasks: for those that Spark's readers hide (``_`` in front)."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        for batch in batches:
+            texts = []
+            for name in batch["path"]:
+                with system.open_input_stream(f"{base}/{name}") as f:
+                    texts.append(f.read().decode())
+            yield pd.DataFrame({"path": batch["path"], "value": texts})
+
+    return spark.createDataFrame([(n,) for n in names], "path string").mapInPandas(read, "path string, value string")
+
+
 def save_files(files: DataFrame, root: str) -> None:
     """Stores (path, value) below ``root``, on whatever file system that names."""
 
