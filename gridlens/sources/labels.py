@@ -1,12 +1,13 @@
 """Label texts to rows and back.
 
-Readers take files as (path, value) with a file's whole text, as ``text_files`` gives them, and
+Readers take files as (path, value) with the path from the root and the whole text, as ``text_files`` gives them, and
 writers give files in the same form, which ``save_files`` stores; so every reader and writer
 is a plan and can be run without a disk.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -17,9 +18,20 @@ from gridlens.functions.scalars import stem, yolo_line
 
 
 def text_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """(path, value) of all files below ``root`` whose name fits."""
+    """(path, value) of all files below ``root`` whose name fits, empty ones too.
+
+    Spark's readers leave out files of no length, which are images without boxes here; a listing finds them.
+    """
+    from fnmatch import fnmatch
+
+    from pyarrow import fs
+
     df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(root, wholetext=True)
-    return df.select(F.input_file_name().alias("path"), "value")
+    system, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+    found = system.get_file_info(fs.FileSelector(base, recursive=True))
+    bare = [f.path.removeprefix(base).lstrip("/") for f in found if f.is_file and not f.size and fnmatch(f.base_name, glob) and f.base_name[0] not in "._"]
+    at = F.regexp_replace(F.input_file_name(), "^.*?" + re.escape(base.strip("/")) + "/", "")
+    return df.select(at.alias("path"), "value").unionByName(spark.createDataFrame([(p, "") for p in bare], "path string, value string"))
 
 
 def named_files(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
