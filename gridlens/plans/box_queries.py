@@ -40,6 +40,39 @@ kept AS (SELECT {by}, unnest(arg_max(kept, rn)) AS rn FROM walk GROUP BY {by})
 SELECT {out} FROM ranked JOIN kept USING ({by}, rn)"""
 
 
+def links(source: str) -> str:
+    """Clusters of a table's boxes by reachability: adds clu (with cluster), to follow WITH RECURSIVE."""
+    return f"""links AS (SELECT a.img, a.cls, a.cand AS a, b.cand AS b FROM {source} a JOIN {source} b ON a.img = b.img AND a.cls = b.cls AND {iou('a', 'b')} >= 0.5e0),
+reach AS (SELECT img, cls, a, b FROM links UNION SELECT r.img, r.cls, r.a, l.b FROM reach r JOIN links l ON r.img = l.img AND r.cls = l.cls AND r.b = l.a),
+clu AS (SELECT d.*, c.cluster FROM {source} d JOIN (SELECT a AS cand, min(b) AS cluster FROM reach GROUP BY a) c USING (cand))"""
+
+
+def survivors(source: str) -> str:
+    """Adds surv: one box of each cluster with its agreement."""
+    return f"""{links(source)}, agree AS (SELECT img, cls, cluster, count(DISTINCT model) AS agreement, list_sort(list(DISTINCT model)) AS models FROM clu GROUP BY ALL),
+surv AS (SELECT * FROM (SELECT c.*, m.priority, row_number() OVER (PARTITION BY c.img, c.cls, c.cluster ORDER BY coalesce(m.priority, 99), c.score DESC, c.cand) AS rn FROM clu c LEFT JOIN models m USING (model)) x
+  JOIN agree USING (img, cls, cluster) WHERE rn = 1)"""
+
+
+def across(source: str) -> str:
+    """Adds crossed: what the rules across classes leave of a table with agreement and priority.
+
+    A walk over the outer boxes of an image in order, carrying the list of those that lost.
+    """
+    return f"""firsts AS (SELECT img, cls, row_number() OVER (PARTITION BY img ORDER BY score DESC, cand) AS f FROM (SELECT *, row_number() OVER (PARTITION BY img, cls ORDER BY score DESC, cand) AS k FROM {source}) q WHERE k = 1),
+listed AS (SELECT s.*, c.exempt, row_number() OVER (PARTITION BY s.img ORDER BY f.f, s.score DESC, s.cand) AS i FROM {source} s JOIN firsts f USING (img, cls) JOIN classes c USING (cls)),
+hits AS (SELECT a.img, a.i, a.cand, coalesce(list({{'b': b.cand, 'loser': CASE WHEN a.agreement <> b.agreement THEN CASE WHEN a.agreement > b.agreement THEN b.cand ELSE a.cand END
+    WHEN coalesce(a.priority, 99) <> coalesce(b.priority, 99) THEN CASE WHEN coalesce(a.priority, 99) < coalesce(b.priority, 99) THEN b.cand ELSE a.cand END
+    WHEN a.score < b.score THEN a.cand ELSE b.cand END}}) FILTER (b.cand IS NOT NULL), []) AS p
+  FROM listed a LEFT JOIN listed b ON a.img = b.img AND a.i < b.i AND a.cls <> b.cls AND NOT a.exempt AND NOT b.exempt AND {iou('a', 'b')} > 0.5e0
+    AND NOT EXISTS (SELECT 1 FROM confusions x WHERE (x.a = a.cls AND x.b = b.cls) OR (x.a = b.cls AND x.b = a.cls)) GROUP BY a.img, a.i, a.cand),
+tour AS (SELECT img, i, list_transform(p, lambda x: x.loser) AS lost FROM hits WHERE i = 1
+  UNION ALL SELECT h.img, h.i, CASE WHEN list_contains(t.lost, h.cand) THEN t.lost ELSE list_concat(t.lost, list_transform(list_filter(h.p, lambda x: NOT list_contains(t.lost, x.b)), lambda x: x.loser)) END
+  FROM tour t JOIN hits h ON h.img = t.img AND h.i = t.i + 1),
+fallen AS (SELECT DISTINCT unnest(arg_max(lost, i)) AS cand FROM tour GROUP BY img),
+crossed AS (SELECT * FROM listed WHERE cand NOT IN (SELECT cand FROM fallen))"""
+
+
 D = "SELECT * FROM detections"
 G2 = "detections a JOIN ground_truth b ON a.img = b.img"
 
@@ -329,12 +362,8 @@ def _(t):
 
 # clusters and rules
 
-LINKS = f"""links AS (SELECT a.img, a.cls, a.cand AS a, b.cand AS b FROM detections a JOIN detections b ON a.img = b.img AND a.cls = b.cls AND {iou('a', 'b')} >= 0.5e0),
-reach AS (SELECT img, cls, a, b FROM links UNION SELECT r.img, r.cls, r.a, l.b FROM reach r JOIN links l ON r.img = l.img AND r.cls = l.cls AND r.b = l.a),
-clu AS (SELECT d.*, c.cluster FROM detections d JOIN (SELECT a AS cand, min(b) AS cluster FROM reach GROUP BY a) c USING (cand))"""
-SURVIVORS = f"""{LINKS}, agree AS (SELECT img, cls, cluster, count(DISTINCT model) AS agreement, list_sort(list(DISTINCT model)) AS models FROM clu GROUP BY ALL),
-surv AS (SELECT * FROM (SELECT c.*, m.priority, row_number() OVER (PARTITION BY c.img, c.cls, c.cluster ORDER BY coalesce(m.priority, 99), c.score DESC, c.cand) AS rn FROM clu c LEFT JOIN models m USING (model)) x
-  JOIN agree USING (img, cls, cluster) WHERE rn = 1)"""
+LINKS = links("detections")
+SURVIVORS = survivors("detections")
 
 
 @query("clu_collapse", f"WITH RECURSIVE {SURVIVORS} SELECT img, cls, cand, score, agreement, models FROM surv")
@@ -387,12 +416,15 @@ def _(t):
     return quality(c).select("img", "cls", "cluster", d.alias("decision"))
 
 
-@query("clu_avg_merge")
+@query("clu_avg_merge", fold("SELECT DISTINCT img, cls, x1, y1, x2, y2 FROM detections", "img", "cls, x1, y1, x2, y2", f"{IOU} > 0.7e0", "*").replace("SELECT * FROM ranked JOIN kept USING (img, rn)", f""", heads AS (SELECT ranked.* FROM ranked JOIN kept USING (img, rn)),
+took AS (SELECT x.img, min(k.rn) AS head, x.rn, any_value(x.x1) AS x1, any_value(x.y1) AS y1, any_value(x.x2) AS x2, any_value(x.y2) AS y2 FROM ranked x JOIN heads k ON k.img = x.img AND k.rn < x.rn AND {IOU} > 0.7e0 GROUP BY x.img, x.rn),
+parts AS (SELECT img, rn AS head, rn, x1, y1, x2, y2 FROM heads UNION ALL SELECT img, head, rn, x1, y1, x2, y2 FROM took)
+SELECT DISTINCT img, {", ".join(f"list_reduce(list({c} ORDER BY rn), lambda a, b: (a + b) / 2) AS {c}" for c in ("x1", "y1", "x2", "y2"))} FROM parts GROUP BY img, head""").replace("GROUP BY img)\n,", "GROUP BY img),"))
 def _(t):
     return B.average_merge(t.detections, ["img"], 0.7)
 
 
-@query("sup_cross")
+@query("sup_cross", f"WITH RECURSIVE {SURVIVORS}, {across('surv')} SELECT img, cls, cand FROM crossed")
 def _(t):
     return B.cross_class(B.collapse(t.detections, t.models, 0.5).drop("models"), t.classes, t.confusions, t.models).select("img", "cls", "cand")
 

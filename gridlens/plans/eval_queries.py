@@ -11,7 +11,7 @@ from gridlens.operators import annotate as A
 from gridlens.operators import boxes as B
 from gridlens.operators import metrics as M
 from gridlens.operators import similarity as S
-from gridlens.plans.box_queries import GEO, REASON, SURVIVORS, area, inter, iou, union
+from gridlens.plans.box_queries import GEO, REASON, SURVIVORS, across, area, fold, inter, iou, survivors
 from gridlens.registry import query
 
 MATCH = f"""near AS (SELECT a.cand, a.score, b.gt, {iou('a', 'b')} AS iou FROM detections a JOIN ground_truth b ON a.img = b.img AND a.cls = b.cls),
@@ -74,6 +74,12 @@ def _(t):
     return rows.unionByName(r.groupBy("model").agg(F.lit("mAP").alias("class_id"), F.round(F.avg("ap"), 7).alias("ap"), F.round(F.avg("max_f1"), 7).alias("max_f1")))
 
 
+@query("snk_pdf", f"{curve_sql('cls')} SELECT cls, rn, recall, precision, f1, score AS conf FROM curve WHERE tp")
+def _(t):
+    """The points of the curves that a plot draws: one for each true positive."""
+    return curve(t).where("tp").select("cls", "rn", "recall", "precision", "f1", F.col("score").alias("conf"))
+
+
 THRESHOLDS = "ths AS (SELECT i / 8e0 AS th FROM range(1, 8) r(i))"
 
 
@@ -122,7 +128,19 @@ def _(t):
 SWEEP = (0.25, 0.5, 0.75)
 
 
-@query("ev_sweep")
+def swept(th: float) -> str:
+    """(model, kept, tp, nms) after suppression at a threshold."""
+    kept = fold("SELECT * FROM detections", "img, cls, model", "score DESC, cand", f"{iou('k', 'x')} > {th}e0", "ranked.* EXCLUDE (rn)")
+    return f"""SELECT k.model, count(*) AS kept, count(h.cand) AS tp, {th}e0 AS nms FROM ({kept}) k LEFT JOIN (
+  SELECT cand FROM (SELECT cand, row_number() OVER (PARTITION BY gt ORDER BY score DESC, cand) AS rn FROM (
+    SELECT cand, score, gt FROM (SELECT a.cand, a.score, b.gt, row_number() OVER (PARTITION BY a.cand ORDER BY {iou('a', 'b')} DESC, b.gt) AS rn
+      FROM ({kept}) a JOIN ground_truth b ON a.img = b.img AND a.cls = b.cls WHERE {iou('a', 'b')} >= 0.5e0 - 1e-6) n WHERE rn = 1) m) c WHERE rn = 1) h USING (cand) GROUP BY k.model"""
+
+
+SWEPT = " UNION ALL ".join(f"({swept(th)})" for th in SWEEP)
+
+
+@query("ev_sweep", f"SELECT * FROM ({SWEPT}) s")
 def _(t):
     """Kept boxes and their true positives for every model and suppression threshold, all in one plan."""
     out = None
@@ -133,7 +151,8 @@ def _(t):
     return out
 
 
-@query("win_best_combo")
+@query("win_best_combo", f"""SELECT nms, arg_max(model, (f1, -model)) AS best_f1, arg_max(CASE WHEN precision >= 0.6e0 THEN model END, (precision >= 0.6e0, recall, -model)) FILTER (precision >= 0.6e0) AS best_recall FROM (
+  SELECT *, 2 * precision * recall / (precision + recall + 1e-6) AS f1 FROM (SELECT nms, model, tp / kept AS precision, tp / (SELECT count(*) FROM ground_truth) AS recall FROM ({SWEPT}) s) p) q GROUP BY nms""")
 def _(t):
     """Per suppression threshold the best model by F1, and the best recall among those of some precision, or none."""
     out = None
@@ -156,12 +175,22 @@ def _(t):
     return s.groupBy("area").agg(F.round(F.avg("ap"), 6).alias("ap"), F.round(F.avg(F.when(F.col("th") < 0.525, F.col("ap"))), 6).alias("ap50"), F.round(F.avg("ar"), 6).alias("ar"))
 
 
-@query("jn_det_match")
+PAIRED = f"""ordered AS (SELECT *, row_number() OVER (PARTITION BY img ORDER BY score DESC, cand) AS i FROM detections WHERE model = 1),
+options AS (SELECT a.img, a.i, a.cand, coalesce(list({{'gt': b.gt, 'iou': b.iou}} ORDER BY b.iou DESC, b.gt) FILTER (b.gt IS NOT NULL), []) AS o FROM ordered a LEFT JOIN (
+  SELECT a.cand, b.gt, {iou('a', 'b')} AS iou FROM ordered a JOIN ground_truth b ON a.img = b.img WHERE {iou('a', 'b')} >= 0.5e0) b USING (cand) GROUP BY a.img, a.i, a.cand),
+walk AS (SELECT img, i, cand, list_filter(o, lambda x: true)[1] AS hit, CASE WHEN len(o) > 0 THEN [o[1].gt] ELSE [] END AS taken FROM options WHERE i = 1
+  UNION ALL SELECT n.img, n.i, n.cand, list_filter(n.o, lambda x: NOT list_contains(w.taken, x.gt))[1],
+    list_concat(w.taken, list_transform(list_filter(n.o, lambda x: NOT list_contains(w.taken, x.gt))[1:1], lambda x: x.gt)) FROM walk w JOIN options n ON n.img = w.img AND n.i = w.i + 1),
+paired AS (SELECT img, cand, hit.gt AS gt, hit.iou AS iou FROM walk WHERE hit IS NOT NULL)"""
+
+
+@query("jn_det_match", f"WITH RECURSIVE {PAIRED} SELECT * FROM paired")
 def _(t):
     return M.one_to_one(t.detections.where("model = 1"), t.ground_truth, "img", 0.5)
 
 
-@query("agg_match_stats")
+@query("agg_match_stats", f"""WITH RECURSIVE {PAIRED} SELECT count(*) AS matched, (SELECT count(*) FROM detections WHERE model = 1) - count(*) AS only_left, (SELECT count(*) FROM ground_truth) - count(*) AS only_right,
+  round(avg(iou), 6) AS mean_iou, min(iou) AS min_iou FROM paired""")
 def _(t):
     m = M.one_to_one(t.detections.where("model = 1"), t.ground_truth, "img", 0.5)
     left = t.detections.where("model = 1").agg(F.count(F.lit(1)).alias("l"))
@@ -225,7 +254,16 @@ def _(t):
     return S.knn_dedup(t.embeddings, 1 << 30, 0.35)
 
 
-@query("knn_two_phase")
+def knn_by_label(k: int, th: float) -> str:
+    """As knn_sql, within each label."""
+    sql = knn_sql(k, th).replace("SELECT vec_id, embedding", "SELECT vec_id, label AS g, embedding").replace("row_number() OVER (ORDER BY vec_id)", "row_number() OVER (PARTITION BY label ORDER BY vec_id)")
+    sql = sql.replace("SELECT i, vec_id, list_transform", "SELECT g, i, vec_id, list_transform").replace("SELECT a.i, b.i AS j", "SELECT a.g, a.i, b.i AS j").replace("FROM u a, u b", "FROM u a JOIN u b USING (g)")
+    sql = sql.replace("SELECT i, j, s FROM (SELECT *, row_number() OVER (PARTITION BY i ", "SELECT g, i, j, s FROM (SELECT *, row_number() OVER (PARTITION BY g, i ").replace("SELECT u.i, coalesce(", "SELECT u.g, u.i, coalesce(").replace("ON t.j = u.i GROUP BY u.i", "ON t.j = u.i AND t.g = u.g GROUP BY u.g, u.i")
+    sql = sql.replace("SELECT i, [i] AS kept", "SELECT g, i, [i] AS kept").replace("SELECT b.i, CASE", "SELECT b.g, b.i, CASE").replace("ON b.i = w.i + 1", "ON b.g = w.g AND b.i = w.i + 1")
+    return sql.replace("SELECT unnest(arg_max(kept, i)) AS i FROM walk", "SELECT g, unnest(arg_max(kept, i)) AS i FROM walk GROUP BY g").replace("JOIN kept USING (i)", "JOIN kept USING (g, i)")
+
+
+@query("knn_two_phase", knn_sql(5, 0.35, f"(SELECT * FROM embeddings WHERE vec_id IN ({knn_by_label(5, 0.35)})) e"))
 def _(t):
     """Within each label first, then over what is left."""
     first = S.knn_dedup(t.embeddings, 5, 0.35, "label")
@@ -233,7 +271,7 @@ def _(t):
     return S.knn_dedup(left, 5, 0.35)
 
 
-@query("agg_dedup_rate")
+@query("agg_dedup_rate", f"SELECT n, k, 1 - k / greatest(n, 1) AS dedup_rate FROM (SELECT count(*) AS n FROM embeddings) a, (SELECT count(*) AS k FROM ({knn_sql(5, 0.35)}) q) b")
 def _(t):
     kept = S.knn_dedup(t.embeddings, 5, 0.35).agg(F.count(F.lit(1)).alias("k"))
     return kept.join(t.embeddings.agg(F.count(F.lit(1)).alias("n"))).select("n", "k", (1 - F.col("k") / F.greatest("n", F.lit(1))).alias("dedup_rate"))  # one row each
@@ -324,13 +362,20 @@ def _(t):
     return A.dropped(before, after, "geometric").select("cand", "reason")
 
 
-@query("ann_finalize")
+CANON_BOXES = CANON.replace("SELECT d.cand, d.img, coalesce(r.relabel, c.class_name) AS class_name, CASE WHEN b.source = 'refined' THEN f.rx1 ELSE d.x1 END AS x1,", """SELECT d.cand, d.img, d.model, d.score, coalesce(r.relabel, c.class_name) AS class_name,
+  CASE WHEN b.source = 'refined' THEN f.rx1 ELSE d.x1 END AS x1, CASE WHEN b.source = 'refined' THEN f.ry1 ELSE d.y1 END AS y1, CASE WHEN b.source = 'refined' THEN f.rx2 ELSE d.x2 END AS x2, CASE WHEN b.source = 'refined' THEN f.ry2 ELSE d.y2 END AS y2,""")
+CHAIN = f"""capped AS (SELECT * FROM (SELECT * EXCLUDE (rn), row_number() OVER (PARTITION BY img, cls ORDER BY score DESC, cand) AS place FROM surv) x WHERE place <= 3)"""
+
+
+@query("ann_finalize", f"""WITH RECURSIVE {CANON_BOXES}, core AS (SELECT canon.*, classes.cls FROM canon JOIN classes USING (class_name)), geo AS (SELECT * FROM core WHERE ({REASON}) IS NULL), {survivors('geo')}, {CHAIN}, {across('capped')}
+SELECT cand, CASE WHEN cand IN (SELECT cand FROM crossed) THEN 'kept' WHEN cand IN (SELECT cand FROM capped) THEN 'cross_class' WHEN cand IN (SELECT cand FROM surv) THEN 'cap' WHEN cand IN (SELECT cand FROM geo) THEN 'duplicate' ELSE 'geometric' END AS outcome FROM core""")
 def _(t):
     kept, drops = A.finalize(A.canonical(t.detections, t.classes, routed(t), t.refinements), t.classes, t.models, t.confusions, GEO, 0.5, 3)
     return kept.select("cand", F.lit("kept").alias("outcome")).unionByName(drops.select("cand", F.col("reason").alias("outcome")))
 
 
-@query("ann_detect_chain")
+@query("ann_detect_chain", f"""WITH RECURSIVE geo AS (SELECT d.* FROM detections d LEFT JOIN models USING (model) WHERE ({REASON}) IS NULL AND (floor_score IS NULL OR score >= floor_score)), {survivors('geo')}, {CHAIN}, {across('capped')}
+SELECT x.img, x.cand, x.agreement, CASE WHEN c.tier IN (1, 2) AND x.agreement >= 2 AND x.score >= coalesce(m.floor_score, 0.5e0) THEN 'auto_accept' ELSE 'evaluate' END AS decision FROM crossed x JOIN classes c USING (cls) LEFT JOIN models m ON m.model = x.model""")
 def _(t):
     return A.detect_chain(t.detections, t.classes, t.models, t.confusions, GEO, 0.5, 3).select("img", "cand", "agreement", "decision")
 

@@ -187,6 +187,27 @@ def _(t):
     return f.groupBy(F.split_part("path", F.lit("/"), F.lit(2)).alias("split")).agg(F.count(F.lit(1)).alias("files"))
 
 
+@query("src_format_detect", "SELECT * FROM (VALUES ('coco', 'coco'), ('darknet', 'darknet'), ('roboflow', 'roboflow'), ('yolo_a', 'yolo_a'), ('yolo_b', 'yolo_b')) v(written, detected)")
+def _(t):
+    """The layout told from the paths that each writer makes; a listing is all that is needed."""
+    d = dataset(t)
+    shapes = lambda files: files.select(F.regexp_replace("path", r"img_\d+", "img").alias("path")).distinct()  # noqa: E731  one for each folder
+    told = [(k, DS.detect_format(r.path for r in shapes(w(d)).collect())) for k, w in sorted(DS.WRITERS.items())]
+    return t.spark.createDataFrame(told, "written string, detected string")
+
+
+@query("src_class_yaml", "SELECT * FROM (VALUES (0, 'bus'), (1, 'delivery van'), (2, 'car'), (3, 'person'), (4, 'cargo bike')) v(class_id, class_name)")
+def _(t):
+    text = DS.data_yaml(CATEGORIES, ["train"], lambda s: s)
+    return t.spark.createDataFrame(list(enumerate(DS.class_names(text))), "class_id int, class_name string")
+
+
+@query("snk_link", "SELECT DISTINCT 'img_' || img || '.jpg' AS source, 'images/' || CASE WHEN img % 5 = 0 THEN 'val' WHEN img % 5 = 1 THEN 'test' ELSE 'train' END || '/img_' || img || '.jpg' AS target FROM ground_truth")
+def _(t):
+    """Where each image goes: what a copier or a linker carries out."""
+    return dataset(t).images.select(F.col("file_name").alias("source"), F.concat(F.lit("images/"), "split", F.lit("/"), "file_name").alias("target"))
+
+
 @query("src_sidecar", "SELECT img, cand, score AS bbox_score FROM detections WHERE img % 3 = 0")
 def _(t):
     """One JSON text per image with its annotations, read back; a text that does not parse is left out."""
