@@ -105,7 +105,7 @@ def link_stars(prints: DataFrame, scratch: Scratch, name: str = "near", hubs: in
     """
     keyed = prints.select("fp", F.explode(block_keys(F.col("fp"))).alias("k"))
     shared = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
-    near = scratch.save(keyed.join(shared, "k").select("fp").distinct(), name)
+    near = scratch.save(keyed.join(shared.hint("merge"), "k").select("fp").distinct(), name)
     near = near.repartition(2 * max(prints.sparkSession.sparkContext.defaultParallelism, 1), "fp")  # few rows, many variants
     one = near.select("fp", F.explode(ball_masks(1)).alias("m"), F.lit(True).alias("close"))
     two = near.where("bit_count(fp) % 2 = 1").select("fp", F.explode(ball_masks(2)).alias("m"), F.lit(False).alias("close"))
@@ -113,7 +113,8 @@ def link_stars(prints: DataFrame, scratch: Scratch, name: str = "near", hubs: in
     centre = F.when(F.col("close"), F.col("fp"))
     chosen = [F.min(centre), F.max(centre)][:hubs]
     hub = met.groupBy("v").agg(F.array_distinct(F.array(*chosen)).alias("hubs"), F.count(F.lit(1)).alias("n")).where("n > 1 and hubs[0] is not null")
-    stars = met.join(hub.select("v", "hubs"), "v").select(F.col("fp").alias("a"), F.explode("hubs").alias("b")).where("a <> b").distinct()
+    # Spark's estimate of a size leaves out what explode makes of it: never broadcast
+    stars = met.join(hub.select("v", "hubs").hint("merge"), "v").select(F.col("fp").alias("a"), F.explode("hubs").alias("b")).where("a <> b").distinct()
     return stars.where(f"bit_count(a ^ b) <= {RADIUS}")
 
 
