@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Collection
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,12 +36,25 @@ def shared_dir(spark: SparkSession) -> str:
 class Scratch:
     """Parquet tables in the shared folder; each one cuts the lineage at its place.
 
-    A table lives until ``drop``; what a returned DataFrame still reads is never dropped.
+    A table lives until ``drop``; what a returned DataFrame still reads is never dropped by
+    the operators. ``clean`` removes whole folders once their results are stored.
     """
 
+    roots: ClassVar[list[str]] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        Scratch.roots.append(self.root)
+
+    @classmethod
+    def clean(cls, spark: SparkSession, keep: Collection[str] = ()) -> None:
+        """Removes all folders but those in ``keep``: only when nothing that reads them is still to run."""
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for root in [r for r in cls.roots if r not in keep]:
+            path = jvm.org.apache.hadoop.fs.Path(root)
+            path.getFileSystem(conf).delete(path, True)
+            cls.roots.remove(root)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
