@@ -62,18 +62,25 @@ def dropped(before: DataFrame, after: DataFrame, reason: str) -> DataFrame:
     return before.join(after.select("cand"), "cand", "left_anti").withColumn("reason", F.lit(reason))
 
 
-def finalize(rows: DataFrame, classes: DataFrame, models: DataFrame, confusions: DataFrame, geometric: dict, threshold: float, cap: int) -> tuple[DataFrame, DataFrame]:
-    """(kept, drops): geometric test, collapse, cap per class, rules across classes; every drop with its reason."""
-    core = rows.select("cand", "img", "cls", "model", "score", *B.BOX)
-    steps = [("geometric", core.where(B.geometric_reason(**geometric).isNull()))]
-    steps.append(("duplicate", B.collapse(steps[-1][1], models, threshold).drop("models")))
-    steps.append(("cap", B.top_k(steps[-1][1], ["img", "cls"], [F.col("score").desc(), F.col("cand")], cap)))
-    steps.append(("cross_class", B.cross_class(steps[-1][1], classes, confusions, models)))
-    drops, before = None, core
-    for reason, after in steps:
-        d = dropped(before.select("cand"), after, reason)
-        drops, before = d if drops is None else drops.unionByName(d), after
-    return steps[-1][1], drops
+def finalize(rows: DataFrame, classes: DataFrame, models: DataFrame, confusions: DataFrame, geometric: dict, threshold: float, cap: int, unknown: int = 99) -> DataFrame:
+    """rows (cand, img, cls, model, score, box) with outcome: ``kept``, or the step that drops them.
+
+    Geometric test, collapse of clusters, cap per class, rules across classes. Steps mark rows and
+    do not remove them, so that one pass gives both the kept and the drops with their reasons.
+    """
+    core = rows.select("cand", "img", "cls", "model", "score", *B.BOX).withColumn("_bad", B.geometric_reason(**geometric))
+    bad = core.where("_bad is not null").select("cand", F.lit("geometric").alias("outcome"))
+    m = F.broadcast(models.select("model", F.col("priority").alias("_p")))  # one row a model
+    c = B.clusters(core.where("_bad is null").drop("_bad"), ["img", "cls"], threshold).join(m, "model", "left").withColumn("_p", F.coalesce("_p", F.lit(unknown)))
+    own = Window.partitionBy("img", "cls", "cluster")
+    c = c.withColumn("_first", F.row_number().over(own.orderBy("_p", F.col("score").desc(), "cand")) == 1).withColumn("agreement", F.size(F.collect_set("model").over(own)).cast("long"))
+    place = F.row_number().over(Window.partitionBy("img", "cls", "_first").orderBy(F.col("score").desc(), "cand"))
+    c = c.withColumn("_step", F.when(~F.col("_first"), "duplicate").when(place > cap, "cap"))
+    left = c.where("_step is null").select("cand", "img", "cls", "model", "score", *B.BOX, "agreement")
+    stays = B.cross_class(left, classes, confusions, models).select("cand", F.lit(True).alias("_stays"))
+    told = c.select("cand", "_step").join(stays, "cand", "left")
+    outcome = F.coalesce("_step", F.when(F.col("_stays"), "kept").otherwise("cross_class"))
+    return bad.unionByName(told.select("cand", outcome.alias("outcome")))
 
 
 def detect_chain(rows: DataFrame, classes: DataFrame, models: DataFrame, confusions: DataFrame, geometric: dict, threshold: float, cap: int) -> DataFrame:

@@ -172,6 +172,7 @@ def cross_class(rows: DataFrame, classes: DataFrame, confusions: DataFrame, mode
     order = (F.col("_f")["s"], F.col("_f")["cand"], F.col("cls"), -F.col("score"), F.col("cand"))
     r = r.withColumn("_f", first)
     groups = r.groupBy("img").agg(F.array_sort(F.collect_list(_packed([*cols, "exempt", "_p"], order))).alias("_all"), F.first("_pairs").alias("_pairs"))
+    groups = groups.withColumn("_all", F.transform("_all", lambda x, i: x.withField("_i", i)))
     none = F.transform(F.filter("_all", lambda x: F.lit(False)), lambda x: x["cand"])
 
     def beats(a: Column, b: Column) -> Column:
@@ -186,8 +187,7 @@ def cross_class(rows: DataFrame, classes: DataFrame, confusions: DataFrame, mode
     def outer(lost: Column, a: Column) -> Column:
         def hits(b: Column) -> Column:
             confused = F.exists(F.col("_pairs"), lambda p: ((p["a"] == a["cls"]) & (p["b"] == b["cls"])) | ((p["a"] == b["cls"]) & (p["b"] == a["cls"])))
-            later = F.array_position("_all", b) > F.array_position("_all", a)
-            return later & ~F.array_contains(lost, b["cand"]) & (a["cls"] != b["cls"]) & ~a["exempt"] & ~b["exempt"] & ~confused & (G.iou(G.part(a), G.part(b)) > threshold)
+            return (b["_i"] > a["_i"]) & ~F.array_contains(lost, b["cand"]) & (a["cls"] != b["cls"]) & ~a["exempt"] & ~b["exempt"] & ~confused & (G.iou(G.part(a), G.part(b)) > threshold)
 
         losers = F.transform(F.filter("_all", hits), lambda b: F.when(beats(a, b), b["cand"]).otherwise(a["cand"]))
         return F.when(F.array_contains(lost, a["cand"]), lost).otherwise(F.array_union(lost, losers))

@@ -370,8 +370,7 @@ CHAIN = f"""capped AS (SELECT * FROM (SELECT * EXCLUDE (rn), row_number() OVER (
 @query("ann_finalize", f"""WITH RECURSIVE {CANON_BOXES}, core AS (SELECT canon.*, classes.cls FROM canon JOIN classes USING (class_name)), geo AS (SELECT * FROM core WHERE ({REASON}) IS NULL), {survivors('geo')}, {CHAIN}, {across('capped')}
 SELECT cand, CASE WHEN cand IN (SELECT cand FROM crossed) THEN 'kept' WHEN cand IN (SELECT cand FROM capped) THEN 'cross_class' WHEN cand IN (SELECT cand FROM surv) THEN 'cap' WHEN cand IN (SELECT cand FROM geo) THEN 'duplicate' ELSE 'geometric' END AS outcome FROM core""")
 def _(t):
-    kept, drops = A.finalize(A.canonical(t.detections, t.classes, routed(t), t.refinements), t.classes, t.models, t.confusions, GEO, 0.5, 3)
-    return kept.select("cand", F.lit("kept").alias("outcome")).unionByName(drops.select("cand", F.col("reason").alias("outcome")))
+    return A.finalize(A.canonical(t.detections, t.classes, routed(t), t.refinements), t.classes, t.models, t.confusions, GEO, 0.5, 3)
 
 
 @query("ann_detect_chain", f"""WITH RECURSIVE geo AS (SELECT d.* FROM detections d LEFT JOIN models USING (model) WHERE ({REASON}) IS NULL AND (floor_score IS NULL OR score >= floor_score)), {survivors('geo')}, {CHAIN}, {across('capped')}

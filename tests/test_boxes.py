@@ -258,9 +258,12 @@ def test_finalize_accounts_for_every_candidate(spark):
     models = spark.createDataFrame([(k, k) for k in range(4)], "model long, priority int")
     confusions = spark.createDataFrame([(0, 1)], "a long, b long")
     geo = {"lo": 0.01, "hi": 0.1, "ar_lo": 0.1, "ar_hi": 10.0, "near": 0.01}
-    kept, drops = A.finalize(df, classes, models, confusions, geo, 0.5, 2)
-    k, d = {r.cand for r in kept.collect()}, [r.cand for r in drops.collect()]
-    assert not k & set(d) and len(d) == len(set(d)) and k | set(d) == set(range(100))
+    got = A.finalize(df, classes, models, confusions, geo, 0.5, 2).collect()
+    assert sorted(r.cand for r in got) == list(range(100))
+    kept = {r.cand for r in got if r.outcome == "kept"}
+    core = df.where(B.geometric_reason(**geo).isNull())
+    chain = B.cross_class(B.top_k(B.collapse(core, models, 0.5).drop("models"), ["img", "cls"], [F.col("score").desc(), F.col("cand")], 2), classes, confusions, models)
+    assert kept == {r.cand for r in chain.collect()} and {r.outcome for r in got} >= {"kept", "geometric", "duplicate"}
 
 
 def test_verdict_edges(spark):
