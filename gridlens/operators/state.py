@@ -145,12 +145,9 @@ def claim(rows: DataFrame, key: str, chosen: DataFrame, status: str, to: str, wo
 
 def release(rows: DataFrame, key: str, value, worker: str, to: str) -> DataFrame:
     """Unlocks one row if the worker still owns it."""
-    own = (F.col(key) == value) & (F.col("locked_by") == worker)
-    out = rows.withColumn("status", F.when(own, to).otherwise(F.col("status")))
-    for c in ("locked_at", "heartbeat_at", "locked_by"):
-        if c in rows.columns:
-            out = out.withColumn(c, F.when(own, None).otherwise(F.col(c))) if c != "locked_by" else out
-    return out.withColumn("locked_by", F.when(own, None).otherwise(F.col("locked_by")))
+    own = F.coalesce((F.col(key) == value) & (F.col("locked_by") == worker), F.lit(False))
+    free = {c: F.when(own, None).otherwise(F.col(c)) for c in ("locked_at", "heartbeat_at", "locked_by") if c in rows.columns}
+    return rows.withColumns({"status": F.when(own, to).otherwise(F.col("status")), **free})
 
 
 def beat(rows: DataFrame, worker: str, now: Column) -> DataFrame:

@@ -11,7 +11,7 @@ from gridlens.operators import annotate as A
 from gridlens.operators import boxes as B
 from gridlens.operators import metrics as M
 from gridlens.operators import similarity as S
-from gridlens.plans.box_queries import GEO, REASON, SURVIVORS, across, area, fold, inter, iou, survivors
+from gridlens.plans.box_queries import GEO, REASON, across, area, fold, inter, iou, survivors
 from gridlens.registry import query
 
 MATCH = f"""near AS (SELECT a.cand, a.score, b.gt, {iou('a', 'b')} AS iou FROM detections a JOIN ground_truth b ON a.img = b.img AND a.cls = b.cls),
