@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlens.llm.common import Scratch, packed
@@ -132,6 +132,10 @@ def sorted_neighbours(table: DataFrame, scratch: Scratch, name: str) -> DataFram
     key goes on over a border, both sides know it from the first and last keys of the ranges.
     """
 
+    def lean(out: pd.DataFrame) -> pd.DataFrame:
+        # only first and last rows of a range can change by what stands beyond it: others need no key
+        return out.assign(key=out["key"].astype("Int64").where(out["border"]))
+
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, first = None, True
         for batch in batches:
@@ -150,9 +154,9 @@ def sorted_neighbours(table: DataFrame, scratch: Scratch, name: str) -> DataFram
             out = batch.assign(alike=alike, later=later, border=border)
             held = out.iloc[-1:].reset_index(drop=True)  # it waits for the next batch
             out = out.iloc[:-1]
-            yield out[out["alike"] | out["border"]]
+            yield lean(out[out["alike"] | out["border"]])
         if held is not None:
-            yield held.assign(border=True)
+            yield lean(held.assign(border=True))
 
     ordered = table.select("key", "row", "at").orderBy("key", "row", "at").withColumn("part", F.spark_partition_id())
     array = scratch.save(ordered.mapInPandas(compare, "key long, row long, at int, part int, alike boolean, later boolean, border boolean"), name)
