@@ -57,10 +57,10 @@ def ranked(matched: DataFrame, truth: DataFrame, by: Sequence[str] = ("cls",)) -
     return r.drop("_b", "_n0", "_t0", "_rest")
 
 
-def average_precision(curve: DataFrame, by: Sequence[str] = ("cls",)) -> DataFrame:
-    """Area under the envelope: recall moves at true positives only."""
+def average_precision(curve: DataFrame, by: Sequence[str] = ("cls",), *more: Column) -> DataFrame:
+    """Area under the envelope, and ``more`` aggregates: recall moves at true positives only."""
     step = F.col("acc_tp") / (F.col("total_gt") + EPS) - (F.col("acc_tp") - 1) / (F.col("total_gt") + EPS)
-    return curve.groupBy(*by).agg(F.coalesce(F.sum(F.when(F.col("tp"), step * F.col("envelope"))), F.lit(0.0)).alias("ap"))
+    return curve.groupBy(*by).agg(F.coalesce(F.sum(F.when(F.col("tp"), step * F.col("envelope"))), F.lit(0.0)).alias("ap"), *more)
 
 
 def best_f1(curve: DataFrame, by: Sequence[str] = ("cls",)) -> DataFrame:

@@ -56,8 +56,9 @@ AP = "sum((acc_tp / (total_gt + 1e-6) - (acc_tp - 1) / (total_gt + 1e-6)) * enve
 
 @query("ev_ap", f"{curve_sql('cls')} SELECT cls, round(coalesce({AP}, 0e0), 7) AS ap FROM curve GROUP BY cls UNION ALL SELECT -1, round(avg(ap), 7) FROM (SELECT coalesce({AP}, 0e0) AS ap FROM curve GROUP BY cls)")
 def _(t):
-    ap = M.average_precision(curve(t))
-    return ap.select(F.col("cls").cast("long").alias("cls"), F.round("ap", 7).alias("ap")).unionByName(ap.agg(F.lit(-1).cast("long").alias("cls"), F.round(F.avg("ap"), 7).alias("ap")))
+    # a mean over one row is that row: the rollup gives the classes and their mean from one curve
+    ap = M.average_precision(curve(t)).rollup("cls").agg(F.avg("ap").alias("ap"))
+    return ap.select(F.coalesce(F.col("cls").cast("long"), F.lit(-1)).alias("cls"), F.round("ap", 7).alias("ap"))
 
 
 @query("win_best_f1", f"{curve_sql('cls')} SELECT cls, f1 AS max_f1, precision, score AS conf FROM (SELECT *, row_number() OVER (PARTITION BY cls ORDER BY f1 DESC, rn) AS k FROM curve) x WHERE k = 1")
@@ -68,10 +69,9 @@ def _(t):
 @query("ev_map_report", f"""{curve_sql('model, cls')}, r AS (SELECT model, cls, coalesce({AP}, 0e0) AS ap, max(f1) AS max_f1 FROM curve GROUP BY model, cls)
 SELECT model, cls::VARCHAR AS class_id, round(ap, 7) AS ap, round(max_f1, 7) AS max_f1 FROM r UNION ALL SELECT model, 'mAP', round(avg(ap), 7), round(avg(max_f1), 7) FROM r GROUP BY model""")
 def _(t):
-    c = curve(t, ("model", "cls"))
-    r = M.average_precision(c, ("model", "cls")).join(M.best_f1(c, ("model", "cls")), ["model", "cls"])
-    rows = r.select("model", F.col("cls").cast("string").alias("class_id"), F.round("ap", 7).alias("ap"), F.round("max_f1", 7).alias("max_f1"))
-    return rows.unionByName(r.groupBy("model").agg(F.lit("mAP").alias("class_id"), F.round(F.avg("ap"), 7).alias("ap"), F.round(F.avg("max_f1"), 7).alias("max_f1")))
+    r = M.average_precision(curve(t, ("model", "cls")), ("model", "cls"), F.max("f1").alias("max_f1"))
+    r = r.rollup("model", "cls").agg(F.avg("ap").alias("ap"), F.avg("max_f1").alias("max_f1")).where("model is not null")
+    return r.select("model", F.coalesce(F.col("cls").cast("string"), F.lit("mAP")).alias("class_id"), F.round("ap", 7).alias("ap"), F.round("max_f1", 7).alias("max_f1"))
 
 
 @query("snk_pdf", f"{curve_sql('cls')} SELECT cls, rn, recall, precision, f1, score AS conf FROM curve WHERE tp")
