@@ -23,8 +23,8 @@ are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -139,56 +139,38 @@ def near_duplicates(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return rows.join(joined, "fp").select("doc_id", *keep, "fp", "class_id", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-#: Fingerprints of a document in ``keep_one``, each under its own hash; words of the shingles that
-#: verify a link, and the Jaccard similarity that they must have.
-TABLES, VERIFY_WORDS, SIMILARITY = 6, 5, 0.8
-#: A word weighs its length, up to a bound, to this power: long words are rare, and a few rare words
-#: stay as they are in a near copy while unrelated texts do not share them.
-LENGTH_POWER, LENGTH_BOUND = 6, 12
-
-
-def _table_bits(h: np.ndarray, table: int) -> np.ndarray:
-    """Other 64 bits for the hashes, by table."""
-    x = h + np.uint64(0x9E3779B97F4A7C15 * table % 2**64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def word_fingerprints(text: bytes | None, tables: int = TABLES) -> list[int]:
-    """Fingerprints over the single words of a text, weighed by length, one for each table."""
-    import xxhash
-
-    counts: dict[bytes, int] = {}
-    for w in (text or b"").lower().split():
-        counts[w] = counts.get(w, 0) + 1
-    if not counts:
-        return [0] * tables
-    h = np.array([xxhash.xxh64_intdigest(w, 42) for w in counts], dtype=np.uint64)
-    n = np.array([k * float(min(len(w), LENGTH_BOUND)) ** LENGTH_POWER for w, k in counts.items()])
-    out = []
-    for t in range(tables):
-        bits = np.unpackbits(_table_bits(h, t).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones = n @ bits
-        out.append(int(np.packbits(ones * 2 > n.sum(), bitorder="little").view("<i8")[0]))
-    return out
+#: Words of the shingles of ``keep_one``, and the Jaccard similarity that links two texts.
+VERIFY_WORDS, SIMILARITY = 5, 0.8
+#: Rounds in which a bucket is tested against one member, before all pairs left are tested.
+HUB_ROUNDS = 2
 
 
 def shingle_set(text: bytes | None, n: int = VERIFY_WORDS) -> np.ndarray:
+    """Sorted hashes of a text's distinct shingles; fewer words, or none, are one shingle."""
     import xxhash
 
     words = (text or b"").lower().split()
-    found = {xxhash.xxh64_intdigest(b" ".join(words[i : i + n])) for i in range(max(1, len(words) - n + 1))} if words else set()
-    return np.fromiter(found, dtype=np.uint64, count=len(found))
+    if len(words) <= n:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words))], dtype=np.uint64)
+    h = np.array([xxhash.xxh64_intdigest(w, 42) for w in words], dtype=np.uint64)
+    x, count = np.zeros(len(h) - n + 1, dtype=np.uint64), len(h) - n + 1
+    for k in range(n):
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + h[k : k + count]
+    return np.unique((x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB))
+
+
+def prefix_size(n: int) -> int:
+    """Of the n shingles of a text, so many that one at least is shared with any text SIMILARITY alike."""
+    return n - math.ceil(SIMILARITY * n - 1e-9) + 1
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
+    return both / (len(a) + len(b) - both)
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` whose texts (key, text) are SIMILARITY alike over VERIFY_WORDS words."""
+    """The (a, b) of ``pairs`` whose texts (id, text) are SIMILARITY alike over VERIFY_WORDS words."""
 
     @F.pandas_udf("boolean")
     def alike(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -199,30 +181,68 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             out.append(jaccard(shingle_set(a), held) >= SIMILARITY)
         return pd.Series(out, dtype=bool)
 
-    first = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
-    both = first.join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b")
+    first = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+    both = first.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
     return both.where(alike("ta", "tb")).select("a", "b")
 
 
-def candidate_pairs(texts: DataFrame, scratch: Scratch, table: int) -> DataFrame:
-    """(a, b), a > b: keys of ``texts`` (key, fp0, fp1, ...) of which one is a hub of the other in a
-    table: an outer key of the same fingerprint, or of one within the radius."""
-    own = texts.select("key", F.col(f"fp{table}").alias("fp"))
-    classes = scratch.save(own.groupBy("fp").agg(F.min("key").alias("hub"), F.max("key").alias("other")), "classes")
-    same = own.join(classes, "fp").select(F.col("key").alias("a"), F.explode(F.array("hub", "other")).alias("b")).where("a <> b")
-    stars = scratch.save(link_stars(classes.select("fp"), scratch, "near", hubs=2), "stars")
-    ends = stars.join(classes.select(F.col("fp").alias("a"), F.col("hub").alias("ka")), "a").join(classes.select(F.col("fp").alias("b"), F.col("hub").alias("kb")), "b")
-    found = same.union(ends.select(F.col("ka").alias("a"), F.col("kb").alias("b")))
-    found = scratch.save(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"pairs{table}")
-    scratch.drop("classes", "near", "stars")
-    return found
+def shingles(texts: DataFrame, prefix: bool) -> DataFrame:
+    """id, n, p, hs of every row of texts (id, text): the number of shingles, the prefix's, and all of them or the p least."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingle_set(t) for t in batch["text"]]
+            size = [prefix_size(len(s)) for s in sets]
+            held = [(s[:p] if prefix else s).view(np.int64) for s, p in zip(sets, size, strict=True)]
+            yield pd.DataFrame({"id": batch["id"], "n": [len(s) for s in sets], "p": size, "hs": held})
+
+    return texts.mapInPandas(run, "id long, n long, p long, hs array<long>")
 
 
-def not_linked(pairs: DataFrame, links: DataFrame) -> DataFrame:
-    """Pairs that ``links`` (a, b) do not hang on the same least text already."""
-    least = links.groupBy("a").agg(F.min("b").alias("l"))
-    named = pairs.join(least.select("a", F.col("l").alias("la")), "a", "left").join(least.select(F.col("a").alias("b"), F.col("l").alias("lb")), "b", "left")
-    return named.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+def buckets(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """h, id, n, weight: shingles under which the ``texts`` (id, text) meet that are SIMILARITY alike; every such pair has one.
+
+    A prefix filter: under one order for all, two such texts share a shingle of their first p. The
+    order is by the number of texts, so that common passages come last; shingles of one text alone
+    come first and only use up places.
+    """
+    sets = scratch.save(shingles(texts, False), "sets")
+    each = sets.select("id", "n", "p", F.explode("hs").alias("h"))
+    shared = scratch.save(each.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared")
+    met = each.join(shared.hint("merge"), "h").groupBy("id", "n", "p").agg(F.collect_list(F.struct("df", "h")).alias("hs"))
+    met = met.withColumn("weight", F.col("p") - F.col("n") + F.size("hs")).where("weight > 0")
+    first = F.expr("slice(array_sort(hs), 1, cast(weight as int))")
+    out = scratch.save(met.select(F.explode(first).alias("x"), "id", "n", "weight").select("x.h", "id", "n", "weight"), "buckets")
+    scratch.drop("sets", "shared")
+    return out
+
+
+def all_links(live: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b) of pairs SIMILARITY alike whose components are those of all such pairs within the buckets ``live``.
+
+    In rounds every bucket is tested against the member that shares most, then what is in one
+    component needs no more tests; in the last round all other pairs are tested.
+    """
+    live = live.withColumn("c", F.col("id"))
+    links = tested = scratch.save(live.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0), "links")
+    for k in range(HUB_ROUNDS + 1):
+        if k:
+            member = scratch.save(components(links, Scratch(scratch.spark, "nearmembers")), f"members{k}")
+            live = live.drop("c").join(member.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
+        hub = F.max_by(F.struct("id", "n", "c"), F.struct("weight", "id")).alias("hub")
+        open_ = live.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), hub).where("lo <> hi").select("h", "hub")
+        live = scratch.save(live.join(open_.hint("merge"), "h"), f"live{k}")
+        if k < HUB_ROUNDS:
+            met = live.select("id", "n", "c", F.col("hub.id").alias("id2"), F.col("hub.n").alias("n2"), F.col("hub.c").alias("c2"))
+        else:
+            met = live.select("h", "id", "n", "c").join(live.select("h", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("c").alias("c2")).hint("merge"), "h").where("id > id2")
+        met = met.where(f"c <> c2 and least(n, n2) >= {SIMILARITY} * greatest(n, n2) - 1e-6")
+        pairs = met.select(F.greatest("id", "id2").alias("a"), F.least("id", "id2").alias("b")).distinct()
+        pairs = scratch.save(pairs.join(tested, ["a", "b"], "left_anti"), f"pairs{k}")
+        links = scratch.save(links.union(verified(pairs, texts)), f"links{k}")
+        tested = tested.union(pairs)
+        live = live.select("h", "id", "n", "c", F.when(F.col("id") == F.col("hub.id"), -1).otherwise(F.col("weight")).alias("weight"))
+    return links
 
 
 def near_copies(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, bool]:
@@ -230,32 +250,23 @@ def near_copies(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, bool]:
 
     Of each group of near copies the row of the least doc_id stays.
     """
-    tables = [f"fp{t}" for t in range(TABLES)]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fps = [word_fingerprints(t) for t in batch["text"]]
-            yield batch[["doc_id", "key"]].assign(**{c: [f[i] for f in fps] for i, c in enumerate(tables)})
-
-    rows = docs.select("doc_id", digest().alias("key"), F.col("text").cast("binary").alias("text"))
-    kinds = dict(rows.dtypes)
-    rows = rows.mapInPandas(run, f"doc_id {kinds['doc_id']}, key string, " + ", ".join(f"{c} long" for c in tables))
-    rows = scratch.save(rows.groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n"), *[F.min(c).alias(c) for c in tables]), "rows")
+    rows = scratch.save(docs.select("doc_id", digest().alias("key")).groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n")), "rows")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"))
-    texts = scratch.save(rows.groupBy("key").agg(F.min(rank).alias("rank"), *[F.min(c).alias(c) for c in tables]), "texts")
-    # one table after the other: short plans, and the same code for each
-    pairs = [candidate_pairs(texts, scratch, t) for t in range(TABLES)]
-    every = reduce(DataFrame.union, pairs).select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    needed = scratch.save(every.join(texts, "key").select("key", F.col("rank.doc_id").alias("_first")), "needed")
-    again = docs.select("doc_id", digest().alias("key"), F.col("text").cast("binary").alias("text")).join(needed.hint("merge"), "key").where("doc_id <=> _first")
-    again = scratch.save(again.dropDuplicates(["key"]).select("key", "text"), "needed_texts")
-    links = scratch.save(verified(pairs[0], again), "links0")
-    for t in range(1, TABLES):
-        links = scratch.save(links.union(verified(not_linked(pairs[t], links), again)), f"links{t}")
-    kept = texts.select("key", "rank", F.col("key").alias("group"))
+    texts = scratch.save(rows.groupBy("key").agg(F.min(rank).alias("rank")).withColumn("id", F.xxhash64("key")), "texts")
+    each = docs.select("doc_id", digest().alias("key"), F.col("text").cast("binary").alias("text")).withColumn("id", F.xxhash64("key"))
+    # under the order of the hashes, a fifth of the shingles tells which texts may have a partner
+    least = scratch.save(shingles(each.select("id", "text"), True), "least").select("id", F.explode("hs").alias("h"))
+    shared = scratch.save(least.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("h"), "leastshared")
+    needed = least.join(shared.hint("merge"), "h").select("id").distinct()
+    needed = scratch.save(needed.join(texts, "id").select("key", F.col("rank.doc_id").alias("_first")), "needed")
+    scratch.drop("least", "leastshared")
+    again = each.join(needed.hint("merge"), "key").where("doc_id <=> _first")
+    again = scratch.save(again.dropDuplicates(["key"]).select("id", "text"), "needed_texts")
+    links = all_links(buckets(again, scratch), again, scratch)
+    kept = texts.select("key", "rank", F.col("id").alias("group"))
     if not links.isEmpty():
         member = scratch.save(components(links, scratch), "members")
-        kept = texts.select("key", "rank").join(member.withColumnRenamed("node", "key"), "key", "left").select("key", "rank", F.coalesce("component", "key").alias("group"))
+        kept = texts.select("key", "rank", "id").join(member.withColumnRenamed("node", "id"), "id", "left").select("key", "rank", F.coalesce("component", "id").alias("group"))
     best = kept.groupBy("group").agg(F.min(F.struct("rank", "key")).alias("best")).select("best.key", F.col("best.rank.doc_id").alias("_stays"), F.lit(True).alias("_is"))
     gone = rows.join(best, "key", "left").where("not coalesce(_is and doc_id <=> _stays, false)").select("key", "doc_id")
     return scratch.save(gone, "gone"), not rows.where("n > 1").isEmpty()
@@ -269,10 +280,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """docs with one document of each group of near copies, that of the least doc_id.
 
     Exact copies of a text are one at once, counted in every task before they meet. Of the
-    distinct texts those are candidates whose word fingerprints lie within the radius under any
-    of TABLES hashes, as stars; a candidate is linked if the two texts are SIMILARITY alike over
-    VERIFY_WORDS-word shingles. Rows of equal doc_id and text: one stays; a null doc_id sorts
-    last; null and empty texts are copies of each other. All columns stay.
+    distinct texts any two are linked that are SIMILARITY alike over VERIFY_WORDS-word
+    shingles; candidates come from a prefix filter, which loses none. Texts of fewer words are
+    one shingle. Rows of equal doc_id and text: one stays; a null doc_id sorts last; null and
+    empty texts are copies of each other. All columns stay.
     """
     gone, repeated = near_copies(docs.select("doc_id", "text"), Scratch(docs.sparkSession, "nearcopies"))
     gone = gone.select(F.col("key").alias("_key"), F.col("doc_id").alias("_gone"))

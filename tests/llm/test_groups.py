@@ -108,6 +108,56 @@ def test_keep_one(spark):
         assert 1000 + 10 * k in ids and sum(1000 + 10 * k + j in ids for j in range(5)) <= 2
 
 
+def edited(base, n, r):
+    """A copy of the words ``base`` with n of them replaced, far apart."""
+    w = list(base)
+    for k in r.sample(range(len(w) // 6), n):
+        w[6 * k + 2] = f"edit{r.getrandbits(40)}"
+    return w
+
+
+def test_keep_one_of_copies_alike_to_their_base_only(spark):
+    """Copies at 0.82 or more to their base and less to each other: whatever hub is taken first, the base-copy pairs are tested."""
+    r, rows = random.Random(8), []
+    for k in range(3):
+        base = prose(300 + k, 300).split()
+        rows += [(1000 * k + j, " ".join(edited(base, 5 if j else 0, r)), "en", "a", 0) for j in range(60)]
+    alike = lambda a, b: simhash.jaccard(simhash.shingle_set(a.encode()), simhash.shingle_set(b.encode()))
+    assert alike(rows[0][1], rows[1][1]) >= 0.8 > alike(rows[1][1], rows[2][1])
+    assert sorted(x.doc_id for x in simhash.keep_one(frame(spark, rows)).collect()) == [0, 1000, 2000]
+
+
+def test_links_close_the_rounds(spark, monkeypatch):
+    """With no hub round at all, and with hubs that share least, every pair alike is still linked."""
+    r = random.Random(9)
+    base = prose(310, 300).split()
+    texts = [(j, " ".join(edited(base, 5 if j else 0, r)).encode()) for j in range(12)]
+    df = frame(spark, texts, "id long, text binary")
+    for rounds, weigh in ((0, "weight"), (2, "-weight"), (1, "-weight")):
+        monkeypatch.setattr(simhash, "HUB_ROUNDS", rounds)
+        scratch = Scratch(spark, "t")
+        live = simhash.buckets(df, scratch).selectExpr("h", "id", "n", f"{weigh} as weight")
+        got = components(simhash.all_links(live, df, scratch), Scratch(spark, "t")).collect()
+        assert {x.node: x.component for x in got} == dict.fromkeys(range(12), 0), rounds
+
+
+def test_keep_one_against_every_pair(spark):
+    """Blocks appended, words edited, passages shared by all: what stays is what all pairs by brute force leave."""
+    r, rows = random.Random(10), []
+    common = prose(400, 80)
+    for k in range(25):
+        base = prose(401 + k, 250).split()
+        rows.append((10 * k, " ".join(base), "en", "a", 0))
+        rows.append((10 * k + 1, " ".join(base) + " " + prose(500 + k, 8 + 4 * (k % 16)), "en", "a", 0))
+        rows.append((10 * k + 2, " ".join(edited(base, r.randint(1, 9), r)), "en", "a", 0))
+        rows.append((10 * k + 3, prose(600 + k, 100 + 10 * k) + " " + common, "en", "a", 0))
+    sets = {i: {*simhash.shingle_set(t.encode()).tolist()} for i, t, *_ in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(links) > 25 and any(10 * k + 1 not in {b for _, b in links} for k in range(25))
+    want = closure(sets, links)
+    assert sorted(x.doc_id for x in simhash.keep_one(frame(spark, rows)).collect()) == sorted({*want.values()})
+
+
 def slow_repeats(rows, least):
     docs, where = defaultdict(list), defaultdict(list)
     for i, t, *_ in rows:
