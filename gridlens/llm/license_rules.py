@@ -2,7 +2,8 @@
 
 Every line of a table is ``label | weight | keywords | regex``. A regex is matched against
 the words of a text, lower-cased and joined by single blanks, and begins and ends at word
-borders. A rule is tried only if all its keywords (words of that text) occur. Tables come in
+borders. A rule is tried only if all its keywords (words of that text) occur; where alternatives
+hold different words, sets of keywords stand behind commas, and one set is enough. Tables come in
 order of priority: what stands in an earlier table, or earlier in the same one, goes first.
 """
 
@@ -16,13 +17,13 @@ mit-0 | 0.90 | mit attribution | mit no attribution
 isc | 0.95 | permission purpose | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
 0bsd | 0.90 | zero clause | (?:bsd )?zero clause (?:bsd )?license
 zlib | 0.95 | altered | altered source versions must be plainly marked as such
-zlib | 0.80 | warranty damages | this software is provided as is without any express or implied warranty in no event will the authors be held liable
+zlib | 0.80 | warranty liable | this software is provided as is without any express or implied warranty in no event will the authors be held liable
 bsd | 0.85 | redistribution binary | redistribution and use in source and binary forms with or without modification are permitted
 bsd-3-clause | 0.95 | endorse | neither the name of (?:\S+ ){1,12}nor the names of its contributors may be used to endorse or promote products
 bsd-4-clause | 0.95 | advertising acknowledgement | all advertising materials mentioning features or use of this software must display the following acknowledgement
 bsd-2-clause | 0.80 | redistributions reproduce | redistributions in binary form must reproduce the above copyright notice
 bsd-3-clause-clear | 0.95 | patent express | no express or implied licenses to any partys? patent rights are granted by this license
-bsl-1.0 | 0.95 | boost | permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license|boost software license version 1 0
+bsl-1.0 | 0.95 | accompanying covered, boost | permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license|boost software license version 1 0
 apache-2.0 | 0.97 | apache | licensed under the apache license version 2 0
 apache-2.0 | 0.85 | limitations governing | see the license for the specific language governing permissions and limitations under the license
 apache-2.0 | 0.80 | compliance | you may not use this file except in compliance with the license
@@ -43,7 +44,7 @@ gpl | 0.80 | gnu warranty | this program is distributed in the hope that it will
 gpl | 0.70 | gnu copy | you should have received a copy of the gnu general public license
 lgpl | 0.70 | gnu copy lesser | you should have received a copy of the gnu lesser general public license
 agpl | 0.70 | gnu copy affero | you should have received a copy of the gnu affero general public license
-gpl-classpath-exception | 0.90 | classpath | classpath exception|as a special exception the copyright holders of this library give you permission to link this library
+gpl-classpath-exception | 0.90 | classpath, special exception link | classpath exception|as a special exception the copyright holders of this library give you permission to link this library
 gpl-bison-exception | 0.85 | bison exception | as a special exception you may create a larger work that contains part or all of the bison parser skeleton
 gpl-font-exception | 0.85 | font exception | as a special exception if you create a document which uses this font
 mpl-2.0 | 0.97 | mozilla | this source code form is subject to the terms of the mozilla public license v(?:ersion)? ?2 0
@@ -51,7 +52,7 @@ mpl-1.1 | 0.95 | mozilla | subject to the mozilla public license version 1 1
 mpl-1.0 | 0.90 | mozilla | subject to the mozilla public license version 1 0
 epl-2.0 | 0.95 | eclipse | made available under the terms of the eclipse public license (?:v(?:ersion)? ?)?2 0
 epl-1.0 | 0.95 | eclipse | made available under the terms of the eclipse public license (?:v(?:ersion)? ?)?1 0
-cddl-1.0 | 0.95 | cddl | subject to the terms of the common development and distribution license|cddl (?:version )?1 0
+cddl-1.0 | 0.95 | common development, cddl | subject to the terms of the common development and distribution license|cddl (?:version )?1 0
 cddl-1.1 | 0.90 | cddl | cddl (?:version )?1 1
 cpl-1.0 | 0.90 | common | common public license (?:version |v )?1 0
 eupl-1.2 | 0.95 | eupl | licensed under the eupl (?:\S+ ){0,6}1 2
@@ -59,7 +60,7 @@ eupl-1.1 | 0.90 | eupl | licensed under the eupl (?:\S+ ){0,6}1 1
 ms-pl | 0.90 | microsoft | microsoft public license
 ms-rl | 0.90 | microsoft | microsoft reciprocal license
 artistic-2.0 | 0.90 | artistic | artistic license (?:version )?2 0
-artistic-1.0 | 0.80 | artistic perl | same terms as perl itself|artistic license (?:version )?1 0
+artistic-1.0 | 0.80 | perl itself, artistic | same terms as perl itself|artistic license (?:version )?1 0
 openssl | 0.90 | openssl | this product includes software developed by the openssl project
 php-3.01 | 0.90 | php | php license (?:version |v )?3 01
 python-2.0 | 0.90 | python foundation | python software foundation license
@@ -73,7 +74,7 @@ public-domain | 0.50 | public domain | (?:is|are) in the public domain
 ofl-1.1 | 0.95 | sil | sil open font license (?:version |v )?1 1
 odbl-1.0 | 0.90 | open database | open (?:data commons )?(?:open )?database license
 odc-by-1.0 | 0.90 | commons attribution | open data commons attribution license
-pddl-1.0 | 0.90 | commons dedication | public domain dedication and license
+pddl-1.0 | 0.90 | domain dedication | public domain dedication and license
 cdla-permissive-2.0 | 0.90 | community permissive | community data license agreement permissive version 2 0
 cdla-permissive-1.0 | 0.90 | community permissive | community data license agreement permissive version 1 0
 cdla-sharing-1.0 | 0.90 | community sharing | community data license agreement sharing version 1 0
@@ -82,7 +83,7 @@ sspl-1.0 | 0.90 | server side | server side public license
 busl-1.1 | 0.90 | business | business source license (?:version )?1 1
 polyform-noncommercial | 0.90 | polyform | polyform noncommercial license
 polyform-small-business | 0.90 | polyform | polyform small business license
-openrail-m | 0.85 | rail | (?:creativeml )?open rail(?: m)?(?: license)?|openrail m license
+openrail-m | 0.85 | rail, openrail | (?:creativeml )?open rail(?: m)?(?: license)?|openrail m license
 llama-community | 0.85 | llama community | llama(?: \d)* community license
 upl-1.0 | 0.90 | universal permissive | universal permissive license
 ncsa | 0.90 | illinois | university of illinois (?:ncsa )?open source license
@@ -95,7 +96,7 @@ ecl-2.0 | 0.85 | educational | educational community license
 vim | 0.80 | vim | vim license
 curl | 0.80 | curl | curl license
 json | 0.85 | good evil | the software shall be used for good not evil
-beerware | 0.85 | beer | the beer ?ware license|you can buy me a beer in return
+beerware | 0.85 | beer, beerware | the beer ?ware license|you can buy me a beer in return
 cecill-2.1 | 0.85 | cecill | cecill (?:license )?(?:version )?2 1
 cecill-b | 0.85 | cecill | cecill b
 cecill-c | 0.85 | cecill | cecill c
@@ -104,7 +105,7 @@ proprietary | 0.60 | rights reserved | all rights reserved
 proprietary | 0.80 | confidential proprietary | (?:confidential and proprietary|proprietary and confidential)
 proprietary | 0.70 | prohibited | unauthorized (?:copying|use|distribution)(?: \S+){0,8} is strictly prohibited
 no-derivatives | 0.60 | reproduced permission | (?:may not|no part \S+(?: \S+){0,4}) be reproduced (?:\S+ ){0,12}without (?:the )?(?:prior )?(?:written )?permission
-non-commercial | 0.60 | commercial | for non ?commercial (?:use|purposes)(?: only)?
+non-commercial | 0.60 | commercial, noncommercial | for non ?commercial (?:use|purposes)(?: only)?
 eula | 0.60 | end agreement | end user licen[cs]e agreement
 """
 
@@ -131,11 +132,11 @@ agpl | 0.70 | gnu org | (?:www )?gnu org licenses agpl(?: \S+)? html
 gfdl | 0.70 | gnu org | (?:www )?gnu org licenses fdl(?: \S+)? html
 apache-2.0 | 0.85 | apache | (?:www )?apache org licenses license 2 0(?: txt| html)?
 apache-2.0 | 0.85 | apache | apache (?:software )?license (?:version |v )?v?2(?: 0)?
-apache-2.0 | 0.75 | apache | apache 2 0(?: license)?|apache2|apache 2 license
+apache-2.0 | 0.75 | apache, apache2 | apache 2 0(?: license)?|apache2|apache 2 license
 mit | 0.80 | opensource mit | (?:www )?opensource org licenses? mit(?: license)?(?: php| html)?
-mit | 0.80 | mit licensed | (?:released|distributed|licensed) under the (?:terms of the )?mit license
+mit | 0.80 | mit license | (?:released|distributed|licensed) under the (?:terms of the )?mit license
 bsd-3-clause | 0.80 | bsd | (?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd|revised bsd)(?: license)?
-bsd-2-clause | 0.80 | bsd | (?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)(?: license)?
+bsd-2-clause | 0.80 | bsd, freebsd | (?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)(?: license)?
 bsd-4-clause | 0.80 | bsd | (?:bsd 4 clause|4 clause bsd|four clause bsd|original bsd|old bsd)(?: license)?
 bsd | 0.60 | bsd | bsd (?:style )?licen[cs]e
 bsl-1.0 | 0.80 | boost | (?:www )?boost org license 1 0 txt
@@ -155,13 +156,13 @@ cc-by-2.5 | 0.85 | creative attribution | creative commons attribution 2 5(?: ge
 cc-by-2.0 | 0.85 | creative attribution | creative commons attribution 2 0(?: generic)?
 cc-by-sa-4.0 | 0.90 | creative sharealike | creative commons attribution sharealike 4 0(?: international)?
 cc-by-sa-3.0 | 0.90 | creative sharealike | creative commons attribution sharealike 3 0(?: unported)?
-cc-by-nc-4.0 | 0.90 | creative noncommercial | creative commons attribution non ?commercial 4 0(?: international)?
-cc-by-nc-3.0 | 0.90 | creative noncommercial | creative commons attribution non ?commercial 3 0(?: unported)?
+cc-by-nc-4.0 | 0.90 | creative noncommercial, creative commercial | creative commons attribution non ?commercial 4 0(?: international)?
+cc-by-nc-3.0 | 0.90 | creative noncommercial, creative commercial | creative commons attribution non ?commercial 3 0(?: unported)?
 cc-by-nd-4.0 | 0.90 | creative | creative commons attribution no ?derivatives 4 0(?: international)?
 cc-by-nc-sa-4.0 | 0.90 | creative sharealike | creative commons attribution non ?commercial sharealike 4 0(?: international)?
 cc-by-nc-nd-4.0 | 0.90 | creative | creative commons attribution non ?commercial no ?derivatives 4 0(?: international)?
-cc-by-sa | 0.80 | creative share | creative commons attribution share ?alike
-cc-by-nc-sa | 0.80 | creative share | creative commons attribution non ?commercial share ?alike
+cc-by-sa | 0.80 | creative share, creative sharealike | creative commons attribution share ?alike
+cc-by-nc-sa | 0.80 | creative share, creative sharealike | creative commons attribution non ?commercial share ?alike
 cc-by-nc-nd | 0.80 | creative | creative commons attribution non ?commercial no ?derivatives
 cc-by-nc | 0.80 | creative | creative commons attribution non ?commercial
 cc-by-nd | 0.80 | creative | creative commons attribution no ?derivatives
@@ -220,17 +221,17 @@ postgresql python-2.0 ruby sspl-1.0 unlicense upl-1.0 vim w3c wtfpl x11 zlib
 """
 
 
-def table() -> list[tuple[str, float, tuple[str, ...], str]]:
-    """(label, weight, keywords, regex) of every rule, first things first."""
+def table() -> list[tuple[str, float, tuple[frozenset[str], ...], str]]:
+    """(label, weight, sets of keywords, regex) of every rule, first things first."""
 
     def read(lines: str):
         for line in lines.strip().splitlines():
             label, weight, keys, regex = (x.strip() for x in line.split(" | ", 3))
-            yield label, float(weight), tuple(keys.split()), regex
+            yield label, float(weight), tuple(frozenset(k.split()) for k in keys.split(",")), regex
 
     tags = []
     for name in IDENTIFIERS.split():
         words = name.replace("-", " ").replace(".", " ")
-        tags.append((name, 0.99, ("spdx",), f"spdx license identifier (?:\\S+ (?:or|and) )?{words}(?= |$)(?! (?:only|or later))"))
-        tags.append((name, 0.80, ("license",), f"license {words} (?=author|version|dependencies|main|scripts|description|homepage)"))
+        tags.append((name, 0.99, (frozenset({"spdx"}),), f"spdx license identifier (?:\\S+ (?:or|and) )?{words}(?= |$)(?! (?:only|or later))"))
+        tags.append((name, 0.80, (frozenset({"license"}),), f"license {words} (?=author|version|dependencies|main|scripts|description|homepage)"))
     return [*tags[::2], *read(NOTICES), *tags[1::2], *read(NAMES)]

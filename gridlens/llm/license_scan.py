@@ -1,7 +1,7 @@
 """License scans: ordered signatures behind a keyword prefilter.
 
-An Aho-Corasick pass over the words of a text finds the keywords in it; only rules whose
-keywords all occur are matched. Detections are taken in order of priority, and one whose
+An Aho-Corasick pass over the words of a text finds the keywords in it; only rules of which a
+set of keywords occurs are matched: every text that a rule matches holds one of its sets. Detections are taken in order of priority, and one whose
 interval of words lies inside that of a detection already kept is suppressed.
 
 Defined cases: null and empty texts have no words, null places and empty labels; whole texts
@@ -37,14 +37,15 @@ SCHEMA = (
 def _compiled():
     import ahocorasick
 
-    rules = [(label, weight, frozenset(keys), re.compile(f"(?<= )(?:{regex})(?= )")) for label, weight, keys, regex in table()]
+    rules = [(label, weight, keys, re.compile(f"(?<= )(?:{regex})(?= )")) for label, weight, keys, regex in table()]
     keywords = ahocorasick.Automaton()
-    for key in {k for r in rules for k in r[2]}:
+    for key in {k for r in rules for keys in r[2] for k in keys}:
         keywords.add_word(f" {key} ", key)
     keywords.make_automaton()
-    by_key: dict[str, list[int]] = {}
-    for k, (_, _, keys, _) in enumerate(rules):
-        by_key.setdefault(min(keys), []).append(k)
+    by_key: dict[str, list[tuple[int, frozenset[str]]]] = {}
+    for k, (_, _, sets, _) in enumerate(rules):
+        for keys in sets:
+            by_key.setdefault(min(keys), []).append((k, keys))
     return rules, keywords, by_key
 
 
@@ -105,7 +106,8 @@ def scan(text: bytes | None) -> tuple:
     base.sort()
     # a keyword's closing blank opens the next one, so overlapping finds are all reported
     present = {key for _, key in keywords.iter(line)}
-    found = [(k, m.start(), m.end()) for key in present for k in by_key.get(key, ()) if rules[k][2] <= present for m in rules[k][3].finditer(line)]
+    tried = {k for key in present for k, keys in by_key.get(key, ()) if keys <= present}
+    found = [(k, m.start(), m.end()) for k in tried for m in rules[k][3].finditer(line)]
     kept = suppressed(found)
     place = _places(line, sorted({k for k, _ in base} | {k - 1 for _, k, _ in kept} | {k for *_, k in kept}))
     starts = [place[k] for k, _ in base]
