@@ -3,7 +3,11 @@
 Texts are cut into words at white space and ASCII punctuation. In the template a word with a
 digit in front is a number, one with a capital in front a name, one of UNITS a unit; all else
 stays, lower-cased. A rule looks at one word alone, so that a passage has the same template
-wherever it stands. Windows of five template words are hashed.
+wherever it stands. Windows of five template words are hashed, and those of the five lower-cased
+words. Letter case makes the template, so in a window of one case throughout (a document's in
+capitals or without any, an item's in capitals) words that agree but for case match as well.
+Where case is mixed, a plain word of the item that the document writes with a capital is a name
+and does not match.
 
 Only some windows of an item are looked up among those of the documents: at SHARE of n windows
 at most (1 - SHARE) n differ, so of one more than that at least one is met. Those with the
@@ -45,11 +49,20 @@ def words(text):
     return F.filter(F.split(F.coalesce(text, F.lit("")), _SPLIT), lambda w: w != "")
 
 
+def literal(w):
+    return F.xxhash64(F.lower(w))
+
+
 def shaped(w):
     """Template word of a word: the number of its slot, or its hash."""
     head = F.substring(w, 1, 1)
     slot = F.when(head.between("0", "9"), _NUM).when(head != F.lower(head), _NAME).when(w.isin(*UNITS), _UNIT)
-    return F.coalesce(slot.cast("long"), F.xxhash64(F.lower(w)))
+    return F.coalesce(slot.cast("long"), literal(w))
+
+
+def cased(w):
+    """Bits of a word's case: 1 if nothing in it is a capital, 2 if all that can be is one."""
+    return (w == F.lower(w)).cast("int") + F.when(w == F.upper(w), 2).otherwise(0)
 
 
 def windows(shape):
@@ -59,14 +72,16 @@ def windows(shape):
 
 
 def known_items(items: DataFrame) -> DataFrame:
-    """item_id, shape, lit, ws, plain (plain words of each window) and looked (the windows to look up)."""
+    """item_id, shape, lit, cases, ws, lws, plain (plain words of each window) and looked (the windows to look up, as templates and as words)."""
     cut = items.select("item_id", words(F.col("text")).alias("w"))
-    cut = cut.select("item_id", F.transform("w", shaped).alias("shape"), F.transform("w", lambda w: F.xxhash64(F.lower(w))).alias("lit"))
-    cut = cut.where(F.size("shape") >= WINDOW).withColumn("ws", windows(F.col("shape")))
+    cut = cut.select("item_id", F.transform("w", shaped).alias("shape"), F.transform("w", literal).alias("lit"), F.transform("w", cased).alias("cases"))
+    cut = cut.where(F.size("shape") >= WINDOW).withColumn("ws", windows(F.col("shape"))).withColumn("lws", windows(F.col("lit")))
     plain = F.expr(f"transform(sequence(1, size(ws)), i -> size(filter(slice(shape, i, {WINDOW}), x -> x not in ({_NUM}, {_NAME}, {_UNIT}))))")
     cut = cut.withColumn("plain", plain)
     best = "sort_array(transform(ws, (w, i) -> struct(-plain[i] as few, w as w, i as pos)))"
-    return cut.withColumn("looked", F.expr(f"slice({best}, 1, cast(floor(size(ws) * {1 - SHARE:.9f}) as int) + 1)"))
+    cut = cut.withColumn("best", F.expr(f"slice({best}, 1, cast(floor(size(ws) * {1 - SHARE:.9f}) as int) + 1)"))
+    both = "array_distinct(flatten(transform(best, b -> array(struct(b.w as w, b.pos as pos), struct(lws[b.pos] as w, b.pos as pos)))))"
+    return cut.withColumn("looked", F.expr(both)).drop("best")
 
 
 def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -79,18 +94,24 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     known = scratch.save(known_items(items), "items")
     looked = known.select("item_id", F.explode("looked").alias("l")).select("item_id", "l.w", "l.pos")
     n_looked = known.agg(F.coalesce(F.sum(F.size("looked")), F.lit(0))).first()[0]
-    shapes = docs.select(F.col("doc_id").alias("doc"), F.transform(words(F.col("text")), shaped).alias("shape"))
-    all_windows = shapes.select("doc", F.posexplode(windows(F.col("shape"))).alias("i", "w"))
+    shapes = docs.select(F.col("doc_id").alias("doc"), words(F.col("text")).alias("w"))
+    shapes = shapes.select("doc", F.transform("w", shaped).alias("shape"), F.transform("w", literal).alias("lit"))
+    zipped = F.arrays_zip(windows(F.col("shape")).alias("w"), windows(F.col("lit")).alias("l"))
+    all_windows = shapes.select("doc", F.posexplode(zipped).alias("i", "x"))
+    all_windows = all_windows.select("doc", "i", F.explode(F.expr("if(x.w = x.l, array(x.w), array(x.w, x.l))")).alias("w"))
     met = all_windows.join(small(looked, n_looked), "w").select("doc", "item_id", (F.col("i") - F.col("pos")).alias("shift")).distinct()
     met = scratch.save(met.groupBy("doc").agg(F.collect_list(F.struct("item_id", "shift")).alias("met")), "met")
     again = docs.select("doc_id", words(F.col("text")).alias("w")).join(small(met, met.count()), F.col("doc_id").eqNullSafe(F.col("doc")))
-    again = again.select("doc_id", "met", F.transform("w", shaped).alias("dshape"), F.transform("w", lambda w: F.xxhash64(F.lower(w))).alias("dlit"))
-    pairs = again.select("doc_id", "dshape", "dlit", F.explode("met").alias("m")).select("doc_id", "m.item_id", "m.shift", "dshape", "dlit")
+    again = again.select("doc_id", "met", F.transform("w", shaped).alias("dshape"), F.transform("w", literal).alias("dlit"), F.transform("w", cased).alias("dcases"))
+    pairs = again.select("doc_id", "dshape", "dlit", "dcases", F.explode("met").alias("m")).select("doc_id", "m.item_id", "m.shift", "dshape", "dlit", "dcases")
     # the document's words under the item, null where it has none
     under = "transform(sequence(0, size(shape) - 1), p -> get({0}, p + shift))"
-    held = pairs.join(small(known, n_looked), "item_id").select("doc_id", "item_id", "shift", "shape", "lit", "plain", F.expr(under.format("dshape")).alias("dshape"), F.expr(under.format("dlit")).alias("dlit"))
-    same = f"""transform(plain, (n, i) -> coalesce(if(n < {LITERALS},
-        slice(lit, i + 1, {WINDOW}) = slice(dlit, i + 1, {WINDOW}), slice(shape, i + 1, {WINDOW}) = slice(dshape, i + 1, {WINDOW})), false))"""
+    laid = [F.expr(under.format(c)).alias(c) for c in ("dshape", "dlit", "dcases")]
+    held = pairs.join(small(known, n_looked), "item_id").select("doc_id", "item_id", "shift", "shape", "lit", "cases", "plain", *laid)
+    part = f"slice({{0}}, i + 1, {WINDOW})".format
+    one_case = f"(forall({part('dcases')}, c -> c & 1 = 1) or forall({part('dcases')}, c -> c & 2 = 2) or forall({part('cases')}, c -> c & 2 = 2))"
+    same = f"""transform(plain, (n, i) -> coalesce((n >= {LITERALS} and {part('shape')} = {part('dshape')})
+        or ({part('lit')} = {part('dlit')} and (n < {LITERALS} or {one_case})), false))"""
     held = held.withColumn("same", F.expr(same)).withColumn("matched", F.expr("size(filter(same, s -> s))"))
     held = held.where(f"matched >= {SHARE} * size(plain)")
     in_match = f"exists(slice(same, greatest(1, p - {WINDOW - 2}), least(p + 1, {WINDOW})), s -> s)"

@@ -281,6 +281,15 @@ def test_leaks(spark, tmp_path):
     assert {r.doc_id: r.changed_slots for r in got}[2] > 0
 
 
+def test_leaks_in_one_case(spark):
+    """Passages wholly in capitals or without any are found, whichever side is so written."""
+    items = [*ITEMS[:2], (5, "THE OLD MILL OF ANNA STANDS NEAR 14 TALL TREES AND ITS WHEEL TURNS ALL NIGHT")]
+    docs = [(20, f"{prose(1, 20)} {ITEMS[0][1].upper()} {prose(2, 20)}"), (21, f"{prose(3, 9)} {ITEMS[0][1].lower()}"), (22, f"{ITEMS[1][1].upper()}. {prose(4, 9)}"),
+            (23, "The old mill of Anna stands near 14 tall trees and its wheel turns all night"), (24, prose(5, 90).upper())]
+    found = decontaminate.leaks(frame(spark, docs, "doc_id long, text string"), frame(spark, items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.share, r.changed_slots) for r in found} == {(20, 1, 1.0, 0), (21, 1, 1.0, 0), (22, 2, 1.0, 0), (23, 5, 1.0, 0)}
+
+
 def test_clean_and_empty(spark):
     items, df = frame(spark, ITEMS, "item_id long, text string"), with_clashes(frame(spark, leak_docs()))
     out = decontaminate.clean(df, items)
