@@ -141,6 +141,8 @@ def near_duplicates(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 #: Words of the shingles of ``keep_one``, and the Jaccard similarity that links two texts.
 VERIFY_WORDS, SIMILARITY = 5, 0.8
+#: Of so many hashes one is below the bound of ``sampled`` shingles.
+SAMPLE = 3
 #: Rounds in which a bucket is tested against one member, before all pairs left are tested.
 HUB_ROUNDS = 2
 
@@ -186,19 +188,44 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.where(alike("ta", "tb")).select("a", "b")
 
 
-def shingles(texts: DataFrame, prefix: bool) -> DataFrame:
-    """id, n, p, hs of every row of texts (id, text): the number of shingles, the prefix's, and all of them or the p least."""
+def shingles(texts: DataFrame, sampled: bool) -> DataFrame:
+    """id, n, p, hs of every row of texts (id, text): the number of shingles, the prefix's, and all of them or those below a bound."""
+    bound = np.uint64(2**64 // SAMPLE)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingle_set(t) for t in batch["text"]]
             size = [prefix_size(len(s)) for s in sets]
-            held = [(s[:p] if prefix else s).view(np.int64) for s, p in zip(sets, size, strict=True)]
+            held = [(s[: np.searchsorted(s, bound)] if sampled else s).view(np.int64) for s in sets]
             yield pd.DataFrame({"id": batch["id"], "n": [len(s) for s in sets], "p": size, "hs": held})
 
     return texts.mapInPandas(run, "id long, n long, p long, hs array<long>")
 
 
+def freed(scratch: Scratch) -> None:
+    """Shuffle files of what is stored go now, not at some later collection."""
+    scratch.spark._jvm.System.gc()
+
+
+def partnered(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """The id of each of ``docs`` (id, text) that may have a partner, and of few that have none.
+
+    All but p - 1 shingles of a text occur in its partner, so of those below the bound as well:
+    of s of them at least s - p + 1 are in another text too.
+    """
+    sets = scratch.save(shingles(docs, True), "sampled")
+    own = sets.groupBy("id").agg(F.max(F.size("hs") - F.col("p") + 1).alias("need"), F.count(F.lit(1)).alias("rows"))
+    each = sets.select("id", F.explode("hs").alias("h"))
+    shared = scratch.save(each.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("h"), "shared")
+    freed(scratch)
+    found = each.join(shared.hint("merge"), "h").groupBy("id").agg(F.count(F.lit(1)).alias("found"))
+    out = own.join(found, "id", "left").where("need <= 0 or found >= need * rows").select("id")  # an exact copy is a row more
+    out = scratch.save(out, "partnered")
+    scratch.drop("sampled", "shared")
+    freed(scratch)
+    return out
+
+
 def buckets(texts: DataFrame, scratch: Scratch) -> DataFrame:
     """h, id, n, weight: shingles under which the ``texts`` (id, text) meet that are SIMILARITY alike; every such pair has one.
 
@@ -207,13 +234,15 @@ def buckets(texts: DataFrame, scratch: Scratch) -> DataFrame:
     come first and only use up places.
     """
     sets = scratch.save(shingles(texts, False), "sets")
-    each = sets.select("id", "n", "p", F.explode("hs").alias("h"))
+    each = sets.select("id", F.explode("hs").alias("h"))
     shared = scratch.save(each.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared")
-    met = each.join(shared.hint("merge"), "h").groupBy("id", "n", "p").agg(F.collect_list(F.struct("df", "h")).alias("hs"))
-    met = met.withColumn("weight", F.col("p") - F.col("n") + F.size("hs")).where("weight > 0")
+    freed(scratch)
+    met = each.join(shared.hint("merge"), "h").groupBy("id").agg(F.collect_list(F.struct("df", "h")).alias("hs"))
+    met = met.join(sets.select("id", "n", "p"), "id").withColumn("weight", F.col("p") - F.col("n") + F.size("hs")).where("weight > 0")
     first = F.expr("slice(array_sort(hs), 1, cast(weight as int))")
     out = scratch.save(met.select(F.explode(first).alias("x"), "id", "n", "weight").select("x.h", "id", "n", "weight"), "buckets")
     scratch.drop("sets", "shared")
+    freed(scratch)
     return out
 
 
@@ -254,12 +283,7 @@ def near_copies(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, bool]:
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"))
     texts = scratch.save(rows.groupBy("key").agg(F.min(rank).alias("rank")).withColumn("id", F.xxhash64("key")), "texts")
     each = docs.select("doc_id", digest().alias("key"), F.col("text").cast("binary").alias("text")).withColumn("id", F.xxhash64("key"))
-    # under the order of the hashes, a fifth of the shingles tells which texts may have a partner
-    least = scratch.save(shingles(each.select("id", "text"), True), "least").select("id", F.explode("hs").alias("h"))
-    shared = scratch.save(least.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("h"), "leastshared")
-    needed = least.join(shared.hint("merge"), "h").select("id").distinct()
-    needed = scratch.save(needed.join(texts, "id").select("key", F.col("rank.doc_id").alias("_first")), "needed")
-    scratch.drop("least", "leastshared")
+    needed = scratch.save(partnered(each.select("id", "text"), scratch).join(texts, "id").select("key", F.col("rank.doc_id").alias("_first")), "needed")
     again = each.join(needed.hint("merge"), "key").where("doc_id <=> _first")
     again = scratch.save(again.dropDuplicates(["key"]).select("id", "text"), "needed_texts")
     links = all_links(buckets(again, scratch), again, scratch)
