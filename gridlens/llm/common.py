@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
+import threading
 import uuid
-from collections.abc import Collection
-from typing import ClassVar
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,15 +20,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows up to which a small side may be broadcast; beyond it a shuffle join is used.
 BROADCAST_ROWS = 20_000
 
+#: Rows that a Python worker is sent at once: of texts, this and not a partition's size is what it holds.
+ROWS_A_BATCH = 1000
+
 _own_dir: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where it is unset."""
+    """The cluster's ``spark.checkpoint.dir``. Where it is unset: a folder in the warehouse, which all
+    machines see; a temporary one only if this process is the only machine."""
     global _own_dir
     told = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if told:
         return told.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_gridlens"
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="gridlens-")
         atexit.register(shutil.rmtree, _own_dir, True)
@@ -37,24 +45,29 @@ class Scratch:
     """Parquet tables in the shared folder; each one cuts the lineage at its place.
 
     A table lives until ``drop``; what a returned DataFrame still reads is never dropped by
-    the operators. ``clean`` removes whole folders once their results are stored.
+    the operators. ``removed`` takes away what was made within it, once its results are stored.
     """
 
-    roots: ClassVar[list[str]] = []
+    _open = threading.local()
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        Scratch.roots.append(self.root)
+        for made in getattr(Scratch._open, "made", []):
+            made.append(self)
 
     @classmethod
-    def clean(cls, spark: SparkSession, keep: Collection[str] = ()) -> None:
-        """Removes all folders but those in ``keep``: only when nothing that reads them is still to run."""
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        for root in [r for r in cls.roots if r not in keep]:
-            path = jvm.org.apache.hadoop.fs.Path(root)
-            path.getFileSystem(conf).delete(path, True)
-            cls.roots.remove(root)
+    @contextmanager
+    def removed(cls) -> Iterator[None]:
+        """All that operators called within, by this thread, have kept goes at the end: nothing that reads it may still run then."""
+        made: list[Scratch] = []
+        cls._open.made = [*getattr(cls._open, "made", []), made]
+        try:
+            yield
+        finally:
+            cls._open.made = cls._open.made[:-1]
+            for scratch in made:
+                scratch.drop("")
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -64,10 +77,17 @@ class Scratch:
     def drop(self, *names: str) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}".rstrip("/"))
             path.getFileSystem(conf).delete(path, True)
 
 
+def lean(spark: SparkSession) -> None:
+    """Bounds the rows of a batch for Python workers in this session; a smaller bound stands. No result depends on it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ROWS_A_BATCH:
+        spark.conf.set(name, str(ROWS_A_BATCH))
+
+
 def small(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if its counted ``rows`` keep within ``bound``."""
     return F.broadcast(df) if rows <= bound else df

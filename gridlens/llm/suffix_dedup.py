@@ -1,27 +1,34 @@
-"""Repeated passages by sparse suffix arrays.
+"""Repeated passages by a sparse suffix array.
 
 Words are bytes between ASCII white space, with A-Z lower-cased. A suffix is retained where
 the hash of its first ANCHOR words is the least of a window of places, so any passage of
-``least`` words retains the same suffixes wherever it stands. The retained suffixes are
-sorted by their leading words, in ranges that cut a frequent beginning into many tasks, and
-neighbours are compared: only a suffix that agrees with a neighbour over its leading words is
-extended. Extension is exact against all partners at once, not only the neighbours: each
-window of ``least`` words that holds the suffix's anchor, from the furthest to the left to
-the furthest to the right, is hashed, and windows that occur twice anywhere are repeated.
-Consecutive repeated windows join into maximal spans. Every window belongs to the one anchor
-that is least in it, so a passage gives as many rows as it has words, not as it has pairs.
-
-The first occurrence of a window (least doc_id, then place) is its original; the others are
-its copies, which ``cut_repeats`` removes.
+``least`` words retains the same suffix wherever it stands (the one that owns it). Retained
+suffixes whose beginning stands at two places are written out in words, as far as the
+passages that they own reach, and sorted: the array. Equal beginnings (a bucket) are
+neighbours in one part of it. Common words of neighbours give, for every number of words,
+the run of suffixes that agree so far to the right. Within a bucket matches are then extended
+to the left, word by word, with the run to the right that makes ``least`` words with it, so
+that all partners are met at once and never as pairs. Words are compared, not hashes.
+
+A bucket of more than ``hot`` suffixes is dealt out in parts, by a hash of the place, that are
+extended alike. Of the suffixes that agree in a window all but the first of a part are later
+ones for certain; that first one stands for them where parts meet, under a digest of the
+window's words, so that no more rows of a passage meet than it has parts.
+
+The first occurrence of a window of ``least`` words (least doc_id, then place) is its
+original; the words of all others are its copies, which ``cut_repeats`` removes. So a word
+goes only if the same words stand earlier, and the first of them all stays.
 
 Defined cases: null, empty and short texts (fewer than ``least`` words) hold no passage;
-within a text repeats count too, overlapping ones included; rows of equal doc_id are one
-document, whose passages in both are its own; a null doc_id sorts last; an empty table gives no
+within a text repeats count too, overlapping ones included; rows that agree in doc_id and
+text are one document, those that agree in doc_id alone are several, in the order of a hash
+of their texts; a null doc_id sorts last and joins no other rows; an empty table gives no
 rows; other columns pass through.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -30,15 +37,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import Scratch, packed
+from gridlens.llm.common import Scratch, lean, packed
 
-#: Words of a passage that counts as repeated, and words of a suffix's beginning.
-LEAST, ANCHOR = 50, 20
+#: Words of a passage that counts as repeated, words of a suffix's beginning, suffixes of a part of a bucket (about).
+LEAST, ANCHOR, HOT = 50, 20, 2000
+#: Suffixes that a task looks at together, if no bucket is larger.
+CHUNK = 20_000
 
 _SPACE = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Stands for a null doc_id inside; it sorts last.
 _NO_ID = 2**63 - 1
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+#: A document: its id, and the hash of its text among those of equal id.
+DOC = ("doc", "tie")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -47,11 +58,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(text: bytes) -> np.ndarray:
+def word_hashes(words: list[bytes]) -> np.ndarray:
     import xxhash
 
     digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(w) for w in text.lower().split()), dtype=np.uint64)
+    return np.fromiter((digest(w) for w in words), dtype=np.uint64, count=len(words))
 
 
 def windows_of(h: np.ndarray, n: int) -> np.ndarray:
@@ -96,112 +107,185 @@ def minimisers(a: np.ndarray, w: int) -> np.ndarray:
         best, width = np.where(a[right] < a[left], right, left), width * 2
 
 
-def anchors(text: bytes | None, least: int = LEAST, anchor: int = ANCHOR):
-    """(windows, owner, beginnings): hash of each window of ``least`` words, the place of the
-    suffix retained for it, and the hash of the beginning at every place."""
-    h = word_hashes(text or b"")
-    if len(h) < least:
+def retained(words: list[bytes], least: int = LEAST, anchor: int = ANCHOR):
+    """(key, at, near, far) of the suffixes retained for the windows of ``least`` words: the hash of
+    the beginning, the place, and that the windows owned begin near to far words before it."""
+    if len(words) < least:
         return None
-    begin = windows_of(h, anchor)
-    return windows_of(h, least), minimisers(begin, least - anchor + 1), begin
+    begin = windows_of(word_hashes(words), anchor)
+    owner = minimisers(begin, least - anchor + 1)
+    # owners never go back, so the windows of one are consecutive
+    at, first, count = np.unique(owner, return_index=True, return_counts=True)
+    return begin[at].view(np.int64), at, at - first - count + 1, at - first
+
+
+def words_of(text: bytes | None) -> list[bytes]:
+    return (text or b"").lower().split()  # of bytes: A-Z and ASCII white space only
 
 
 def sparse_suffixes(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR) -> DataFrame:
-    """(key, row, at): the retained suffixes of docs (row, text), key the hash of the leading words."""
+    """(key, doc, tie, at, near, far): the retained suffixes of docs (doc, tie, text)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            parts = []
+            for doc, tie, text in zip(batch["doc"], batch["tie"], batch["text"], strict=True):
+                if (found := retained(words_of(text), least, anchor)) is not None:
+                    n = len(found[0])
+                    parts.append((found[0], np.full(n, doc), np.full(n, tie), *(x.astype(np.int32) for x in found[1:])))
+            if parts:
+                yield pd.DataFrame({c: np.concatenate(x) for c, x in zip(("key", "doc", "tie", "at", "near", "far"), zip(*parts, strict=True), strict=True)})
+
+    return docs.mapInPandas(run, "key long, doc long, tie long, at int, near int, far int")
+
+
+def contexts(texts: DataFrame, least: int = LEAST) -> DataFrame:
+    """(key, part, parts, doc, tie, at, near, far, to_right, to_left) of the suffixes that texts (doc, tie, text, suffixes) names.
+
+    to_right holds the words from the suffix on that its nearest window needs, each with a blank after
+    it; to_left those before it that the furthest needs, from right to left. part is below parts, which
+    is 1 for a bucket that is not hot.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows, at, start = [], [], []
-            for row, text in zip(batch["row"], batch["text"], strict=True):
-                if (found := anchors(text, least, anchor)) is not None:
-                    places = np.unique(found[1])
-                    rows.append(np.full(len(places), row))
-                    at.append(places)
-                    start.append(found[2][places].view(np.int64))
-            if rows:
-                yield pd.DataFrame({"key": np.concatenate(start), "row": np.concatenate(rows), "at": np.concatenate(at).astype(np.int32)})
+            out = []
+            for doc, tie, text, suffixes in zip(batch["doc"], batch["tie"], batch["text"], batch["suffixes"], strict=True):
+                words = words_of(text)
+                for s in suffixes:
+                    at, near, far = s["at"], s["near"], s["far"]
+                    right, left = words[at : at + least - near], words[at - far : at][::-1]
+                    out.append((s["key"], s["parts"], doc, tie, at, near, far, b"".join([w + b" " for w in right]), b"".join([w + b" " for w in left])))
+            if out:
+                yield pd.DataFrame(out, columns=["key", "parts", "doc", "tie", "at", "near", "far", "to_right", "to_left"])
 
-    return docs.select("row", F.col("text").cast("binary").alias("text")).mapInPandas(run, "key long, row long, at int")
+    out = texts.mapInPandas(run, "key long, parts long, doc long, tie long, at int, near int, far int, to_right binary, to_left binary")
+    return out.withColumn("part", F.pmod(F.xxhash64("doc", "tie", "at"), "parts"))
 
 
-def sorted_neighbours(table: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """(row, at, later) of the rows of ``table`` (key, row, at) whose key occurs twice.
+def _numbered(column: pd.Series, width: int, number: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Words as numbers, one row each, -1 where there are no more, and how many words a row has."""
+    rows = [[number.setdefault(w, len(number)) for w in x.split()] for x in column]
+    size = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
+    out = np.full((len(rows), width), -1, dtype=np.int64)
+    out[np.arange(width) < size[:, None]] = [w for row in rows for w in row]
+    return out, size
 
-    The table is sorted by (key, row, at) over ranges, so that a frequent key is cut among
-    tasks, and neighbours are compared; later is true but for the first row of a key. Where a
-    key goes on over a border, both sides know it from the first and last keys of the ranges.
+
+def _runs_from(new: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.concatenate(([True], new)))
+
+
+def extended(rows: pd.DataFrame, least: int, anchor: int) -> tuple[pd.DataFrame, np.ndarray]:
+    """Distinct ``rows`` of whole parts, sorted, and what their windows are: 0 single, 1 a first occurrence, 2 a later one, -1 not owned.
+
+    Of the second, the column d belongs to the window that begins d words before the suffix.
     """
+    rows = rows[~rows.duplicated(["doc", "tie", "at"])].reset_index(drop=True)  # rows of one document
+    n, most = len(rows), least - anchor
+    number: dict[bytes, int] = {}
+    right, n_right = _numbered(rows["to_right"], least, number)
+    left, _ = _numbered(rows["to_left"], most, number)
+    place = np.empty(n, dtype=np.int64)
+    place[np.lexsort((rows["at"], rows["tie"], rows["doc"]))] = np.arange(n)
+    differ = right[1:] != right[:-1]
+    common = np.where(differ.any(axis=1), differ.argmax(axis=1), least)
+    common = np.minimum(common, np.minimum(n_right[1:], n_right[:-1]))
+    part = rows["part"].to_numpy()
+    common[part[1:] != part[:-1]] = 0
+    near, far = rows["near"].to_numpy(), rows["far"].to_numpy()
+    out = np.full((n, most + 1), -1, dtype=np.int8)
+    matched = _runs_from(common < anchor)  # the bucket, then those of it that agree so far to the left
+    for d in range(most + 1):
+        if d:
+            matched = np.unique(matched * (len(number) + 1) + left[:, d - 1] + 1, return_inverse=True)[1]
+        own = np.nonzero((near <= d) & (d <= far))[0]
+        to_right = _runs_from(common < least - d)[own]
+        group = np.unique(matched[own] * (n + 1) + to_right, return_inverse=True)[1]
+        count = np.bincount(group)
+        first = np.full(len(count), n)
+        np.minimum.at(first, group, place[own])
+        out[own, d] = np.where(count[group] < 2, 0, np.where(place[own] == first[group], 1, 2))
+    return rows, out
+
+
+def windows_at(rows: pd.DataFrame, kinds: np.ndarray, least: int) -> pd.DataFrame:
+    """(doc, tie, own, copied, firsts) of each suffix that has any: the first words of the repeated
+    windows, and for hot buckets of the first ones of a part, which are digested."""
+    at, hot = rows["at"].to_numpy(), rows["parts"].to_numpy() > 1
+    firsts = hot[:, None] & ((kinds == 0) | (kinds == 1))
+    some = np.nonzero((kinds > 0).any(axis=1) | hot)[0]
+
+    def starts(mask: np.ndarray) -> list[np.ndarray]:
+        i, d = np.nonzero(mask[some])
+        return np.split((at[some][i] - d).astype(np.int32), np.cumsum(mask[some].sum(axis=1))[:-1])
+
+    held = []
+    for i in some:
+        each = []
+        if hot[i]:
+            words, far = rows["to_left"].iat[i].split()[::-1], int(rows["far"].iat[i])
+            words += rows["to_right"].iat[i].split()
+            for d in np.nonzero(firsts[i])[0].tolist():
+                each.append({"key": hashlib.blake2b(b" ".join(words[far - d : far - d + least]), digest_size=16).digest(), "start": int(at[i]) - d, "many": bool(kinds[i, d] == 1)})
+        held.append(each)
+    own, copied = starts((kinds == 1) & ~hot[:, None]), starts(kinds == 2)
+    return pd.DataFrame({"doc": rows["doc"].to_numpy()[some], "tie": rows["tie"].to_numpy()[some], "own": own if len(some) else [], "copied": copied if len(some) else [], "firsts": held})
+
+
+_FOUND = "doc long, tie long, own array<int>, copied array<int>, firsts array<struct<key:binary,start:int,many:boolean>>"
+
+
+def in_parts(array: DataFrame, least: int, anchor: int) -> DataFrame:
+    """The columns of ``windows_at`` from the suffixes ``array``: sorted by their words, neighbours compared, extended."""
 
-    def lean(out: pd.DataFrame) -> pd.DataFrame:
-        # only first and last rows of a range can change by what stands beyond it: others need no key
-        return out.assign(key=out["key"].astype("Int64").where(out["border"]))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def bucket(rows: pd.DataFrame, i: int) -> tuple:
+            return rows["part"].iat[i], rows["to_right"].iat[i].split(b" ", anchor)[:anchor]
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, first = None, True
+        held: list[pd.DataFrame] = []
         for batch in batches:
-            batch = batch.assign(alike=False, later=False, border=False)
             if not len(batch):
                 continue
-            if held is not None:
-                batch = pd.concat([held, batch], ignore_index=True)
-            key = batch["key"].to_numpy()
-            same = key[1:] == key[:-1]
-            later = batch["later"].to_numpy() | np.concatenate(([False], same))
-            alike = batch["alike"].to_numpy() | later | np.concatenate((same, [False]))
-            border = batch["border"].to_numpy().copy()
-            border[0] |= first
-            first = False
-            out = batch.assign(alike=alike, later=later, border=border)
-            held = out.iloc[-1:].reset_index(drop=True)  # it waits for the next batch
-            out = out.iloc[:-1]
-            yield lean(out[out["alike"] | out["border"]])
-        if held is not None:
-            yield lean(held.assign(border=True))
-
-    ordered = table.select("key", "row", "at").orderBy("key", "row", "at").withColumn("part", F.spark_partition_id())
-    array = scratch.save(ordered.mapInPandas(compare, "key long, row long, at int, part int, alike boolean, later boolean, border boolean"), name)
-    ends = array.where("border").select("key", "part").distinct().groupBy("key").agg(F.min("part").alias("opens"), F.count(F.lit(1)).alias("n"))
-    ends = ends.where("n > 1").select("key", "opens")
-    # two keys of each range of the sort at most, however many rows a range has
-    return array.join(F.broadcast(ends), "key", "left").where("alike or opens is not null").select("row", "at", F.expr("later or coalesce(part > opens, false)").alias("later"))
-
-
-def repeated_windows(docs: DataFrame, scratch: Scratch, least: int = LEAST, anchor: int = ANCHOR) -> DataFrame:
-    """(row, at, later): every window of ``least`` words that occurs twice, at its first word;
-    later is false for the first occurrence. docs has row, text."""
+            held.append(batch)
+            if sum(map(len, held)) < CHUNK:
+                continue
+            rows = pd.concat(held, ignore_index=True)
+            lo, hi, last = 0, len(rows) - 1, bucket(rows, len(rows) - 1)  # the last part may go on: it waits
+            while lo < hi:
+                mid = (lo + hi) // 2
+                lo, hi = (lo, mid) if bucket(rows, mid) == last else (mid + 1, hi)
+            held = [rows.iloc[lo:]]
+            if lo:
+                yield windows_at(*extended(rows.iloc[:lo], least, anchor), least)
+        if held:
+            yield windows_at(*extended(pd.concat(held, ignore_index=True), least, anchor), least)
+
+    cut = array.repartition("key", "part").sortWithinPartitions("part", "to_right")
+    return cut.select("part", "parts", "doc", "tie", "at", "near", "far", "to_right", "to_left").mapInPandas(run, _FOUND)
+
+
+def repeated_windows(docs: DataFrame, scratch: Scratch, least: int = LEAST, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
+    """(doc, tie, own, copied): the first words of windows of ``least`` words that occur twice, own those
+    of first occurrences; some rows for each document. docs has doc, tie, text."""
     suffixes = scratch.save(sparse_suffixes(docs, least, anchor), "suffixes")
-    alike = sorted_neighbours(suffixes, scratch, "array").groupBy("row").agg(F.collect_list("at").alias("ats"))
+    place = F.xxhash64("doc", "tie", "at")
+    shared = suffixes.groupBy("key").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count(F.lit(1)).alias("n"))
+    # stored, so that a frequent key may be split where it is joined
+    shared = scratch.save(shared.where("lo <> hi").select("key", F.greatest(F.ceil(F.col("n") / hot), F.lit(1)).alias("parts")), "shared")
+    alike = suffixes.join(shared.hint("merge"), "key").groupBy("doc", "tie").agg(F.collect_set(F.struct("key", "at", "near", "far", "parts")).alias("suffixes"))
     alike = scratch.save(alike, "alike")
-    scratch.drop("suffixes", "array")
-
-    def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows, at, hashes = [], [], []
-            for row, text, ats in zip(batch["row"], batch["text"], batch["ats"], strict=True):
-                if (found := anchors(text, least, anchor)) is None:
-                    continue
-                places = np.nonzero(np.isin(found[1], np.asarray(ats)))[0]
-                rows.append(np.full(len(places), row))
-                at.append(places.astype(np.int32))
-                hashes.append(found[0][places].view(np.int64))
-            if rows:
-                yield pd.DataFrame({"key": np.concatenate(hashes), "row": np.concatenate(rows), "at": np.concatenate(at)})
-
-    texts = docs.select("row", F.col("text").cast("binary").alias("text")).join(alike, "row")
-    windows = scratch.save(texts.mapInPandas(extend, "key long, row long, at int"), "windows")
-    out = sorted_neighbours(windows, scratch, "repeated")
-    scratch.drop("windows", "alike")
-    return out
-
-
-def spans_of(at: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Maximal spans of words (start, end) that windows at the places ``at`` cover."""
-    at = np.unique(at)
-    if not len(at):
-        return []
-    cut = np.nonzero(np.diff(at) > least)[0]
-    starts, ends = np.concatenate((at[:1], at[cut + 1])), np.concatenate((at[cut], at[-1:])) + least
-    return list(zip(starts.tolist(), ends.tolist(), strict=True))
+    scratch.drop("suffixes", "shared")
+    array = scratch.save(contexts(docs.join(alike.hint("merge"), list(DOC)), least), "array")
+    scratch.drop("alike")
+    found = scratch.save(in_parts(array, least, anchor), "found")
+    scratch.drop("array")
+    firsts = found.select("doc", "tie", F.explode("firsts").alias("f")).select("f.key", "f.many", "doc", "tie", "f.start")
+    place = F.struct("doc", "tie", "start")
+    met = firsts.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.max("many").alias("many")).where("n > 1 or many").select("key", "first")
+    told = firsts.join(met.hint("merge"), "key").select("doc", "tie", "start", (place == F.col("first")).alias("is_first"))
+    told = told.select("doc", "tie", *[F.expr(f"if({cond}, array(start), array())").cast("array<int>").alias(c) for c, cond in (("own", "is_first"), ("copied", "not is_first"))])
+    return found.select("doc", "tie", "own", "copied").unionByName(told)
 
 
 def _covered(n: int, at: list[int], least: int) -> np.ndarray:
@@ -218,29 +302,35 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
-def repeats(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR) -> DataFrame:
-    """One row for each document that holds a repeated passage: doc_id, spans and copies.
+def with_ids(docs: DataFrame) -> DataFrame:
+    """doc, tie, text of docs (doc_id, text)."""
+    text = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))
+    return docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).cast("long").alias("doc"), F.xxhash64(text).alias("tie"), text.alias("text"))
+
+
+def repeats(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
+    """One row for each document that holds a repeated passage: doc_id, tie, spans and copies.
 
-    spans are the maximal spans of words (start, end) of passages that occur twice; copies are
-    the words of these that occur earlier and belong to no first occurrence.
+    tie is the hash of its text; spans are the maximal spans of words (start, end) of passages that
+    occur twice; copies are the words of windows that occur earlier.
     """
+    lean(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "suffixes")
-    rows = docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("row"), "text")
-    windows = repeated_windows(rows, scratch, least, anchor)
-    by_doc = windows.groupBy("row").agg(F.collect_list(F.when(~F.col("later"), F.col("at"))).alias("own"), F.collect_list(F.when(F.col("later"), F.col("at"))).alias("copied"))
+    windows = repeated_windows(with_ids(docs), scratch, least, anchor, hot)
+    by_doc = windows.groupBy("doc", "tie").agg(F.flatten(F.collect_list("own")).alias("own"), F.flatten(F.collect_list("copied")).alias("copied"))
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             spans, copies = [], []
             for own, copied in zip(batch["own"], batch["copied"], strict=True):
-                n = int(max([*own, *copied])) + least
+                n = int(max([*own, *copied], default=-least)) + least
                 a, b = _covered(n, own, least), _covered(n, copied, least)
                 spans.append([{"start": x, "end": y} for x, y in _runs(a | b)])
-                copies.append([{"start": x, "end": y} for x, y in _runs(b & ~a)])
-            yield pd.DataFrame({"doc_id": batch["row"], "spans": spans, "copies": copies})
+                copies.append([{"start": x, "end": y} for x, y in _runs(b)])
+            yield pd.DataFrame({"doc_id": batch["doc"], "tie": batch["tie"], "spans": spans, "copies": copies})
 
-    out = by_doc.mapInPandas(join, "doc_id long, spans array<struct<start:int,end:int>>, copies array<struct<start:int,end:int>>")
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
+    out = by_doc.mapInPandas(join, "doc_id long, tie long, spans array<struct<start:int,end:int>>, copies array<struct<start:int,end:int>>")
+    return out.where("size(spans) > 0").withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
 
 
 def cut_text(text: bytes, copies: list[tuple[int, int]]) -> bytes:
@@ -248,32 +338,33 @@ def cut_text(text: bytes, copies: list[tuple[int, int]]) -> bytes:
     words = [m.span() for m in _SPACE.finditer(text)]
     out, last = [], 0
     for a, b in copies:
-        if a >= len(words):  # a span of another row of the same doc_id
-            break
         out.append(text[last : words[a][0]])
         last = words[b][0] if b < len(words) else len(text)
     return b"".join([*out, text[last:]])
 
 
-def cut_repeats(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR) -> DataFrame:
+def cut_repeats(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
     """docs with the copies cut out of their texts; a text of which nothing is left goes.
 
     All columns stay; n_chars, where there is one, is counted anew.
     """
     spark = docs.sparkSession
-    found = Scratch(spark, "repeats").save(repeats(docs, least, anchor).where("size(copies) > 0").select(F.col("doc_id").alias("_id"), "copies"), "found")
+    found = repeats(docs.select("doc_id", "text"), least, anchor, hot).where("size(copies) > 0")
+    found = Scratch(spark, "repeats").save(found.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("_id"), F.col("tie").alias("_tie"), "copies"), "found")
+    text = F.col("text").cast("binary")
+    rows = packed(docs, F.coalesce("doc_id", F.lit(_NO_ID)).alias("_id"), F.xxhash64(F.coalesce(text, F.lit("").cast("binary"))).alias("_tie"))
     # the copies grow with the corpus: shuffled, at every size alike
-    joined = packed(docs, "doc_id", F.col("text").cast("binary").alias("_text")).join(found.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    joined = rows.join(found.hint("merge"), ["_id", "_tie"], "left")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, copies: pd.Series) -> pd.Series:
         return pd.Series([cut_text(t, [(c["start"], c["end"]) for c in x]).decode("utf-8", "replace") for t, x in zip(texts, copies, strict=True)])
 
-    changed = joined.where("copies is not null and _text is not null").select("_doc", cut("_text", "copies").alias("_left")).where(F.col("_left").rlike(r"[^\x20\x09-\x0D]"))
+    changed = joined.where("copies is not null").select("_doc", cut(F.col("_doc.text").cast("binary"), "copies").alias("_left")).where(F.col("_left").rlike(r"[^\x20\x09-\x0D]"))
     changed = changed.withColumn("_doc", F.col("_doc").withField("text", F.col("_left")))
     if "n_chars" in docs.columns:
         changed = changed.withColumn("_doc", F.col("_doc").withField("n_chars", F.length("_left").cast(docs.schema["n_chars"].dataType)))
-    return joined.where("copies is null or _text is null").select("_doc.*").unionByName(changed.select("_doc.*"))
+    return joined.where("copies is null").select("_doc.*").unionByName(changed.select("_doc.*"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
