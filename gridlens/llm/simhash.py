@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import Scratch, components, packed
+from gridlens.llm.common import Scratch, components, lean, packed
 
 RADIUS = 3
 #: Bits of the six blocks.
@@ -97,12 +97,8 @@ def block_keys(fp):
     return F.array(*out)
 
 
-def link_stars(prints: DataFrame, scratch: Scratch, name: str = "near", hubs: int = 1) -> DataFrame:
-    """(a, b) with bit_count(a ^ b) <= 3 whose components are those of all links among the distinct ``prints`` (fp).
-
-    With ``hubs`` 2 every variant has stars to its least and its greatest, for links that are to be
-    tested further and of which some may then fall out.
-    """
+def link_stars(prints: DataFrame, scratch: Scratch, name: str = "near") -> DataFrame:
+    """(a, b) with bit_count(a ^ b) <= 3 whose components are those of all links among the distinct ``prints`` (fp)."""
     keyed = prints.select("fp", F.explode(block_keys(F.col("fp"))).alias("k"))
     shared = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
     near = scratch.save(keyed.join(shared.hint("merge"), "k").select("fp").distinct(), name)
@@ -110,11 +106,9 @@ def link_stars(prints: DataFrame, scratch: Scratch, name: str = "near", hubs: in
     one = near.select("fp", F.explode(ball_masks(1)).alias("m"), F.lit(True).alias("close"))
     two = near.where("bit_count(fp) % 2 = 1").select("fp", F.explode(ball_masks(2)).alias("m"), F.lit(False).alias("close"))
     met = one.union(two).select("fp", F.col("fp").bitwiseXOR(F.col("m")).alias("v"), "close")
-    centre = F.when(F.col("close"), F.col("fp"))
-    chosen = [F.min(centre), F.max(centre)][:hubs]
-    hub = met.groupBy("v").agg(F.array_distinct(F.array(*chosen)).alias("hubs"), F.count(F.lit(1)).alias("n")).where("n > 1 and hubs[0] is not null")
+    hub = met.groupBy("v").agg(F.min(F.when(F.col("close"), F.col("fp"))).alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1 and b is not null")
     # Spark's estimate of a size leaves out what explode makes of it: never broadcast
-    stars = met.join(hub.select("v", "hubs").hint("merge"), "v").select(F.col("fp").alias("a"), F.explode("hubs").alias("b")).where("a <> b").distinct()
+    stars = met.join(hub.select("v", "b").hint("merge"), "v").select(F.col("fp").alias("a"), "b").where("a <> b").distinct()
     return stars.where(f"bit_count(a ^ b) <= {RADIUS}")
 
 
@@ -123,6 +117,7 @@ def near_duplicates(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
     class_id is the least doc_id of the same fingerprint, component_id the least that links reach.
     """
+    lean(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "simhash")
     rows = scratch.save(fingerprints(docs, keep), "prints")
     classes = scratch.save(rows.groupBy("fp").agg(F.min("doc_id").alias("class_id")), "classes")
@@ -166,6 +161,20 @@ def prefix_size(n: int) -> int:
     return n - math.ceil(SIMILARITY * n - 1e-9) + 1
 
 
+def index_size(n):
+    """Column: so many that one at least is among the ``prefix_size`` ones of any text that is SIMILARITY alike and no shorter."""
+    return n - F.ceil(F.lit(2 * SIMILARITY / (1 + SIMILARITY)) * n - 1e-9) + 1
+
+
+def print_of(hashes: np.ndarray) -> int:
+    """The signed 64-bit fingerprint of distinct shingles: a bit is 1 if set in over half of them."""
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 14):
+        part = hashes[at : at + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<i8")[0])
+
+
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both / (len(a) + len(b) - both)
@@ -189,7 +198,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def shingles(texts: DataFrame, sampled: bool) -> DataFrame:
-    """id, n, p, hs of every row of texts (id, text): the number of shingles, the prefix's, and all of them or those below a bound."""
+    """id, fp, n, p, hs of every row of texts (id, text): the fingerprint, the number of shingles, the prefix's, and all of them or those below a bound."""
     bound = np.uint64(2**64 // SAMPLE)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,9 +206,9 @@ def shingles(texts: DataFrame, sampled: bool) -> DataFrame:
             sets = [shingle_set(t) for t in batch["text"]]
             size = [prefix_size(len(s)) for s in sets]
             held = [(s[: np.searchsorted(s, bound)] if sampled else s).view(np.int64) for s in sets]
-            yield pd.DataFrame({"id": batch["id"], "n": [len(s) for s in sets], "p": size, "hs": held})
+            yield pd.DataFrame({"id": batch["id"], "fp": [print_of(s) for s in sets], "n": [len(s) for s in sets], "p": size, "hs": held})
 
-    return texts.mapInPandas(run, "id long, n long, p long, hs array<long>")
+    return texts.mapInPandas(run, "id long, fp long, n long, p long, hs array<long>")
 
 
 def freed(scratch: Scratch) -> None:
@@ -208,30 +217,40 @@ def freed(scratch: Scratch) -> None:
 
 
 def partnered(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The id of each of ``docs`` (id, text) that may have a partner, and of few that have none.
+    """The id and fp of each of ``docs`` (id, text) that may have a partner, and of few that have none.
 
     All but p - 1 shingles of a text occur in its partner, so of those below the bound as well:
     of s of them at least s - p + 1 are in another text too.
     """
     sets = scratch.save(shingles(docs, True), "sampled")
-    own = sets.groupBy("id").agg(F.max(F.size("hs") - F.col("p") + 1).alias("need"), F.count(F.lit(1)).alias("rows"))
+    own = sets.groupBy("id", "fp").agg(F.max(F.size("hs") - F.col("p") + 1).alias("need"), F.count(F.lit(1)).alias("rows"))
     each = sets.select("id", F.explode("hs").alias("h"))
     shared = scratch.save(each.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("h"), "shared")
     freed(scratch)
     found = each.join(shared.hint("merge"), "h").groupBy("id").agg(F.count(F.lit(1)).alias("found"))
-    out = own.join(found, "id", "left").where("need <= 0 or found >= need * rows").select("id")  # an exact copy is a row more
+    out = own.join(found, "id", "left").where("need <= 0 or found >= need * rows").select("id", "fp")  # an exact copy is a row more
     out = scratch.save(out, "partnered")
     scratch.drop("sampled", "shared")
     freed(scratch)
     return out
 
 
+def ball_links(prints: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b) of pairs SIMILARITY alike that the balls around the ``prints`` (id, fp) find: equal fingerprints and stars of linked ones."""
+    classes = scratch.save(prints.groupBy("fp").agg(F.min("id").alias("least")), "classes")
+    stars = link_stars(classes.select("fp"), scratch)
+    across = stars.join(classes.selectExpr("fp as a", "least as id"), "a").join(classes.selectExpr("fp as b", "least as id2"), "b").select("id", "id2")
+    within = prints.join(classes, "fp").where("id <> least").select("id", F.col("least").alias("id2"))
+    pairs = across.union(within).select(F.greatest("id", "id2").alias("a"), F.least("id", "id2").alias("b")).distinct()
+    return scratch.save(verified(pairs, texts), "balls")
+
+
 def buckets(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """h, id, n, weight: shingles under which the ``texts`` (id, text) meet that are SIMILARITY alike; every such pair has one.
+    """h, id, n, pos, weight: shingles under which the ``texts`` (id, text) meet that are SIMILARITY alike; every such pair has one.
 
     A prefix filter: under one order for all, two such texts share a shingle of their first p. The
     order is by the number of texts, so that common passages come last; shingles of one text alone
-    come first and only use up places.
+    come first and only use up places. pos is the place in this order, weight how many places shared ones have.
     """
     sets = scratch.save(shingles(texts, False), "sets")
     each = sets.select("id", F.explode("hs").alias("h"))
@@ -240,37 +259,43 @@ def buckets(texts: DataFrame, scratch: Scratch) -> DataFrame:
     met = each.join(shared.hint("merge"), "h").groupBy("id").agg(F.collect_list(F.struct("df", "h")).alias("hs"))
     met = met.join(sets.select("id", "n", "p"), "id").withColumn("weight", F.col("p") - F.col("n") + F.size("hs")).where("weight > 0")
     first = F.expr("slice(array_sort(hs), 1, cast(weight as int))")
-    out = scratch.save(met.select(F.explode(first).alias("x"), "id", "n", "weight").select("x.h", "id", "n", "weight"), "buckets")
+    out = met.select(F.posexplode(first).alias("k", "x"), "id", "n", "weight", F.size("hs").alias("m"))
+    out = scratch.save(out.select("x.h", "id", "n", (F.col("n") - F.col("m") + F.col("k")).alias("pos"), "weight"), "buckets")
     scratch.drop("sets", "shared")
     freed(scratch)
     return out
 
 
-def all_links(live: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """(a, b) of pairs SIMILARITY alike whose components are those of all such pairs within the buckets ``live``.
+#: Two texts (n, pos and n2, pos2) that share a shingle there first may be alike: the shingles from there on are enough.
+_ENOUGH = f"least(n - pos, n2 - pos2) >= {SIMILARITY / (1 + SIMILARITY):.12f} * (n + n2) - 1e-6"
+
+
+def all_links(live: DataFrame, texts: DataFrame, scratch: Scratch, links: DataFrame | None = None) -> DataFrame:
+    """(a, b) of pairs SIMILARITY alike whose components are those of all such pairs within the buckets ``live`` and of ``links``.
 
     In rounds every bucket is tested against the member that shares most, then what is in one
     component needs no more tests; in the last round all other pairs are tested.
     """
     live = live.withColumn("c", F.col("id"))
-    links = tested = scratch.save(live.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0), "links")
+    none = scratch.save(live.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0), "none")
+    links, tested = none if links is None else links, none
     for k in range(HUB_ROUNDS + 1):
-        if k:
-            member = scratch.save(components(links, Scratch(scratch.spark, "nearmembers")), f"members{k}")
-            live = live.drop("c").join(member.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
-        hub = F.max_by(F.struct("id", "n", "c"), F.struct("weight", "id")).alias("hub")
+        member = scratch.save(components(links, Scratch(scratch.spark, "nearmembers")), f"members{k}")
+        live = live.drop("c").join(member.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
+        hub = F.max_by(F.struct("id", "n", "pos", "c"), F.struct("weight", "id")).alias("hub")
         open_ = live.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), hub).where("lo <> hi").select("h", "hub")
         live = scratch.save(live.join(open_.hint("merge"), "h"), f"live{k}")
         if k < HUB_ROUNDS:
-            met = live.select("id", "n", "c", F.col("hub.id").alias("id2"), F.col("hub.n").alias("n2"), F.col("hub.c").alias("c2"))
+            met = live.select("id", "n", "pos", "c", *[F.col(f"hub.{x}").alias(f"{x}2") for x in ("id", "n", "pos", "c")])
         else:
-            met = live.select("h", "id", "n", "c").join(live.select("h", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("c").alias("c2")).hint("merge"), "h").where("id > id2")
-        met = met.where(f"c <> c2 and least(n, n2) >= {SIMILARITY} * greatest(n, n2) - 1e-6")
+            index = live.where(F.col("pos") < index_size(F.col("n"))).select("h", *[F.col(x).alias(f"{x}2") for x in ("id", "n", "pos", "c")])
+            met = live.select("h", "id", "n", "pos", "c").join(index.hint("merge"), "h").where("struct(n, id) > struct(n2, id2)")
+        met = met.where(f"c <> c2 and {_ENOUGH}")
         pairs = met.select(F.greatest("id", "id2").alias("a"), F.least("id", "id2").alias("b")).distinct()
         pairs = scratch.save(pairs.join(tested, ["a", "b"], "left_anti"), f"pairs{k}")
         links = scratch.save(links.union(verified(pairs, texts)), f"links{k}")
         tested = tested.union(pairs)
-        live = live.select("h", "id", "n", "c", F.when(F.col("id") == F.col("hub.id"), -1).otherwise(F.col("weight")).alias("weight"))
+        live = live.select("h", "id", "n", "pos", "c", F.when(F.col("id") == F.col("hub.id"), -1).otherwise(F.col("weight")).alias("weight"))
     return links
 
 
@@ -279,14 +304,17 @@ def near_copies(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, bool]:
 
     Of each group of near copies the row of the least doc_id stays.
     """
+    lean(docs.sparkSession)
     rows = scratch.save(docs.select("doc_id", digest().alias("key")).groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n")), "rows")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"))
     texts = scratch.save(rows.groupBy("key").agg(F.min(rank).alias("rank")).withColumn("id", F.xxhash64("key")), "texts")
     each = docs.select("doc_id", digest().alias("key"), F.col("text").cast("binary").alias("text")).withColumn("id", F.xxhash64("key"))
-    needed = scratch.save(partnered(each.select("id", "text"), scratch).join(texts, "id").select("key", F.col("rank.doc_id").alias("_first")), "needed")
+    needed = scratch.save(partnered(each.select("id", "text"), scratch).join(texts, "id").select("key", "fp", F.col("rank.doc_id").alias("_first")), "needed")
     again = each.join(needed.hint("merge"), "key").where("doc_id <=> _first")
-    again = scratch.save(again.dropDuplicates(["key"]).select("id", "text"), "needed_texts")
-    links = all_links(buckets(again, scratch), again, scratch)
+    again = scratch.save(again.dropDuplicates(["key"]).select("id", "fp", "text"), "needed_texts")
+    near = ball_links(again.select("id", "fp"), again.select("id", "text"), scratch)
+    again = again.select("id", "text")
+    links = all_links(buckets(again, scratch), again, scratch, near)
     kept = texts.select("key", "rank", F.col("id").alias("group"))
     if not links.isEmpty():
         member = scratch.save(components(links, scratch), "members")
@@ -305,7 +333,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Exact copies of a text are one at once, counted in every task before they meet. Of the
     distinct texts any two are linked that are SIMILARITY alike over VERIFY_WORDS-word
-    shingles; candidates come from a prefix filter, which loses none. Texts of fewer words are
+    shingles. The balls of the texts' fingerprints find the closest; pairs that are not yet in
+    one component come from a prefix filter, which loses none. Texts of fewer words are
     one shingle. Rows of equal doc_id and text: one stays; a null doc_id sorts last; null and
     empty texts are copies of each other. All columns stay.
     """
