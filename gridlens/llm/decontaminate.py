@@ -1,28 +1,30 @@
 """Benchmark decontamination by template windows, with DataFrame operations only.
 
-Texts are cut into words at white space and ASCII punctuation. In the template a word with a
-digit in front is a number, one with a capital in front a name, one of UNITS a unit; all else
-stays, lower-cased. A rule looks at one word alone, so that a passage has the same template
-wherever it stands. Windows of five template words are hashed, and those of the five lower-cased
-words. Letter case makes the template, so in a window of one case throughout (a document's in
-capitals or without any, an item's in capitals) words that agree but for case match as well.
-Where case is mixed, a plain word of the item that the document writes with a capital is a name
-and does not match.
-
-Only some windows of an item are looked up among those of the documents: at SHARE of n windows
-at most (1 - SHARE) n differ, so of one more than that at least one is met. Those with the
-most plain words are taken. A leaked passage is so met at a few of its words, and each meeting
-names a document, an item and a shift. All windows of the item are then compared at that shift
-(one with fewer than LITERALS plain words says too little and must agree word for word), and
-where SHARE of them match the slots are held against each other: within matched windows a
-value of the item must stand for one value of the document throughout. Changed numbers and
-names are so caught, chance matches of templates are not.
+A text is cut into words: runs of anything but white space and ASCII punctuation, and numbers
+with the points and commas inside them. In the template a word with a digit in front is a
+number, one with a capital in front a name (several in a row are one name, known by its last
+word), one of UNITS a unit; all else stays, lower-cased. Windows of five template tokens that
+hold a slot, and LITERALS plain words at least, and windows of five lower-cased words are
+hashed and joined with those of the items. The second kind sees to passages whose case differs.
+
+Before the join the documents' windows pass a sieve: a bitmap of the items' windows, of
+SIEVE_BITS at most whatever the tables' sizes, in which a window must have two bits. It is a
+value of the plan, drops nothing that the join would find, and leaves few other windows to be
+shuffled. A window travels with the values of its own five words, never with its text.
+
+Joined windows are checked word by word and meet again per row, item and region: shifts
+(place in the document less place in the item) that differ by TOLERANCE of the item's words at
+most, so that words put in or left out do not part a passage; two grids of cells, one moved by half
+a cell, make sure that a region lies whole in one. In a region each value of the item stands
+for the value that most of its places show; windows that say otherwise do not count. An item is
+found where SHARE of its windows lie under those that count, or, if it has LONG words, SHARE
+of its words do: one changed word in a long item hides five windows, but one word.
 
 Defined cases: null and empty texts, and items of fewer than five words, match nothing; items
-with equal texts are each found; where one item matches at several shifts the best counts
-(then the least place); rows with equal doc_id are each judged and give one row per item for
-all; a null doc_id is an id like others; empty tables on either side give no rows; extra
-columns are ignored.
+with equal texts are each found; where one item is found in several regions the best counts
+(then the least place); rows are judged each for itself, also those of equal doc_id, and give one
+row per doc_id and item for all; a null doc_id is an id like others, but ``clean`` drops only
+the rows that hold an item; empty tables on either side give no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,23 +32,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridlens.llm.common import Scratch, packed, small
+from gridlens.llm.common import Scratch, packed
 
-#: Words of a window, share of an item's windows that must match, plain words a template needs.
-WINDOW, SHARE, LITERALS = 5, 0.8, 2
+#: Words of a window; share of an item that must be found; plain words a template needs; words from which an item is long.
+WINDOW, SHARE, LITERALS, LONG = 5, 0.8, 2, 12
+#: Shifts of a region differ by this share of the item's words, or by so many words.
+TOLERANCE, LEAST_TOLERANCE = 0.2, 4
+#: Bits of the sieve for a window of the items, and of the whole of it at least and at most.
+BITS_EACH, SIEVE_BITS = 64, (1 << 16, 1 << 24)
 UNITS = (
     "mm cm dm m km inch inches ft foot feet yard yards mile miles mg g kg ton tons tonne tonnes oz lb lbs pound pounds ml cl dl l litre litres "
     "liter liters gallon gallons s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year "
     "years hz khz mhz ghz w kw mw wh kwh j kj v kv a ma pa kpa bar kelvin celsius fahrenheit degree degrees percent usd eur gbp dollar dollars "
     "euro euros cent cents kb mb gb tb bit bits byte bytes"
 ).split()
-_SPLIT = r"[\s\p{Punct}]+"
-#: Template words of the slots; no hash is so small but by a chance of one in 2**60.
+_WORD = r"[0-9]+(?:[.,][0-9]+)+[^\s\p{Punct}]*|[^\s\p{Punct}]+"
+#: Template tokens of the slots; no hash is so small but by a chance of one in 2**60.
 _NUM, _NAME, _UNIT = 1, 2, 3
-
-
-def words(text):
-    return F.filter(F.split(F.coalesce(text, F.lit("")), _SPLIT), lambda w: w != "")
+_SLOTS = f"({_NUM}, {_NAME}, {_UNIT})"
 
 
 def literal(w):
@@ -54,82 +57,125 @@ def literal(w):
 
 
 def shaped(w):
-    """Template word of a word: the number of its slot, or its hash."""
+    """Template token of a word: the number of its slot, or its hash."""
     head = F.substring(w, 1, 1)
-    slot = F.when(head.between("0", "9"), _NUM).when(head != F.lower(head), _NAME).when(w.isin(*UNITS), _UNIT)
+    slot = F.when(head.between("0", "9"), _NUM).when(head != F.lower(head), _NAME).when(F.lower(w).isin(*UNITS), _UNIT)
     return F.coalesce(slot.cast("long"), literal(w))
 
 
-def cased(w):
-    """Bits of a word's case: 1 if nothing in it is a capital, 2 if all that can be is one."""
-    return (w == F.lower(w)).cast("int") + F.when(w == F.upper(w), 2).otherwise(0)
+def templates(rows: DataFrame) -> DataFrame:
+    """rows (..., text) with arrays instead of the text: lit, the words' hashes; of the tokens shape, val
+    (the hash of what it stands for), starts and ends (its words, the end without)."""
+    own = [c for c in rows.columns if c != "text"]
+    cut = rows.select(*own, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(_WORD), F.lit(0)).alias("w"))
+    cut = cut.select(*own, F.transform("w", literal).alias("lit"), F.transform("w", shaped).alias("each"))
+    first = f"filter(transform(each, (x, p) -> p), p -> not (each[p] = {_NAME} and p > 0 and get(each, p - 1) = {_NAME}))"
+    cut = cut.withColumn("starts", F.expr(first)).withColumn("ends", F.expr("transform(starts, (p, j) -> coalesce(get(starts, j + 1), size(each)))"))
+    return cut.select(*own, "lit", "starts", "ends", F.expr("transform(starts, p -> each[p])").alias("shape"), F.expr("transform(ends, e -> lit[e - 1])").alias("val"))
+
+
+def windows():
+    """Array of (h, i, t) of all windows: the hash, the first token (or word) and whether it is one of the template."""
+
+    def of(column: str, kind: str) -> str:
+        places = f"filter(transform({column}, (x, i) -> i), i -> i <= size({column}) - {WINDOW})"
+        return f"transform({places}, i -> struct(xxhash64({kind}, slice({column}, i + 1, {WINDOW})) as h, i as i, {kind} as t))"
+
+    return F.expr(f"concat({of('lit', 'false')}, {of('shape', 'true')})")
+
+
+#: What a window (h, i, t) brings along: its first word, the word after it, and its values.
+_AT, _END = "if(c.t, starts[c.i], c.i)", f"if(c.t, ends[c.i + {WINDOW - 1}], c.i + {WINDOW})"
+_VALUES = f"if(c.t, slice(val, c.i + 1, {WINDOW}), slice(lit, c.i + 1, {WINDOW}))"
+
+
+def known_windows(items: DataFrame) -> DataFrame:
+    """h, item_id, n (the item's words), pos, span, i, tokens (of the template, or the words), said (their values) of each window to look up."""
+    each = templates(items.select("item_id", "text")).withColumn("c", F.explode(windows()))
+    out = each.select(
+        "item_id", F.size("lit").alias("n"), "c.h", "c.i", "c.t", F.expr(_AT).alias("pos"), F.expr(f"{_END} - {_AT}").alias("span"),
+        F.expr(f"if(c.t, slice(shape, c.i + 1, {WINDOW}), slice(lit, c.i + 1, {WINDOW}))").alias("tokens"), F.expr(_VALUES).alias("said"),
+    )
+    plain = F.size(F.expr(f"filter(tokens, x -> x not in {_SLOTS})"))
+    return out.where(~F.col("t") | (plain.between(LITERALS, WINDOW - 1))).drop("t")
+
+
+def sieve_bits(n: int) -> int:
+    """Bits for n windows: a power of two within SIEVE_BITS."""
+    return min(max(1 << (BITS_EACH * n).bit_length(), SIEVE_BITS[0]), SIEVE_BITS[1])
+
+
+def sieve(known: DataFrame, bits: int) -> DataFrame:
+    """One row: ``bits`` as an array of longs, in which every hash has two set."""
+    slots = F.explode(F.expr(places("h", bits)))
+    words = known.select(slots.alias("b")).groupBy(F.shiftright("b", 6).alias("k")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("x"))
+    held = words.agg(F.map_from_entries(F.collect_list(F.struct(F.col("k").cast("int"), "x"))).alias("m"))  # bits / 64 entries at most
+    return held.select(F.expr(f"transform(sequence(0, {bits // 64 - 1}), k -> coalesce(m[k], 0L))").alias("bits"))
 
 
-def windows(shape):
-    """Hash of every WINDOW template words."""
-    each = F.transform(F.sequence(F.lit(1), F.size(shape) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(shape, i, F.lit(WINDOW))))
-    return F.when(F.size(shape) >= WINDOW, each).otherwise(F.array().cast("array<long>"))
+def places(h: str, bits: int) -> str:
+    return f"array({h} & {bits - 1}, shiftright({h}, 32) & {bits - 1})"
 
 
-def known_items(items: DataFrame) -> DataFrame:
-    """item_id, shape, lit, cases, ws, lws, plain (plain words of each window) and looked (the windows to look up, as templates and as words)."""
-    cut = items.select("item_id", words(F.col("text")).alias("w"))
-    cut = cut.select("item_id", F.transform("w", shaped).alias("shape"), F.transform("w", literal).alias("lit"), F.transform("w", cased).alias("cases"))
-    cut = cut.where(F.size("shape") >= WINDOW).withColumn("ws", windows(F.col("shape"))).withColumn("lws", windows(F.col("lit")))
-    plain = F.expr(f"transform(sequence(1, size(ws)), i -> size(filter(slice(shape, i, {WINDOW}), x -> x not in ({_NUM}, {_NAME}, {_UNIT}))))")
-    cut = cut.withColumn("plain", plain)
-    best = "sort_array(transform(ws, (w, i) -> struct(-plain[i] as few, w as w, i as pos)))"
-    cut = cut.withColumn("best", F.expr(f"slice({best}, 1, cast(floor(size(ws) * {1 - SHARE:.9f}) as int) + 1)"))
-    both = "array_distinct(flatten(transform(best, b -> array(struct(b.w as w, b.pos as pos), struct(lws[b.pos] as w, b.pos as pos)))))"
-    return cut.withColumn("looked", F.expr(both)).drop("best")
+def row_hash(text: str = "text"):
+    return F.xxhash64(F.coalesce(F.col(text).cast("binary"), F.lit("").cast("binary")))
+
+
+def found(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id, tie (the hash of its text), item_id, n_words, covered, changed_slots, at: the best region of each row and item that reach SHARE."""
+    scratch = Scratch(docs.sparkSession, "leaks")
+    known = scratch.save(known_windows(items), "items")
+    bits = sieve_bits(known.count())
+    sieved = scratch.save(sieve(known, bits), "sieve")
+    texts = templates(docs.select("doc_id", row_hash().alias("tie"), "text")).withColumn("all", windows())
+    held = f"forall({places('c.h', bits)}, b -> shiftright(bits[cast(shiftright(b, 6) as int)], cast(b & 63 as int)) & 1 = 1)"
+    # the sieve is one value for the plan, not a side of a join
+    texts = texts.withColumn("bits", sieved.scalar()).withColumn("some", F.expr(f"filter(all, c -> {held})"))
+    hits = texts.select("doc_id", "tie", F.explode(F.expr(f"transform(some, c -> struct(c.h as h, {_AT} as at, {_VALUES} as vals))")).alias("x")).select("doc_id", "tie", "x.*")
+    met = hits.join(known.hint("merge"), "h")
+    # plain words must be the same, slots may differ
+    met = met.where(f"forall(sequence(0, {WINDOW - 1}), j -> tokens[j] in {_SLOTS} or vals[j] = said[j])")
+    slots = f"transform(filter(sequence(0, {WINDOW - 1}), j -> tokens[j] in {_SLOTS}), j -> struct(tokens[j] as kind, said[j] as said, vals[j] as stands, i + j as p))"
+    met = met.select("doc_id", "tie", "item_id", "n", (F.col("at") - F.col("pos")).alias("shift"), "pos", "span", F.expr(slots).alias("slots"))
+    half = F.greatest(F.ceil(F.col("n") * TOLERANCE), F.lit(LEAST_TOLERANCE))
+    cells = F.array(*[F.struct(F.lit(g).alias("grid"), F.floor((F.col("shift") + g * half) / (2 * half)).alias("cell")) for g in (0, 1)])
+    met = met.withColumn("c", F.explode(cells)).groupBy("doc_id", "tie", "item_id", "n", "c").agg(F.collect_set(F.struct("pos", "span", "shift", "slots")).alias("m"))
+    # a region needs so many windows at least to hold SHARE of the words
+    met = met.where(f"size(m) * {WINDOW} >= {SHARE} * n or exists(m, x -> x.span > {WINDOW})")
+    met = met.withColumn("votes", F.expr("array_distinct(flatten(transform(m, x -> x.slots)))"))
+    most = "array_max(transform(filter(votes, v -> v.kind = k.kind and v.said = k.said), v -> struct(size(filter(votes, o -> o.kind = v.kind and o.said = v.said and o.stands = v.stands)) as n, v.stands as stands))).stands"
+    met = met.withColumn("told", F.expr(f"transform(array_distinct(transform(votes, v -> struct(v.kind as kind, v.said as said))), k -> struct(k.kind as kind, k.said as said, {most} as stands))"))
+    met = met.withColumn("m", F.expr("filter(m, x -> forall(x.slots, s -> exists(told, t -> t.kind = s.kind and t.said = s.said and t.stands = s.stands)))"))
+    met = met.withColumn("covered", F.expr("size(array_distinct(flatten(transform(m, x -> sequence(x.pos, x.pos + x.span - 1)))))"))
+    met = met.withColumn("matched", F.expr(f"size(array_distinct(flatten(transform(m, x -> sequence(x.pos, x.pos + x.span - {WINDOW})))))"))
+    met = met.where(f"matched >= {SHARE} * (n - {WINDOW - 1}) or n >= {LONG} and covered >= {SHARE} * n")
+    changed = "size(array_distinct(transform(filter(flatten(transform(m, x -> x.slots)), s -> s.said <> s.stands), s -> struct(s.kind, s.said))))"
+    rows = met.select("doc_id", "tie", "item_id", F.col("n").cast("long").alias("n_words"), F.col("covered").cast("long").alias("covered"), F.expr(changed).cast("long").alias("changed_slots"), F.expr("array_min(transform(m, x -> x.shift))").cast("long").alias("at"))
+    return best(rows, "doc_id", "tie", "item_id")
+
+
+def best(rows: DataFrame, *by: str) -> DataFrame:
+    rest = [c for c in rows.columns if c not in by]
+    order = F.struct("covered", -F.col("changed_slots"), -F.col("at"))
+    return rows.groupBy(*by).agg(F.max_by(F.struct(*rest), order).alias("b")).select(*by, "b.*")
 
 
 def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, item_id, n_windows, matched, share, changed_slots, at of each item that a document holds.
+    """doc_id, item_id, n_words, covered, share, changed_slots, at of each item that a document holds.
 
     docs has doc_id, text; items has item_id, text. at is the word of the document at which the
     item begins (negative if its beginning is missing).
     """
-    scratch = Scratch(docs.sparkSession, "leaks")
-    known = scratch.save(known_items(items), "items")
-    looked = known.select("item_id", F.explode("looked").alias("l")).select("item_id", "l.w", "l.pos")
-    n_looked = known.agg(F.coalesce(F.sum(F.size("looked")), F.lit(0))).first()[0]
-    shapes = docs.select(F.col("doc_id").alias("doc"), words(F.col("text")).alias("w"))
-    shapes = shapes.select("doc", F.transform("w", shaped).alias("shape"), F.transform("w", literal).alias("lit"))
-    zipped = F.arrays_zip(windows(F.col("shape")).alias("w"), windows(F.col("lit")).alias("l"))
-    all_windows = shapes.select("doc", F.posexplode(zipped).alias("i", "x"))
-    all_windows = all_windows.select("doc", "i", F.explode(F.expr("if(x.w = x.l, array(x.w), array(x.w, x.l))")).alias("w"))
-    met = all_windows.join(small(looked, n_looked), "w").select("doc", "item_id", (F.col("i") - F.col("pos")).alias("shift")).distinct()
-    met = scratch.save(met.groupBy("doc").agg(F.collect_list(F.struct("item_id", "shift")).alias("met")), "met")
-    again = docs.select("doc_id", words(F.col("text")).alias("w")).join(small(met, met.count()), F.col("doc_id").eqNullSafe(F.col("doc")))
-    again = again.select("doc_id", "met", F.transform("w", shaped).alias("dshape"), F.transform("w", literal).alias("dlit"), F.transform("w", cased).alias("dcases"))
-    pairs = again.select("doc_id", "dshape", "dlit", "dcases", F.explode("met").alias("m")).select("doc_id", "m.item_id", "m.shift", "dshape", "dlit", "dcases")
-    # the document's words under the item, null where it has none
-    under = "transform(sequence(0, size(shape) - 1), p -> get({0}, p + shift))"
-    laid = [F.expr(under.format(c)).alias(c) for c in ("dshape", "dlit", "dcases")]
-    held = pairs.join(small(known, n_looked), "item_id").select("doc_id", "item_id", "shift", "shape", "lit", "cases", "plain", *laid)
-    part = f"slice({{0}}, i + 1, {WINDOW})".format
-    one_case = f"(forall({part('dcases')}, c -> c & 1 = 1) or forall({part('dcases')}, c -> c & 2 = 2) or forall({part('cases')}, c -> c & 2 = 2))"
-    same = f"""transform(plain, (n, i) -> coalesce((n >= {LITERALS} and {part('shape')} = {part('dshape')})
-        or ({part('lit')} = {part('dlit')} and (n < {LITERALS} or {one_case})), false))"""
-    held = held.withColumn("same", F.expr(same)).withColumn("matched", F.expr("size(filter(same, s -> s))"))
-    held = held.where(f"matched >= {SHARE} * size(plain)")
-    in_match = f"exists(slice(same, greatest(1, p - {WINDOW - 2}), least(p + 1, {WINDOW})), s -> s)"
-    slots = f"""array_distinct(transform(filter(sequence(0, size(shape) - 1), p -> shape[p] in ({_NUM}, {_NAME}, {_UNIT}) and {in_match}),
-        p -> struct(shape[p] as kind, lit[p] as said, dlit[p] as stands)))"""
-    held = held.withColumn("slots", F.expr(slots)).where("size(slots) = size(array_distinct(transform(slots, s -> struct(s.kind, s.said))))")
-    row = held.select(
-        "doc_id", "item_id", F.size("plain").cast("long").alias("n_windows"), F.col("matched").cast("long").alias("matched"),
-        F.expr("cast(size(filter(slots, s -> s.said <> s.stands)) as long)").alias("changed_slots"), F.col("shift").cast("long").alias("at"),
-    )
-    best = row.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("n_windows", "matched", "changed_slots", "at"), F.struct("matched", -F.col("changed_slots"), -F.col("at"))).alias("b"))
-    return best.select("doc_id", "item_id", "b.n_windows", "b.matched", (F.col("b.matched") / F.col("b.n_windows")).alias("share"), "b.changed_slots", "b.at")
+    return best(found(docs, items).drop("tie"), "doc_id", "item_id").select("doc_id", "item_id", "n_words", "covered", (F.col("covered") / F.col("n_words")).alias("share"), "changed_slots", "at")
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """docs without the documents that hold an item; all columns stay."""
-    found = Scratch(docs.sparkSession, "leaked").save(leaks(docs, items).select(F.col("doc_id").alias("_leaked")).distinct(), "docs")
-    return packed(docs, "doc_id").join(small(found, found.count()), F.col("doc_id").eqNullSafe(F.col("_leaked")), "left_anti").select("_doc.*")
+    """docs without the rows that hold an item; all columns stay."""
+    held = found(docs.select("doc_id", "text"), items).select(F.col("doc_id").alias("_leaked"), F.col("tie").alias("_tie")).distinct()
+    held = Scratch(docs.sparkSession, "leaked").save(held, "docs")
+    rows = packed(docs, "doc_id", row_hash().alias("_row"))
+    # what is found grows with the corpus: joined by sorting at every size
+    return rows.join(held.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_leaked")) & (F.col("_row") == F.col("_tie")), "left_anti").select("_doc.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
