@@ -52,13 +52,10 @@ def run(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scratch = Scratch(spark, "pipeline")
     before = None
-    for k, (name, stage) in enumerate(STAGES):
-        held = list(Scratch.roots)
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = scratch.save(docs, name)
-            Scratch.clean(spark, held)  # what the stage kept for itself
-            if before:
-                scratch.drop(before)
-            before = name
-    return docs
+    for name, stage in STAGES[:-1]:
+        with Scratch.removed():  # what the stage keeps for itself
+            docs = scratch.save(stage(spark, docs, sf_dir), name)
+        if before:
+            scratch.drop(before)
+        before = name
+    return STAGES[-1][1](spark, docs, sf_dir)
