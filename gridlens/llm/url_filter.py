@@ -7,8 +7,9 @@ aliases. In a component an explicit allow goes before a block; without either, a
 pages without links, the verdict is allow.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, no rule and
-no alias; null html has no links; relative links are resolved against the page's host;
-repeated rows stay; longest rule first, at equal length allow first; an empty table gives
+no alias; null html has no links; every canonical link and refresh of a page counts; relative
+links are resolved against the page's host, folder or query, those of other schemes
+(``mailto:x``) are none; repeated rows stay; longest rule first, at equal length allow first; an empty table gives
 no rows; extra columns are ignored.
 """
 
@@ -81,12 +82,34 @@ def alias_key(url):
     return F.when(host_of(url) != "", F.concat(host_of(url), F.regexp_replace(path_of(url), "/$", ""), asked))
 
 
+def without_dots(path):
+    """A path with its ``.`` and ``..`` parts walked; it never leaves the root."""
+    parts = F.filter(F.split(path, "/", -1), lambda x, i: (i > 0) & (x != "."))
+    up = F.aggregate(parts, F.array().cast("array<string>"), lambda out, x: F.when(x == "..", F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0)))).otherwise(F.concat(out, F.array(x))))
+    return F.concat(F.lit("/"), F.array_join(up, "/"))
+
+
+def resolved(to, host, path):
+    """The url that a link ``to`` on a page (host, path) names: whole, without a scheme, from the host's root, of the page's own query or part, or from its folder."""
+    to = F.regexp_replace(F.trim(to), "(?i)&amp;", "&")
+    asked = F.regexp_extract(to, r"(?s)^[^?#]*([?#].*)$", 1)
+    folder = F.regexp_replace(F.when(path == "", "/").otherwise(path), "[^/]*$", "")
+    from_folder = F.concat(without_dots(F.concat(folder, F.regexp_extract(to, r"(?s)^([^?#]*)", 1))), asked)
+    return (
+        F.when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), to)
+        .when(to.startswith("//"), F.concat(F.lit("http:"), to))
+        .when(to.rlike("^[?#]"), F.concat(F.lit("http://"), host, path, to))
+        .when(to.startswith("/"), F.concat(F.lit("http://"), host, without_dots(F.regexp_extract(to, r"(?s)^([^?#]*)", 1)), asked))
+        .when(~to.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), F.concat(F.lit("http://"), host, from_folder))
+    )
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
-    """(a, b): keys of each page's url and of the urls that its html names as its own."""
-    found = F.filter(F.array(*[F.nullif(F.regexp_extract("html", p, 1), F.lit("")) for p in _LINKS]), lambda x: x.isNotNull())
-    rows = pages.where("html is not null and (contains(lower(html), 'canonical') or contains(lower(html), 'refresh'))")
-    rows = rows.select("url", "host", F.explode(found).alias("to"))
-    to = F.when(F.col("to").contains("://"), F.col("to")).when(F.col("to").startswith("//"), F.concat(F.lit("http:"), "to")).when(F.col("to").startswith("/"), F.concat(F.lit("http://"), "host", "to"))
+    """(a, b): keys of each page's url and of every url that its html names as its own."""
+    found = F.flatten(F.array(*[F.regexp_extract_all("html", F.lit(p), F.lit(1)) for p in _LINKS]))
+    rows = pages.where("host <> '' and html is not null and (contains(lower(html), 'canonical') or contains(lower(html), 'refresh'))")
+    rows = rows.select("url", "host", "path", F.explode(F.array_distinct(found)).alias("to"))
+    to = resolved(F.col("to"), F.col("host"), F.col("path"))
     return rows.select(alias_key(F.col("url")).alias("a"), alias_key(to).alias("b")).where("a is not null and b is not null and a <> b")
 
 
