@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 
@@ -192,6 +193,46 @@ def labelled(n=640):
     return docs, labels
 
 
+def slow_path(forest, root, row):
+    """The path of one row through one tree, step by step."""
+    at = root
+    while forest.feature[at] >= 0:
+        at = forest.left[at] + (row[forest.feature[at]] >= forest.cut[at])
+    return forest.path[at]
+
+
+def test_forest_against_single_steps():
+    r = np.random.default_rng(3)
+    x, good = r.normal(size=(300, 5)), np.arange(300) % 9 > 0
+    x[~good] += 6
+    x[:, 4] = 1.0  # never split
+    forest = quality_rules.grow(x, good, trees=30, subsample=64)
+    mean = [sum(slow_path(forest, root, row) for root in forest.roots) / len(forest.roots) for row in x]
+    h = lambda n: sum(1 / k for k in range(1, n))
+    usual = 2 * h(64) - 2 * 63 / 64
+    assert abs(forest.scale - usual) < 0.02 and 4 not in forest.feature
+    assert np.allclose(forest.scores(x), [2 ** (-m / forest.scale) for m in mean], rtol=1e-12)
+    assert forest.scores(x)[~good].mean() > forest.scores(x)[good].mean() + 0.1
+    for root in forest.roots:  # every row ends in a leaf, no deeper than allowed
+        assert all(0 < slow_path(forest, root, row) <= 6 + 4 + 12 for row in x)
+
+
+def test_threshold_comes_from_rows_that_grew_no_tree():
+    r = np.random.default_rng(4)
+    x, good = r.normal(size=(800, 3)), np.arange(800) // 2 % 5 > 0
+    x[~good] += 5
+    first = quality_rules.fit(x, good, np.ones(800, bool))
+    assert first.threshold == quality_rules.calibrate(first.scores(x[1::2]), good[1::2])
+    changed = good.copy()
+    changed[::2] = True  # other labels among those that grow
+    assert np.isfinite(first.threshold) and np.isfinite(quality_rules.fit(x, changed, np.ones(800, bool)).threshold)
+    changed = good.copy()
+    changed[1::2] = True  # nothing to calibrate on
+    assert quality_rules.fit(x, changed, np.ones(800, bool)).threshold == np.inf
+    ordered = np.sort(first.scores(x[1::2][good[1::2]]))
+    assert (ordered > first.threshold).sum() <= quality_rules.FALSE_REJECTS * len(ordered)
+
+
 def test_quality_rules_query(spark, tmp_path):
     docs, labels = labelled()
     rows = docs + [(i if i is None else i + 1000, *rest) for i, *rest in odd_rows()]
