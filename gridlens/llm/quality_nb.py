@@ -28,11 +28,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridlens.llm.common import lean
 from gridlens.llm.quality_rules import labelled_sample
 
 FIT_ROWS, DIMENSIONS, SEED = 6000, 1 << 20, 7
 #: Rows in which a feature must occur to have a weight; smoothing of counts; cost of a slack.
-LEAST_ROWS, SMOOTH, COST, FOLDS, ROUNDS = 3, 1.0, 1.0, 4, 12
+LEAST_ROWS, SMOOTH, COST, FOLDS = 3, 1.0, 1.0, 4
+#: Rounds of the descent at most, and the largest step of a round after which it ends.
+ROUNDS, STILL = 60, 1e-3
 #: Score from which a document is predicted good.
 GOOD = 0.7
 #: Words whose shapes a worker remembers.
@@ -52,7 +55,7 @@ class Features:
     def shape(self, word: bytes) -> bytes:
         s = self.shapes.get(word)
         if s is None:
-            s = _RUN.sub(rb"\1", word.translate(_SHAPE))[:12]
+            s = _RUN.sub(rb"\1", word.translate(_SHAPE))
             if len(self.shapes) >= MEMORY:
                 self.shapes.clear()
             if len(word) <= 64:
@@ -117,17 +120,24 @@ def log_count_ratios(xs: list[np.ndarray], good: np.ndarray) -> np.ndarray:
     return np.where(counts[0] + counts[1] >= LEAST_ROWS, r, 0.0)
 
 
-def fit_margin(xs: list[np.ndarray], good: np.ndarray) -> Model:
-    """The linear model, by dual coordinate descent on the hinge loss; classes weigh alike."""
-    r = log_count_ratios(xs, good)
+def scaled_rows(xs: list[np.ndarray], r: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Of each row the features with a ratio, and their ratios scaled to unit length."""
     rows = [x[r[x] != 0] for x in xs]
-    values = [r[x] / max(np.sqrt((r[x] ** 2).sum()), 1e-12) for x in rows]
-    y = np.where(good, 1.0, -1.0)
-    most = COST * len(y) / (2 * np.where(good, good.sum(), (~good).sum()))
+    return rows, [r[x] / max(np.sqrt((r[x] ** 2).sum()), 1e-12) for x in rows]
+
+
+def bounds(good: np.ndarray) -> np.ndarray:
+    """The most that the dual variable of a row may be: classes weigh alike."""
+    return COST * len(good) / (2 * np.where(good, good.sum(), (~good).sum()))
+
+
+def descend(rows: list[np.ndarray], values: list[np.ndarray], good: np.ndarray, rounds: int = ROUNDS, still: float = STILL) -> tuple[np.ndarray, float]:
+    """Weights and bias that minimise half their squared length plus the bounded hinge losses, one dual variable after the other."""
+    y, most = np.where(good, 1.0, -1.0), bounds(good)
     w, bias, alpha = np.zeros(DIMENSIONS), 0.0, np.zeros(len(y))
     norm = np.array([(v**2).sum() + 1.0 for v in values])  # the bias is a feature of value one
     rng = np.random.default_rng(SEED)
-    for _ in range(ROUNDS):
+    for _ in range(rounds):
         moved = 0.0
         for i in rng.permutation(len(y)):
             slope = y[i] * (w[rows[i]] @ values[i] + bias) - 1
@@ -137,9 +147,16 @@ def fit_margin(xs: list[np.ndarray], good: np.ndarray) -> Model:
                 bias += step
                 alpha[i] = new
                 moved = max(moved, abs(step))
-        if moved < 1e-3:
+        if moved < still:
             break
-    return Model((w * r).astype(np.float32), (r**2).astype(np.float32), float(bias))
+    return w, float(bias)
+
+
+def fit_margin(xs: list[np.ndarray], good: np.ndarray) -> Model:
+    """The linear model over scaled indicators."""
+    r = log_count_ratios(xs, good)
+    w, bias = descend(*scaled_rows(xs, r), good)
+    return Model((w * r).astype(np.float32), (r**2).astype(np.float32), bias)
 
 
 def logistic(margins: np.ndarray, good: np.ndarray) -> tuple[float, float]:
@@ -192,6 +209,7 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of docs (doc_id, text)."""
+    lean(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # DIMENSIONS weights
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

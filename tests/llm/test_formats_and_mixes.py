@@ -2,7 +2,9 @@ import hashlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridlens.llm import chat_format, mixing, quality_nb, url_filter
 from gridlens.llm import queries as Q
@@ -102,6 +104,65 @@ def test_aliases(spark):
     assert got == {1: ("block", "alias"), 2: ("block", "rule"), 3: ("block", "alias"), 4: ("allow", "rule"), 5: ("block", "rule"), 6: ("allow", "alias"), 7: ("allow", "default"), 8: ("block", "alias")}
 
 
+def slow_judged(rows):
+    """Verdicts by urllib and breadth-first search over all links."""
+    import re
+    from urllib.parse import urljoin
+
+    def key(u):
+        if not u or "://" not in u:
+            return None
+        host, path, *_ = slow_rule(u)
+        return host + re.sub("/$", "", path) + (re.search(r"^[^?#]*(\?[^#]*)?", u)[1] or "") if host else None
+
+    links = defaultdict(set)
+    for _, u, html in rows:
+        for tag in re.findall(r"<(?:link|meta)\b[^>]*>", html or "", re.I):
+            if m := re.search(r"""href=["']?([^"'\s>]+)""", tag) if "canonical" in tag else re.search(r"""url=([^"'\s>]+)""", tag):
+                a, b = key(u), key(urljoin(u, m[1].replace("&amp;", "&"))) if u else None
+                if a and b:
+                    links[a].add(b)
+                    links[b].add(a)
+    ruled = defaultdict(set)
+    for _, u, _ in rows:
+        if slow_rule(u)[2]:
+            ruled[key(u)].add(slow_rule(u)[3])
+    out = Counter()
+    for i, u, _ in rows:
+        host, path, rule, verdict = slow_rule(u)
+        by = "rule" if rule else "default"
+        if not rule and key(u):
+            seen, todo = {key(u)}, [key(u)]
+            while todo:
+                todo += (new := links[todo.pop()] - seen)
+                seen |= new
+            if told := set().union(*(ruled[k] for k in seen)) if len(seen) > 1 else set():
+                verdict, by = min(told), "alias"
+        out[i, verdict, by] += 1
+    return out
+
+
+def test_aliases_against_search(spark):
+    import random
+
+    r = random.Random(13)
+    hosts = ["a.io", "b.io", "c.net", "d.example.net", "example.com", "e.org"]
+    paths = ["/", "", "/en/x", "/de/", "/fr/y/z", "/p/q?k=1&l=2", "/p/../en/x", "/de/a/b/c"]
+    tos = ["b", "../x", "../../en/x", "./b/", "?k=1&amp;l=2", "/fr/y/./z", "//c.net/b", "http://a.io/en/x", "https://B.io/p/q?k=1&l=2#top", "b/../c?x=/../y", "#here", "mailto:x@y", "x/y/"]
+    rows = []
+    for i in range(400):
+        tags = "".join(f'<link rel="canonical" href="{r.choice(tos)}">' if r.random() < 0.6 else f"<META http-equiv='refresh' content='5; url={r.choice(tos)}'>" for _ in range(r.choice([0, 0, 1, 1, 2, 3])))
+        rows.append((i, None if i == 7 else f"http://{r.choice(hosts)}{r.choice(paths)}", None if i % 50 == 9 else f"<html>{tags}</html>"))
+    df = with_clashes(frame(spark, rows, "page_id long, url string, html string")).withColumn("host", F.lit("extra")).withColumn("node", F.lit("extra"))
+    got = Counter((x.page_id, x.verdict, x.by) for x in url_filter.judge(df).collect())
+    assert got == slow_judged(rows) and sum(by == "alias" for *_, by in got) > 50
+
+
+def test_relative_canonical_of_a_blocked_page(spark):
+    rows = [(1, "http://m.io/dir/a", '<link rel="canonical" href="b">'), (2, "http://m.io/dir/b", '<link rel="canonical" href="http://bad.net/b">'), (3, "http://bad.net/b", "")]
+    assert {r.verdict for r in url_filter.judge(frame(spark, rows, "page_id long, url string, html string")).collect()} == {"block"}
+
+
 def slow_targets(sizes, weights=(5, 2, 1), share=1.5, cap=2.0):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[k % 3] for k, s in enumerate(order)}
@@ -190,15 +251,75 @@ def test_nb_without_both_classes(spark, tmp_path, labels):
     assert {r.predicted for r in quality_nb.query(spark, d).collect()} == {1}
 
 
-def test_dual_coordinate_descent_finds_the_optimum():
-    """No small step of a dual variable within its bounds gains anything."""
-    import numpy as np
-
-    r = np.random.default_rng(0)
-    good = np.arange(60) % 2 == 0
-    xs = [np.unique(np.concatenate((r.integers(0, 40, 12), r.integers(40, 50, 3) if g else r.integers(50, 60, 3)))).astype(np.int32) for g in good]
+def nb_rows(seed=0, n=60):
+    r = np.random.default_rng(seed)
+    good = np.arange(n) % 3 > 0
+    return [np.unique(np.concatenate((r.integers(0, 40, 12), r.integers(40, 52, 3) if g else r.integers(48, 60, 3)))).astype(np.int32) for g in good], good
+
+
+def test_log_count_ratios_against_counting():
+    from math import log
+
+    xs, good = nb_rows()
+    got = quality_nb.log_count_ratios(xs, good)
+    for f in range(60):
+        p, q = (sum(f in x for x, g in zip(xs, good, strict=True) if g == side) for side in (True, False))
+        want = log((p + 1) / (sum(good) + 2)) - log((q + 1) / (sum(~good) + 2)) if p + q >= 3 else 0.0
+        assert abs(got[f] - want) < 1e-12
+    assert not got[60:].any()
+
+
+def test_dual_coordinate_descent_against_a_slow_solver():
+    """The loss reached is that of projected gradient steps on the whole dual problem."""
+    xs, good = nb_rows()
+    r = quality_nb.log_count_ratios(xs, good)
+    rows, values = quality_nb.scaled_rows(xs, r)
+    v = np.zeros((len(xs), 61))
+    for k, (x, each) in enumerate(zip(rows, values, strict=True)):
+        v[k, x], v[k, 60] = each, 1.0
+    y, most = np.where(good, 1.0, -1.0), quality_nb.bounds(good)
+    k = (v @ v.T) * np.outer(y, y)
+    alpha, step = np.zeros(len(y)), 1 / np.linalg.eigvalsh(k).max()
+    for _ in range(200_000):
+        alpha = np.clip(alpha + step * (1 - k @ alpha), 0, most)
+    least = alpha.sum() - alpha @ k @ alpha / 2
+
+    def loss(w, bias):
+        own = np.append(w[:60], bias)
+        return own @ own / 2 + (most * np.maximum(0, 1 - y * (v @ own))).sum()
+
+    assert abs(loss((v.T @ (alpha * y))[:60], (v.T @ (alpha * y))[60]) - least) < 1e-6
+    assert 0 <= loss(*quality_nb.descend(rows, values, good, 5000, 1e-12)) - least + 1e-9 < 1e-6
+    assert loss(*quality_nb.descend(rows, values, good)) < 1.02 * least
     m = quality_nb.fit_margin(xs, good)
-    assert all((m.margin(x) > 0) == g for x, g in zip(xs, good, strict=True))
+    w, bias = quality_nb.descend(rows, values, good)
+    assert np.allclose([m.margin(x) for x in xs], [w[x] @ each + bias for x, each in zip(rows, values, strict=True)], atol=1e-5)
+
+
+def slow_features(text):
+    """Every word and one to three shapes in a row, by plain string work."""
+    import re
+    from zlib import crc32
+
+    stream, words, seen, last = [], set(), set(), None
+    for line in text.split("\n"):
+        for w in line.split():
+            shape = re.sub(r"(.)\1+", r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in w))
+            stream.append(shape + ("=" if w == last else ""))
+            last = w
+            words.add(w.lower())
+        if line.split():
+            stream.append("\n=" if line in seen else "\n")
+            seen.add(line)
+    grams = {"\0".join(["s", *stream[k : k + n]]) for n in (1, 2, 3) for k in range(len(stream) - n + 1)}
+    return sorted({crc32(x.encode()) % quality_nb.DIMENSIONS for x in grams | words})
+
+
+def test_features_of_whole_words():
+    features = quality_nb.Features()
+    for text in ("Aa0-Aa0-Aa0-Aa0-x is Aa0-Aa0-Aa0-!!! here", "one one two\nTHREE 33\n\none one two\n", "x", "a" * 5000 + "-B" * 50):
+        assert sorted(features(text.encode()).tolist()) == slow_features(text)
+    assert features.shape(b"Aa0-Aa0-Aa0-Aa0-x") != features.shape(b"Aa0-Aa0-Aa0-!!!") and not len(features(None)) and not len(features(b" \n"))
 
 
 def test_oracles_at_sf(spark, sf_dir):
