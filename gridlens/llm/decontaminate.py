@@ -52,49 +52,50 @@ _NUM, _NAME, _UNIT = 1, 2, 3
 _SLOTS = f"({_NUM}, {_NAME}, {_UNIT})"
 
 
-def literal(w):
-    return F.xxhash64(F.lower(w))
-
-
-def shaped(w):
-    """Template token of a word: the number of its slot, or its hash."""
-    head = F.substring(w, 1, 1)
-    slot = F.when(head.between("0", "9"), _NUM).when(head != F.lower(head), _NAME).when(F.lower(w).isin(*UNITS), _UNIT)
-    return F.coalesce(slot.cast("long"), literal(w))
-
-
 def templates(rows: DataFrame) -> DataFrame:
     """rows (..., text) with arrays instead of the text: lit, the words' hashes; of the tokens shape, val
     (the hash of what it stands for), starts and ends (its words, the end without)."""
     own = [c for c in rows.columns if c != "text"]
     cut = rows.select(*own, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(_WORD), F.lit(0)).alias("w"))
-    cut = cut.select(*own, F.transform("w", literal).alias("lit"), F.transform("w", shaped).alias("each"))
-    first = f"filter(transform(each, (x, p) -> p), p -> not (each[p] = {_NAME} and p > 0 and get(each, p - 1) = {_NAME}))"
-    cut = cut.withColumn("starts", F.expr(first)).withColumn("ends", F.expr("transform(starts, (p, j) -> coalesce(get(starts, j + 1), size(each)))"))
+    cut = cut.select(*own, "w", F.transform("w", F.lower).alias("low"))
+    units = ", ".join(f"'{u}'" for u in UNITS)
+    # what begins with a digit lies between '0' and ':'
+    slot = f"case when x >= '0' and x < ':' then {_NUM} when x <> l and left(x, 1) <> left(l, 1) then {_NAME} when l in ({units}) then {_UNIT} end"
+    cut = cut.select(*own, F.expr("transform(low, l -> xxhash64(l))").alias("lit"), F.expr(f"zip_with(w, low, (x, l) -> coalesce(cast({slot} as bigint), xxhash64(l)))").alias("each"))
+    first = f"filter(if(size(each) > 0, sequence(0, size(each) - 1), array()), p -> each[p] <> {_NAME} or p = 0 or get(each, p - 1) <> {_NAME})"
+    cut = cut.withColumn("starts", F.expr(first)).withColumn("ends", F.expr("slice(concat(starts, array(size(each))), 2, size(starts))"))
     return cut.select(*own, "lit", "starts", "ends", F.expr("transform(starts, p -> each[p])").alias("shape"), F.expr("transform(ends, e -> lit[e - 1])").alias("val"))
 
 
-def windows():
-    """Array of (h, i, t) of all windows: the hash, the first token (or word) and whether it is one of the template."""
+def windows(rows: DataFrame) -> DataFrame:
+    """rows of ``templates`` (without their arrays) once for each window: h, t (whether it is one of the
+    template), i (its first token, or word), at (its first word), end (the word after it) and vals.
+
+    Windows are rows here, and their hashes are made of single values, so that Spark compiles all of it.
+    """
+    own = [c for c in rows.columns if c not in ("lit", "starts", "ends", "shape", "val")]
+    n = F.greatest(F.size("lit") - (WINDOW - 1), F.lit(0))
+    every = rows.withColumn("n_lit", n).withColumn("n_all", F.col("n_lit") + F.greatest(F.size("shape") - (WINDOW - 1), F.lit(0)))
+    # outer, and no filter before it: a filter would be pushed down with the arrays' formulas in it
+    each = every.select(*own, "lit", "starts", "ends", "shape", "val", "n_lit", F.explode_outer(F.expr("if(n_all > 0, sequence(0, n_all - 1), null)")).alias("k")).where("k is not null")
 
-    def of(column: str, kind: str) -> str:
-        places = f"filter(transform({column}, (x, i) -> i), i -> i <= size({column}) - {WINDOW})"
-        return f"transform({places}, i -> struct(xxhash64({kind}, slice({column}, i + 1, {WINDOW})) as h, i as i, {kind} as t))"
+    def hashed(kind: str, column: str, at: str) -> str:
+        return f"xxhash64({kind}, {', '.join(f'{column}[{at} + {j}]' for j in range(WINDOW))})"
 
-    return F.expr(f"concat({of('lit', 'false')}, {of('shape', 'true')})")
+    h = F.expr(f"if(k < n_lit, {hashed('false', 'lit', 'k')}, {hashed('true', 'shape', 'k - n_lit')})")
+    place = F.expr("if(k < n_lit, k, k - n_lit)")
+    return each.select(*own, "lit", "starts", "ends", "shape", "val", h.alias("h"), F.expr("k >= n_lit").alias("t"), place.alias("i"))
 
 
-#: What a window (h, i, t) brings along: its first word, the word after it, and its values.
-_AT, _END = "if(c.t, starts[c.i], c.i)", f"if(c.t, ends[c.i + {WINDOW - 1}], c.i + {WINDOW})"
-_VALUES = f"if(c.t, slice(val, c.i + 1, {WINDOW}), slice(lit, c.i + 1, {WINDOW}))"
+#: Of a window: its first word, the word after it, its tokens (or words) and their values.
+_AT, _END = "if(t, starts[i], i)", f"if(t, ends[i + {WINDOW - 1}], i + {WINDOW})"
+_TOKENS, _VALUES = f"if(t, slice(shape, i + 1, {WINDOW}), slice(lit, i + 1, {WINDOW}))", f"if(t, slice(val, i + 1, {WINDOW}), slice(lit, i + 1, {WINDOW}))"
 
 
 def known_windows(items: DataFrame) -> DataFrame:
     """h, item_id, n (the item's words), pos, span, i, tokens (of the template, or the words), said (their values) of each window to look up."""
-    each = templates(items.select("item_id", "text")).withColumn("c", F.explode(windows()))
-    out = each.select(
-        "item_id", F.size("lit").alias("n"), "c.h", "c.i", "c.t", F.expr(_AT).alias("pos"), F.expr(f"{_END} - {_AT}").alias("span"),
-        F.expr(f"if(c.t, slice(shape, c.i + 1, {WINDOW}), slice(lit, c.i + 1, {WINDOW}))").alias("tokens"), F.expr(_VALUES).alias("said"),
+    out = windows(templates(items.select("item_id", "text"))).select(
+        "item_id", F.size("lit").alias("n"), "h", "i", "t", F.expr(_AT).alias("pos"), F.expr(f"{_END} - {_AT}").alias("span"), F.expr(_TOKENS).alias("tokens"), F.expr(_VALUES).alias("said")
     )
     plain = F.size(F.expr(f"filter(tokens, x -> x not in {_SLOTS})"))
     return out.where(~F.col("t") | (plain.between(LITERALS, WINDOW - 1))).drop("t")
@@ -107,14 +108,15 @@ def sieve_bits(n: int) -> int:
 
 def sieve(known: DataFrame, bits: int) -> DataFrame:
     """One row: ``bits`` as an array of longs, in which every hash has two set."""
-    slots = F.explode(F.expr(places("h", bits)))
+    slots = F.explode(F.array(*[F.expr(p) for p in places("h", bits)]))
     words = known.select(slots.alias("b")).groupBy(F.shiftright("b", 6).alias("k")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("x"))
-    held = words.agg(F.map_from_entries(F.collect_list(F.struct(F.col("k").cast("int"), "x"))).alias("m"))  # bits / 64 entries at most
-    return held.select(F.expr(f"transform(sequence(0, {bits // 64 - 1}), k -> coalesce(m[k], 0L))").alias("bits"))
+    every = known.sparkSession.range(bits // 64).select(F.col("id").alias("k")).join(words, "k", "left")
+    ordered = F.array_sort(F.collect_list(F.struct("k", F.coalesce("x", F.lit(0)).alias("x"))))  # bits / 64 of them at most
+    return every.agg(F.transform(ordered, lambda w: w["x"]).alias("bits"))
 
 
-def places(h: str, bits: int) -> str:
-    return f"array({h} & {bits - 1}, shiftright({h}, 32) & {bits - 1})"
+def places(h: str, bits: int) -> tuple[str, str]:
+    return f"({h} & {bits - 1})", f"(shiftright({h}, 32) & {bits - 1})"
 
 
 def row_hash(text: str = "text"):
@@ -127,11 +129,11 @@ def found(docs: DataFrame, items: DataFrame) -> DataFrame:
     known = scratch.save(known_windows(items), "items")
     bits = sieve_bits(known.count())
     sieved = scratch.save(sieve(known, bits), "sieve")
-    texts = templates(docs.select("doc_id", row_hash().alias("tie"), "text")).withColumn("all", windows())
-    held = f"forall({places('c.h', bits)}, b -> shiftright(bits[cast(shiftright(b, 6) as int)], cast(b & 63 as int)) & 1 = 1)"
+    texts = windows(templates(docs.select("doc_id", row_hash().alias("tie"), "text")))
     # the sieve is one value for the plan, not a side of a join
-    texts = texts.withColumn("bits", sieved.scalar()).withColumn("some", F.expr(f"filter(all, c -> {held})"))
-    hits = texts.select("doc_id", "tie", F.explode(F.expr(f"transform(some, c -> struct(c.h as h, {_AT} as at, {_VALUES} as vals))")).alias("x")).select("doc_id", "tie", "x.*")
+    for place in places("h", bits):
+        texts = texts.where(F.get(sieved.scalar(), F.expr(f"cast(shiftright({place}, 6) as int)")).bitwiseAND(F.expr(f"shiftleft(1L, cast({place} & 63 as int))")) != 0)
+    hits = texts.select("doc_id", "tie", "h", F.expr(_AT).alias("at"), F.expr(_VALUES).alias("vals"))
     met = hits.join(known.hint("merge"), "h")
     # plain words must be the same, slots may differ
     met = met.where(f"forall(sequence(0, {WINDOW - 1}), j -> tokens[j] in {_SLOTS} or vals[j] = said[j])")
