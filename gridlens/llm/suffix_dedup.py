@@ -163,12 +163,12 @@ def contexts(texts: DataFrame, least: int = LEAST) -> DataFrame:
     return out.withColumn("part", F.pmod(F.xxhash64("doc", "tie", "at"), "parts"))
 
 
-def _numbered(column: pd.Series, width: int, number: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Words as numbers, one row each, -1 where there are no more, and how many words a row has."""
-    rows = [[number.setdefault(w, len(number)) for w in x.split()] for x in column]
-    size = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
-    out = np.full((len(rows), width), -1, dtype=np.int64)
-    out[np.arange(width) < size[:, None]] = [w for row in rows for w in row]
+def _numbered(column: pd.Series, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words as numbers, equal ones for equal words, one row each and -1 where there are no more; and how many words a row has."""
+    size = np.fromiter((x.count(b" ") for x in column), dtype=np.int64, count=len(column))
+    words = b"".join(column).split(b" ")[:-1]  # each has a blank after it
+    out = np.full((len(column), width), -1, dtype=np.int64)
+    out[np.arange(width) < size[:, None]] = pd.factorize(np.array(words, dtype=object))[0] if words else []
     return out, size
 
 
@@ -183,9 +183,9 @@ def extended(rows: pd.DataFrame, least: int, anchor: int) -> tuple[pd.DataFrame,
     """
     rows = rows[~rows.duplicated(["doc", "tie", "at"])].reset_index(drop=True)  # rows of one document
     n, most = len(rows), least - anchor
-    number: dict[bytes, int] = {}
-    right, n_right = _numbered(rows["to_right"], least, number)
-    left, _ = _numbered(rows["to_left"], most, number)
+    right, n_right = _numbered(rows["to_right"], least)
+    left, _ = _numbered(rows["to_left"], most)
+    some = left.max(initial=0) + 2
     place = np.empty(n, dtype=np.int64)
     place[np.lexsort((rows["at"], rows["tie"], rows["doc"]))] = np.arange(n)
     differ = right[1:] != right[:-1]
@@ -198,7 +198,7 @@ def extended(rows: pd.DataFrame, least: int, anchor: int) -> tuple[pd.DataFrame,
     matched = _runs_from(common < anchor)  # the bucket, then those of it that agree so far to the left
     for d in range(most + 1):
         if d:
-            matched = np.unique(matched * (len(number) + 1) + left[:, d - 1] + 1, return_inverse=True)[1]
+            matched = np.unique(matched * some + left[:, d - 1] + 1, return_inverse=True)[1]
         own = np.nonzero((near <= d) & (d <= far))[0]
         to_right = _runs_from(common < least - d)[own]
         group = np.unique(matched[own] * (n + 1) + to_right, return_inverse=True)[1]
@@ -210,30 +210,26 @@ def extended(rows: pd.DataFrame, least: int, anchor: int) -> tuple[pd.DataFrame,
 
 
 def windows_at(rows: pd.DataFrame, kinds: np.ndarray, least: int) -> pd.DataFrame:
-    """(doc, tie, own, copied, firsts) of each suffix that has any: the first words of the repeated
-    windows, and for hot buckets of the first ones of a part, which are digested."""
+    """(doc, tie, at, own, copied, firsts) of each suffix that has any repeated window. Of own (first
+    occurrences) and copied the bit d is the window that begins d words before the suffix; of hot buckets
+    the first ones of a part are listed with a digest."""
     at, hot = rows["at"].to_numpy(), rows["parts"].to_numpy() > 1
-    firsts = hot[:, None] & ((kinds == 0) | (kinds == 1))
-    some = np.nonzero((kinds > 0).any(axis=1) | hot)[0]
+    bits = np.int64(1) << np.arange(kinds.shape[1], dtype=np.int64)
+    own, copied = ((kinds == 1) & ~hot[:, None]) @ bits, (kinds == 2) @ bits
+    some = np.nonzero((own | copied) | hot)[0]
+    firsts: list[list[dict] | None] = [None] * len(some)
+    for k in np.nonzero(hot[some])[0]:
+        i = some[k]
+        words, far = rows["to_left"].iat[i].split()[::-1], int(rows["far"].iat[i])
+        words += rows["to_right"].iat[i].split()
+        of = np.nonzero((kinds[i] == 0) | (kinds[i] == 1))[0].tolist()
+        firsts[k] = [{"key": hashlib.blake2b(b" ".join(words[far - d : far - d + least]), digest_size=16).digest(), "start": int(at[i]) - d, "many": bool(kinds[i, d] == 1)} for d in of]
+    return pd.DataFrame({"doc": rows["doc"].to_numpy()[some], "tie": rows["tie"].to_numpy()[some], "at": at[some], "own": own[some], "copied": copied[some], "firsts": firsts})
 
-    def starts(mask: np.ndarray) -> list[np.ndarray]:
-        i, d = np.nonzero(mask[some])
-        return np.split((at[some][i] - d).astype(np.int32), np.cumsum(mask[some].sum(axis=1))[:-1])
 
-    held = []
-    for i in some:
-        each = []
-        if hot[i]:
-            words, far = rows["to_left"].iat[i].split()[::-1], int(rows["far"].iat[i])
-            words += rows["to_right"].iat[i].split()
-            for d in np.nonzero(firsts[i])[0].tolist():
-                each.append({"key": hashlib.blake2b(b" ".join(words[far - d : far - d + least]), digest_size=16).digest(), "start": int(at[i]) - d, "many": bool(kinds[i, d] == 1)})
-        held.append(each)
-    own, copied = starts((kinds == 1) & ~hot[:, None]), starts(kinds == 2)
-    return pd.DataFrame({"doc": rows["doc"].to_numpy()[some], "tie": rows["tie"].to_numpy()[some], "own": own if len(some) else [], "copied": copied if len(some) else [], "firsts": held})
-
-
-_FOUND = "doc long, tie long, own array<int>, copied array<int>, firsts array<struct<key:binary,start:int,many:boolean>>"
+_FOUND = "doc long, tie long, at int, own long, copied long, firsts array<struct<key:binary,start:int,many:boolean>>"
+#: Windows that a suffix may own: the bits of a long.
+_OWNED = 63
 
 
 def in_parts(array: DataFrame, least: int, anchor: int) -> DataFrame:
@@ -266,8 +262,10 @@ def in_parts(array: DataFrame, least: int, anchor: int) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, scratch: Scratch, least: int = LEAST, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
-    """(doc, tie, own, copied): the first words of windows of ``least`` words that occur twice, own those
-    of first occurrences; some rows for each document. docs has doc, tie, text."""
+    """(doc, tie, at, own, copied): bits of own and copied tell which windows that begin so many words before
+    ``at`` occur twice, own the first occurrences; some rows for each document. docs has doc, tie, text."""
+    if not 0 < anchor <= least < anchor + _OWNED:
+        raise ValueError(f"a beginning has 1 to least words, and {_OWNED - 1} less than least at most")
     suffixes = scratch.save(sparse_suffixes(docs, least, anchor), "suffixes")
     place = F.xxhash64("doc", "tie", "at")
     shared = suffixes.groupBy("key").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count(F.lit(1)).alias("n"))
@@ -283,15 +281,15 @@ def repeated_windows(docs: DataFrame, scratch: Scratch, least: int = LEAST, anch
     firsts = found.select("doc", "tie", F.explode("firsts").alias("f")).select("f.key", "f.many", "doc", "tie", "f.start")
     place = F.struct("doc", "tie", "start")
     met = firsts.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.max("many").alias("many")).where("n > 1 or many").select("key", "first")
-    told = firsts.join(met.hint("merge"), "key").select("doc", "tie", "start", (place == F.col("first")).alias("is_first"))
-    told = told.select("doc", "tie", *[F.expr(f"if({cond}, array(start), array())").cast("array<int>").alias(c) for c, cond in (("own", "is_first"), ("copied", "not is_first"))])
-    return found.select("doc", "tie", "own", "copied").unionByName(told)
+    told = firsts.join(met.hint("merge"), "key").select("doc", "tie", F.col("start").alias("at"), (place == F.col("first")).cast("long").alias("own"))
+    return found.where("own <> 0 or copied <> 0").select("doc", "tie", "at", "own", "copied").unionByName(told.withColumn("copied", 1 - F.col("own")))
 
 
-def _covered(n: int, at: list[int], least: int) -> np.ndarray:
-    """Which of n words the windows at ``at`` cover."""
+def _covered(n: int, at: np.ndarray, masks: np.ndarray, least: int) -> np.ndarray:
+    """Which of n words the windows that ``masks`` name before the places ``at`` cover."""
     step = np.zeros(n + 1, dtype=np.int64)
-    at = np.unique(np.asarray(at, dtype=np.int64))
+    i, d = np.nonzero(masks[:, None] >> np.arange(_OWNED) & 1)
+    at = np.unique(at[i] - d)
     step[at] += 1
     step[at + least] -= 1
     return np.cumsum(step[:-1]) > 0
@@ -317,20 +315,20 @@ def repeats(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR, hot: int
     lean(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "suffixes")
     windows = repeated_windows(with_ids(docs), scratch, least, anchor, hot)
-    by_doc = windows.groupBy("doc", "tie").agg(F.flatten(F.collect_list("own")).alias("own"), F.flatten(F.collect_list("copied")).alias("copied"))
+    by_doc = windows.groupBy("doc", "tie").agg(*[F.collect_list(c).alias(c) for c in ("at", "own", "copied")])
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             spans, copies = [], []
-            for own, copied in zip(batch["own"], batch["copied"], strict=True):
-                n = int(max([*own, *copied], default=-least)) + least
-                a, b = _covered(n, own, least), _covered(n, copied, least)
-                spans.append([{"start": x, "end": y} for x, y in _runs(a | b)])
-                copies.append([{"start": x, "end": y} for x, y in _runs(b)])
+            for at, own, copied in zip(batch["at"], batch["own"], batch["copied"], strict=True):
+                at, own, copied = (np.asarray(x, dtype=np.int64) for x in (at, own, copied))
+                n = int(at.max()) + least
+                spans.append([{"start": x, "end": y} for x, y in _runs(_covered(n, at, own | copied, least))])
+                copies.append([{"start": x, "end": y} for x, y in _runs(_covered(n, at, copied, least))])
             yield pd.DataFrame({"doc_id": batch["doc"], "tie": batch["tie"], "spans": spans, "copies": copies})
 
     out = by_doc.mapInPandas(join, "doc_id long, tie long, spans array<struct<start:int,end:int>>, copies array<struct<start:int,end:int>>")
-    return out.where("size(spans) > 0").withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
+    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(_NO_ID)))
 
 
 def cut_text(text: bytes, copies: list[tuple[int, int]]) -> bytes:

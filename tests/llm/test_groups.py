@@ -247,7 +247,7 @@ def test_words_decide_not_hashes(monkeypatch):
                 rows.append((0, 1, i, 0, at, near, far, b"".join(x + b" " for x in w[at : at + 9 - near]), b"".join(x + b" " for x in w[at - far : at][::-1])))
         array = pd.DataFrame(rows, columns=["part", "parts", "doc", "tie", "at", "near", "far", "to_right", "to_left"]).sort_values("to_right", ignore_index=True)
         windows = suffix_dedup.windows_at(*suffix_dedup.extended(array, 9, 4), 9)
-        found.append([{(d, s) for d, x in zip(windows["doc"], windows[k], strict=True) for s in x} for k in ("own", "copied")])
+        found.append([{(d, at - k) for d, at, mask in zip(windows["doc"], windows["at"], windows[c], strict=True) for k in range(9) if mask >> k & 1} for c in ("own", "copied")])
     assert found[0] == found[1] and all(found[0])
 
 
