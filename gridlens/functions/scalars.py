@@ -20,10 +20,15 @@ def path(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
 
-# Hosts of the video site and the forms of its paths.
+# Hosts of the video site, the letters of its ids, and an id anywhere in a url.
 SHORT_HOSTS = ("youtu.be", "www.youtu.be")
 VIDEO_HOSTS = ("youtube.com", "www.youtube.com", "m.youtube.com", "youtu.be", "www.youtu.be")
 ID = "[a-zA-Z0-9_-]{11}"
+ID_ANYWHERE = f"(?:v=|/)({ID})(?:[?&/]|$)"
+# A model's thoughts, letters that a file name can't hold, and a score in a text.
+THOUGHTS = r"(?is)<think>.*?</think>"
+NOT_IN_NAMES = r'[<>:"/\\|?*]'
+SCORE = r"\"?(?:bbox_)?score\"?\s*[:=]\s*[\"']?([\d.]+)"
 
 
 def _found(col: Column) -> Column:
@@ -35,7 +40,7 @@ def video_id(url: Column) -> Column:
     short = F.when(host(url).isin(*SHORT_HOSTS), F.regexp_extract(path(url), "^/+([^/]*)", 1))
     watch = F.when(path(url) == "/watch", _found(F.regexp_extract(url, r"\?(?:[^#]*&)?v=([^&#]+)", 1)))
     inner = _found(F.regexp_extract(path(url), "^/(?:embed|v|shorts)/([^/]*)", 1))
-    anywhere = _found(F.regexp_extract(url, f"(?:v=|/)({ID})(?:[?&/]|$)", 1))
+    anywhere = _found(F.regexp_extract(url, ID_ANYWHERE, 1))
     return F.when(host(url).isin(*SHORT_HOSTS), short).otherwise(F.coalesce(F.when(host(url).isin(*VIDEO_HOSTS), F.coalesce(watch, inner)), anywhere))
 
 
@@ -56,7 +61,7 @@ def class_list_ok(names: Column, longest: int = 500) -> Column:
 
 
 def safe_name(x: Column, longest: int = 100) -> Column:
-    s = F.regexp_replace(F.regexp_replace(F.regexp_replace(x, r'[<>:"/\\|?*]', "_"), r"\s+", "_"), "_+", "_")
+    s = F.regexp_replace(F.regexp_replace(F.regexp_replace(x, NOT_IN_NAMES, "_"), r"\s+", "_"), "_+", "_")
     s = F.regexp_replace(s, "^_+|_+$", "")
     cut = F.when(F.length(s) > longest, F.regexp_replace(F.substring(s, 1, longest), "_+$", "")).otherwise(s)
     return F.coalesce(_found(cut), F.lit("unnamed"))
@@ -73,13 +78,13 @@ def yolo_line(cls: Column, *values: Column, digits: int = 6) -> Column:
 
 def yes_no(answer: Column) -> Column:
     """True for an answer with yes and without no, false with no, else null; by substrings."""
-    a = F.lower(F.regexp_replace(answer, r"(?is)<think>.*?</think>", ""))
+    a = F.lower(F.regexp_replace(answer, THOUGHTS, ""))
     return F.when(a.contains("yes") & ~a.contains("no"), True).when(a.contains("no"), False)
 
 
 def plain_json(text: Column) -> Column:
     """The JSON of a model's answer as text: without thoughts, fences and trailing commas; parse it with try_parse_json."""
-    t = F.regexp_replace(text, r"(?is)<think>.*?</think>", "")
+    t = F.regexp_replace(text, THOUGHTS, "")
     fenced = _found(F.regexp_extract(t, r"(?s)```(?:json)?\s*(.*?)\s*```", 1))
     return F.regexp_replace(F.trim(F.coalesce(fenced, t)), r",\s*([}\]])", "$1")
 
@@ -89,19 +94,19 @@ def box_list_json(text: Column) -> Column:
     t = F.trim(F.regexp_replace(F.regexp_replace(text, r"```json\s*", ""), r"```\s*", ""))
     inner = _found(F.regexp_extract(t, r"(?s)(\[.*\])", 1))
     one = _found(F.regexp_extract(t, r"(?s)(\{.*\})", 1))
-    ok = lambda c: F.try_parse_json(c).isNotNull()
+    ok = lambda c: F.try_parse_json(c).isNotNull() & F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))).isNotNull()  # noqa: E731  nothing follows it
     listed = lambda c: F.when(c.startswith("["), c).otherwise(F.concat(F.lit("["), c, F.lit("]")))
     return F.when(ok(t), listed(t)).when(ok(inner), inner).when(ok(one), listed(one)).otherwise("[]")
 
 
 def rating_score(text: Column) -> Column:
     """bbox_score (or score) of a rating: from its JSON, Python literals mended, else by pattern; cut to 0..1, -1 if none."""
-    t = F.regexp_replace(F.regexp_replace(text, r"(?s)<think>.*?</think>", ""), r"```json\s*|```\s*", "")
+    t = F.regexp_replace(F.regexp_replace(text, THOUGHTS, ""), r"```json\s*|```\s*", "")
     body = _found(F.regexp_extract(t, r"(?s)(\{.*\})", 1))
     mended = F.replace(F.replace(F.replace(F.translate(body, "'", '"'), F.lit("True"), F.lit("true")), F.lit("False"), F.lit("false")), F.lit("None"), F.lit("null"))
     of = lambda c: F.coalesce(F.get_json_object(c, "$.bbox_score"), F.get_json_object(c, "$.score")).try_cast("double")
     parsed = F.when(F.try_parse_json(body).isNotNull(), of(body)).when(F.try_parse_json(mended).isNotNull(), of(mended))
-    by_text = _found(F.regexp_extract(t, r"\"?(?:bbox_)?score\"?\s*[:=]\s*[\"']?([\d.]+)", 1)).try_cast("double")
+    by_text = _found(F.regexp_extract(t, SCORE, 1)).try_cast("double")
     score = F.coalesce(parsed, by_text)
     return F.when(score >= 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))).otherwise(-1.0)
 

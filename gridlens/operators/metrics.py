@@ -1,8 +1,9 @@
 """Detection quality: matching, precision and recall, average precision, confusions.
 
-A class may hold most of all predictions, so running sums over its ranking go in two steps:
-sums per bucket of confidence first, then within each bucket from where it begins. No task
-sorts more than a bucket.
+A class may hold most of all predictions, and most of these one score, so running sums over a
+ranking go in two steps: rows are dealt to ranges of the whole order (class, score, id) and
+stored, ranges are summed, and each is then run through from where it begins. No task sorts
+more than a range, and what is ranked is computed once.
 """
 
 from __future__ import annotations
@@ -15,10 +16,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlens.functions import geometry as G
+from gridlens.operators.scratch import settled
 
 # Fixed value: the slack in ratios and in the threshold.
 EPS = 1e-6
-BUCKETS = 256
 BOX = ("x1", "y1", "x2", "y2")
 
 
@@ -36,25 +37,35 @@ def match(preds: DataFrame, truth: DataFrame, threshold: float = 0.5) -> DataFra
     return preds.join(firsts, "cand", "left").withColumn("tp", F.coalesce("_tp", F.lit(False))).drop("_tp")
 
 
+def in_ranges(rows: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """rows, stored, with the range ``_r`` of (by, order) that each lies in; as many as shuffle partitions."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return settled(rows.repartitionByRange(n, *[F.col(c).asc() for c in by], *order).withColumn("_r", F.spark_partition_id()))
+
+
+def before(ranges: DataFrame, by: Sequence[str], ascending: bool = True, **aggregates: Column) -> DataFrame:
+    """(by, _r and each name): sums of the aggregates over the ranges before a range (after it, if not ascending)."""
+    sums = ranges.groupBy(*by, "_r").agg(*[c.alias(name) for name, c in aggregates.items()])
+    order = F.col("_r").asc() if ascending else F.col("_r").desc()
+    rest = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)  # of a class one row a range
+    return sums.select(*by, "_r", *[F.coalesce(F.sum(name).over(rest) if ascending else F.max(name).over(rest), F.lit(0)).alias(name) for name in aggregates])
+
+
 def ranked(matched: DataFrame, truth: DataFrame, by: Sequence[str] = ("cls",)) -> DataFrame:
     """Rows with rn, running tp and fp, precision, recall, f1 and envelope, by confidence."""
     by = list(by)
-    b = matched.withColumn("_b", F.floor(F.col("score") * BUCKETS).cast("long"))
-    sums = b.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"), F.count_if("tp").alias("_t"))
-    before = Window.partitionBy(*by).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    start = sums.select(*by, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_t0"))
-    own = Window.partitionBy(*by, "_b").orderBy(F.col("score").desc(), "cand")
+    m = in_ranges(matched, by, [F.col("score").desc(), F.col("cand").asc()])
+    start = before(m, by, _n0=F.count(F.lit(1)), _t0=F.count_if("tp"))
+    own = Window.partitionBy(*by, "_r").orderBy(F.col("score").desc(), "cand")
     upto = own.rowsBetween(Window.unboundedPreceding, 0)
-    r = b.join(start, [*by, "_b"]).withColumn("rn", F.col("_n0") + F.row_number().over(own)).withColumn("acc_tp", F.col("_t0") + F.sum(F.col("tp").cast("long")).over(upto))
+    r = m.join(start, [*by, "_r"]).withColumn("rn", F.col("_n0") + F.row_number().over(own)).withColumn("acc_tp", F.col("_t0") + F.sum(F.col("tp").cast("long")).over(upto))
     total = truth.groupBy("cls").agg(F.count(F.lit(1)).alias("total_gt"))
     r = r.join(total, "cls", "left").withColumn("total_gt", F.coalesce("total_gt", F.lit(0))).withColumn("acc_fp", F.col("rn") - F.col("acc_tp"))
     r = r.withColumn("precision", F.col("acc_tp") / (F.col("acc_tp") + F.col("acc_fp") + EPS)).withColumn("recall", F.col("acc_tp") / (F.col("total_gt") + EPS))
-    r = r.withColumn("f1", 2 * (F.col("precision") * F.col("recall")) / (F.col("precision") + F.col("recall") + EPS))
-    tops = r.groupBy(*by, "_b").agg(F.max("precision").alias("_p"))
-    after = Window.partitionBy(*by).orderBy(F.col("_b").asc()).rowsBetween(Window.unboundedPreceding, -1)
-    rest = tops.select(*by, "_b", F.coalesce(F.max("_p").over(after), F.lit(0.0)).alias("_rest"))
-    r = r.join(rest, [*by, "_b"]).withColumn("envelope", F.greatest("_rest", F.max("precision").over(own.rowsBetween(0, Window.unboundedFollowing))))
-    return r.drop("_b", "_n0", "_t0", "_rest")
+    r = settled(r.withColumn("f1", 2 * (F.col("precision") * F.col("recall")) / (F.col("precision") + F.col("recall") + EPS)))
+    rest = before(r, by, False, _rest=F.max("precision"))
+    r = r.join(rest, [*by, "_r"]).withColumn("envelope", F.greatest("_rest", F.max("precision").over(own.rowsBetween(0, Window.unboundedFollowing))))
+    return r.drop("_r", "_n0", "_t0", "_rest")
 
 
 def average_precision(curve: DataFrame, by: Sequence[str] = ("cls",), *more: Column) -> DataFrame:
@@ -117,6 +128,8 @@ def one_to_one(a: DataFrame, b: DataFrame, by: str, threshold: float) -> DataFra
 COCO_IOU = tuple(0.5 + 0.05 * k for k in range(10))
 COCO_AREAS = {"all": (0.0, 1e10), "small": (0.0, 32.0**2), "medium": (32.0**2, 96.0**2), "large": (96.0**2, 1e10)}
 COCO_MOST = 100
+#: Boxes that a task matches at once.
+BUCKET = 20_000
 
 
 def _iou_matrix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -162,9 +175,9 @@ def _coco_image(pb: np.ndarray, gb: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 def coco_matches(preds: DataFrame, truth: DataFrame, scale: float = 640.0) -> DataFrame:
     """By image, class, area range and IoU: predictions with tp, ignored and their rank in the image; rows of rank 0 hold the boxes counted (n_gt).
 
-    Images are dealt to buckets, each a pass over arrays; an image's boxes of a class are matched together.
+    Images are dealt to buckets of about BUCKET boxes, each a pass over arrays; an image's boxes of a class are matched together.
     """
-    buckets = 4 * int(preds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(1, -(-(preds.count() + truth.count()) // BUCKET))
 
     def run(p: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values(["img", "cls", "score", "cand"], ascending=[True, True, False, True], kind="stable")
@@ -200,16 +213,22 @@ def coco_matches(preds: DataFrame, truth: DataFrame, scale: float = 640.0) -> Da
 
 def coco_scores(matches: DataFrame) -> DataFrame:
     """(cls, area, th, ap, ar): 101-point precision, and recall with at most COCO_MOST predictions of an image."""
-    total = matches.where("rank = 0").groupBy("cls", "area", "th").agg(F.sum("n_gt").alias("total"))
+    matches = settled(matches)
     by = ["cls", "area", "th"]
+    total = matches.where("rank = 0").groupBy(*by).agg(F.sum("n_gt").alias("total"))
     r = matches.where("rank > 0 and not ignored").groupBy(*by, "score").agg(F.count(F.lit(1)).alias("n"), F.count_if("tp").alias("t"))
-    upto = Window.partitionBy(*by).orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    r = r.withColumn("acc", F.sum("t").over(upto)).withColumn("precision", F.col("acc") / F.sum("n").over(upto))
-    r = r.join(total, by).where("total > 0").withColumn("recall", F.col("acc") / F.col("total"))
-    env = r.withColumn("envelope", F.max("precision").over(Window.partitionBy(*by).orderBy(F.col("score").desc()).rowsBetween(0, Window.unboundedFollowing)))
-    prev = F.coalesce(F.lag("recall").over(Window.partitionBy(*by).orderBy(F.col("score").desc())), F.lit(-1.0))
-    # recall points k / 100 that this row is the first to reach
-    points = F.floor(F.col("recall") * 100 + 1e-9) - F.floor(F.greatest(prev, F.lit(-0.01)) * 100 + 1e-9)
+    r = in_ranges(r, by, [F.col("score").desc()])
+    own = Window.partitionBy(*by, "_r").orderBy(F.col("score").desc())
+    upto = own.rowsBetween(Window.unboundedPreceding, 0)
+    r = r.join(before(r, by, _n0=F.sum("n"), _t0=F.sum("t")), [*by, "_r"])
+    r = r.withColumn("acc", F.col("_t0") + F.sum("t").over(upto)).withColumn("precision", F.col("acc") / (F.col("_n0") + F.sum("n").over(upto)))
+    r = settled(r.join(total, by).where("total > 0").withColumn("recall", F.col("acc") / F.col("total")).withColumn("recall0", (F.col("acc") - F.col("t")) / F.col("total")))
+    env = r.join(before(r, by, False, _rest=F.max("precision")), [*by, "_r"])
+    env = env.withColumn("envelope", F.greatest("_rest", F.max("precision").over(own.rowsBetween(0, Window.unboundedFollowing))))
+    # recall points k / 100 that this row is the first to reach; the first row of all reaches 0
+    point = lambda c: F.floor(c * 100 + 1e-9)
+    first = F.row_number().over(own) + F.col("_n0") == 1
+    points = F.when(first, point(F.col("recall")) + 1).otherwise(point(F.col("recall")) - point(F.col("recall0")))
     ap = env.withColumn("points", points).groupBy(*by).agg((F.sum(F.col("points") * F.col("envelope")) / 101).alias("ap"), F.max("recall").alias("ar"))
     return total.where("total > 0").join(ap, by, "left").select(*by, F.coalesce("ap", F.lit(0.0)).alias("ap"), F.coalesce("ar", F.lit(0.0)).alias("ar"))
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridlens.operators.metrics import before, in_ranges
+
 # Half-open bounds of the area buckets.
 AREAS = {"small": (0.0, 0.01), "medium": (0.01, 0.09), "large": (0.09, 1.01)}
 
@@ -69,3 +71,10 @@ def answer_rates(answers: DataFrame, by: str, answer: Column) -> DataFrame:
     return answers.groupBy(by).agg(
         F.count(F.lit(1)).alias("total"), F.count_if(answer).alias("positive"), F.count_if(~answer).alias("negative"),
     ).withColumn("rate", F.col("positive") / F.col("total"))
+
+
+def placed(rows: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """rows with their place in the whole order, counted per range first, so that no task sorts them all."""
+    r = in_ranges(rows, (), order)
+    own = F.row_number().over(Window.partitionBy("_r").orderBy(*order))
+    return r.join(before(r, (), _n0=F.count(F.lit(1))), "_r").withColumn("place", F.col("_n0") + own).drop("_r", "_n0")

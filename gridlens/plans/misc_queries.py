@@ -126,8 +126,8 @@ def _(t):
 
 @query("snk_coco", "SELECT CASE WHEN img % 5 = 0 THEN 'annotations/instances_val2017.json' WHEN img % 5 = 1 THEN 'annotations/instances_test2017.json' ELSE 'annotations/instances_train2017.json' END AS path, count(DISTINCT img) AS images, count(*) AS annotations FROM ground_truth GROUP BY 1")
 def _(t):
-    j = DS.write_coco(dataset(t)).select("path", F.from_json("value", L.COCO).alias("c"))
-    return j.select("path", F.size("c.images").cast("long").alias("images"), F.size("c.annotations").cast("long").alias("annotations"))
+    j = DS.write_coco(dataset(t)).select(F.regexp_replace("path", r"-\d+\.json$", ".json").alias("path"), F.from_json("value", L.COCO).alias("c"))
+    return j.groupBy("path").agg(F.sum(F.size("c.images")).alias("images"), F.sum(F.size("c.annotations")).alias("annotations"))
 
 
 def predictions(t) -> DataFrame:
@@ -146,7 +146,7 @@ def _(t):
 @query("src_coco_preds", "SELECT img AS image_id, cls + 1 AS category_id, x1 * 640 AS x, (y2 - y1) * 640 AS h FROM detections")
 def _(t):
     # one text per thousand images, as a file holds them
-    files = predictions(t).groupBy((F.col("image_id") % 16).alias("path")).agg(F.to_json(F.collect_list(F.struct("image_id", "category_id", "bbox", "score"))).alias("value"))
+    files = predictions(t).groupBy(F.floor(F.col("image_id") / 1000).alias("path")).agg(F.to_json(F.collect_list(F.struct("image_id", "category_id", "bbox", "score"))).alias("value"))
     return L.coco_predictions(files).select("image_id", "category_id", "x", "h")
 
 
@@ -191,7 +191,8 @@ def _(t):
 def _(t):
     """The layout told from the paths that each writer makes; a listing is all that is needed."""
     d = dataset(t)
-    shapes = lambda files: files.select(F.regexp_replace("path", r"img_\d+", "img").alias("path")).distinct()  # noqa: E731  one for each folder
+    # of each folder and ending one path is enough, whatever the files are called
+    shapes = lambda files: files.groupBy(F.regexp_replace("path", r"[^/]*$", ""), F.regexp_extract("path", r"\.[^./]*$", 0)).agg(F.min("path").alias("path"))
     told = [(k, DS.detect_format(r.path for r in shapes(w(d)).collect())) for k, w in sorted(DS.WRITERS.items())]
     return t.spark.createDataFrame(told, "written string, detected string")
 
@@ -415,10 +416,23 @@ def _(t):
     return search(t).where("priority in (1, 2) and yield_ratio >= 0.125 and videos >= 20 and not is_variation").select("id")
 
 
-@query("srt_queries", f"WITH {SEARCH} SELECT id, row_number() OVER (ORDER BY priority, images DESC, id) AS place FROM q ORDER BY place LIMIT 100")
+SORTS = {"score": ("priority", "images DESC"), "yield": ("yield_ratio DESC",), "images": ("images DESC",), "videos": ("videos DESC",)}
+
+
+def ordered_by(sort: str) -> str:
+    return ", ".join((*SORTS[sort], "id"))
+
+
+@query("srt_queries", f"WITH {SEARCH} " + " UNION ALL ".join(f"SELECT id, '{k}' AS sort, row_number() OVER (ORDER BY {ordered_by(k)}) AS place FROM q" for k in SORTS))
 def _(t):
-    top = search(t).orderBy("priority", F.col("images").desc(), "id").limit(100)  # a report of the first hundred
-    return top.withColumn("place", F.row_number().over(Window.orderBy("priority", F.col("images").desc(), "id")).cast("long")).select("id", "place")
+    """Every query's place in each of the orders that a report may have."""
+    q = search(t)
+    out = None
+    for sort in SORTS:
+        order = [F.col(c.split()[0]).desc() if c.endswith(" DESC") else F.col(c).asc() for c in (*SORTS[sort], "id")]
+        r = ST.placed(q, order).select("id", F.lit(sort).alias("sort"), "place")
+        out = r if out is None else out.unionByName(r)
+    return out
 
 
 @query("fn_expand_query", f"""WITH {SEARCH} SELECT id, term || ' 4k' AS term, greatest(10, videos // 2)::BIGINT AS videos, 'quality_4k' AS kind FROM q WHERE NOT is_variation AND priority <= 3 AND videos >= 50 AND term NOT LIKE '%4k%'
@@ -518,10 +532,10 @@ def _(t):
     return answers(t).select("event_id", F.when(F.try_parse_json(p).isNotNull(), F.get_json_object(p, "$.k")).alias("k"))
 
 
-@query("fn_bbox_json", "SELECT event_id, CASE WHEN event_id % 5 IN (0, 2, 4) THEN 1 ELSE 0 END AS n, CASE WHEN event_id % 5 IN (0, 2, 4) THEN props::JSON->>'k' END AS k FROM events WHERE event_id % 5 <> 1")
+@query("fn_bbox_json", "SELECT event_id, CASE WHEN event_id % 5 IN (0, 2, 4) THEN 1 ELSE 0 END AS n, CASE WHEN event_id % 5 IN (0, 2, 4) THEN props::JSON->>'k' END AS k FROM events")
 def _(t):
     j = F.from_json(C.box_list_json(F.col("a")), "array<struct<k:string>>")
-    return answers(t).where("event_id % 5 <> 1").withColumn("j", j).select("event_id", F.size("j").alias("n"), F.get("j.k", F.lit(0)).alias("k"))
+    return answers(t).withColumn("j", j).select("event_id", F.size("j").alias("n"), F.get("j.k", F.lit(0)).alias("k"))
 
 
 @query("fn_rating_json", "SELECT event_id, CASE event_id % 3 WHEN 0 THEN (event_id % 100) / 100e0 WHEN 1 THEN 1e0 ELSE -1e0 END AS score FROM events")
@@ -655,8 +669,8 @@ def _(t):
     at = _stream_dir(t)
     t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", Q.ROCKS)
     for k in (0, 1):
-        Q.submit(t.proposals.where(F.col("model") % 2 == k).coalesce(1), f"{at}/in")
-    out = Q.barrier(Q.messages(t.spark, f"{at}/in", t.proposals.schema), 4)
+        Q.submit(t.proposals.where(F.col("model") % 2 == k), f"{at}/in")
+    out = Q.barrier(Q.messages(t.spark, f"{at}/in", t.proposals.schema, 1000), 4)
     return Q.run_now(out, f"{at}/out", f"{at}/ck").select("image_id", "models", "boxes")
 
 
@@ -664,11 +678,78 @@ def _(t):
 def _(t):
     """Hours that the watermark has closed."""
     at = _stream_dir(t)
-    Q.submit(t.events.withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1), f"{at}/in")
-    rows = Q.messages(t.spark, f"{at}/in", t.events.withColumn("ts", F.col("ts").cast("timestamp")).schema)
+    Q.submit(t.events.withColumn("ts", F.col("ts").cast("timestamp")), f"{at}/in")
+    # all files in one batch: none of the events is late
+    rows = Q.messages(t.spark, f"{at}/in", t.events.withColumn("ts", F.col("ts").cast("timestamp")).schema, 1 << 30)
     return Q.run_now(Q.event_windows(rows, "1 hour"), f"{at}/out", f"{at}/ck").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
 
 
+@query("st_stream_retry", "SELECT image_id, count(*) FILTER (status = 'failed') AS attempts FROM work_queue GROUP BY image_id HAVING count(*) FILTER (status = 'failed') > 0")
+def _(t):
+    """Failures counted in the state store, one batch a stage; the last count of each image."""
+    at = _stream_dir(t)
+    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", Q.ROCKS)
+    results = t.work_queue.where("status = 'failed'").select("image_id", F.lit(True).alias("failed"))
+    Q.submit(results, f"{at}/in")
+    rows = Q.messages(t.spark, f"{at}/in", results.schema, 1 << 30)
+    Q.forward(Q.retries(rows, 1000), f"{at}/ck", f"{at}/out", f"{at}/dead", mode="update").awaitTermination()
+    out = t.spark.read.schema("image_id long, attempts long, outcome string").option("recursiveFileLookup", "true").parquet(f"{at}/out")
+    return out.groupBy("image_id").agg(F.max("attempts").alias("attempts"))
+
+
+@query("st_stream_stale", "SELECT image_id FROM (SELECT image_id, max(claimed_at) AS m FROM work_queue WHERE status = 'processing' AND claimed_at IS NOT NULL GROUP BY image_id) x WHERE m + INTERVAL 3 SECOND <= (SELECT max(claimed_at) FROM work_queue WHERE status = 'processing') - INTERVAL 1 SECOND")
+def _(t):
+    """Claims that went silent, by the time of the claims themselves: timers in the state store, closed by the watermark."""
+    at = _stream_dir(t)
+    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", Q.ROCKS)
+    claims = t.work_queue.where("status = 'processing' and claimed_at is not null").select("image_id", F.lit("claim").alias("kind"), F.col("stage").alias("worker"), F.col("claimed_at").cast("timestamp").alias("ts"))
+    Q.submit(claims, f"{at}/in")
+    rows = Q.messages(t.spark, f"{at}/in", claims.schema, 1 << 30)
+    return Q.run_now(Q.stale_by_time(rows, 3000, "1 second"), f"{at}/out", f"{at}/ck").select("image_id")
+
+
+@query("st_envelope", "SELECT event_id, 'ingest' AS origin, CASE WHEN event_id % 10 = 0 THEN 'dead_letter' ELSE 'ingest' END AS stage FROM events")
+def _(t):
+    """Messages in envelopes; those that can't be read go to the dead letters and still tell where they come from."""
+    sent = Q.enveloped(t.events.select("event_id", F.when(F.col("event_id") % 10 != 0, F.col("props")).alias("props")), "ingest", "job")
+    content = F.from_json("data", "event_id long, props string")
+    dead = Q.dead_letters(sent, F.when(content["props"].isNull(), "no props"))
+    told = F.from_json("data", "origin string, message_id string, data string, error string")
+    back = dead.select("stage", told.alias("d")).select("stage", "d.origin", F.from_json("d.data", "event_id long")["event_id"].alias("event_id"))
+    good = Q.opened(sent, "event_id long, props string").where("props is not null").select("stage", F.col("stage").alias("origin"), "event_id")
+    return good.unionByName(back).select("event_id", "origin", "stage")
+
+
+@query("ext_detect", "SELECT DISTINCT 'img_' || img AS image_path, 'car' AS label, (img % 8) / 8e0 AS score, 'second' AS model FROM detections WHERE img % 7 <> 0")
+def _(t):
+    """A detector whose first model does not load; responses of another form are refused."""
+    from gridlens.operators import models as MD
+
+    def load(name):
+        if name == "first":
+            raise OSError("no weights")
+        return name
+
+    def run(model, batch: pd.DataFrame) -> pd.DataFrame:
+        k = batch["image_path"].str.slice(4).astype(int)
+        return pd.DataFrame({"boxes": [[[0.0, 0.0, 0.5, 2.0 if i % 7 == 0 else 1.0]] for i in k], "scores": [[i % 8 / 8] for i in k], "labels": [["Car "] for _ in k]})
+
+    images = t.detections.select(F.concat(F.lit("img_"), "img").alias("image_path")).distinct()
+    boxes, _refused = MD.detect(images, MD.Detector(("first", "second"), load, run), ["car", "bus"])
+    return boxes.select("image_path", "label", "score", "model")
+
+
+@query("ext_embed_cache", "SELECT vec_id, vec_id % 3 <> 0 AS cached FROM embeddings")
+def _(t):
+    """Embeddings from a cache that is filled with what lacks: those computed here are zeros."""
+    from gridlens.operators import models as MD
+
+    at = f"{folder(t.spark)}/cache-{uuid.uuid4().hex}"
+    t.embeddings.where("vec_id % 3 <> 0").select("vec_id", "embedding").write.parquet(at)
+    zeros = MD.Detector(("zeros",), lambda name: name, lambda model, batch: pd.DataFrame({"embedding": [np.zeros(4, dtype=np.float32) for _ in range(len(batch))]}))
+    return MD.embedded(t.embeddings.select("vec_id"), "vec_id", at, zeros).select("vec_id", (F.size("embedding") != 4).alias("cached"))
+
+
 @query("st_heartbeat", "SELECT image_id, stage FROM work_queue WHERE status = 'processing' AND claimed_at < TIMESTAMP '2024-01-15 00:00:00' - INTERVAL 30 SECOND")
 def _(t):
     return t.work_queue.where("status = 'processing'").where(F.col("claimed_at") < F.expr("timestamp_ntz'2024-01-15 00:00:00' - interval 30 seconds")).select("image_id", "stage")

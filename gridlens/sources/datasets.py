@@ -1,7 +1,9 @@
 """Dataset layouts: COCO, Roboflow, YOLO split-first and modality-first, Darknet; each to each.
 
 A dataset in between is images (split, stem, file_name, width, height), boxes (stem, class_id,
-x, y, w, h in pixels) and the list of its categories.
+x, y, w, h in pixels) and the list of its categories. COCO texts and path lists of large splits are
+written in shards (``instances_train2017-00003.json``, ``train-00003.txt``), which are read alike, so
+that no row holds a split.
 """
 
 from __future__ import annotations
@@ -37,13 +39,13 @@ def detect_format(paths: Iterable[str]) -> str:
     split = "(train|valid|val|test)"
     if has(r"^/annotations/instances_[^/]*\.json$"):
         return "coco"
-    if has(rf"^/{split}/_annotations\.coco\.json$"):
+    if has(rf"^/{split}/_annotations(-\d+)?\.coco\.json$"):
         return "roboflow"
     if has(r"^/data\.yaml$"):
         if has(rf"^/{split}/(images|labels)/"):
             return "yolo_a"
         return "yolo_b" if has(rf"^/(images|labels)/{split}/") else "yolo_a"
-    if has(r"^/obj\.data$") or has(r"^/train\.txt$"):
+    if has(r"^/obj\.data$") or has(r"^/train(-\d+)?\.txt$"):
         return "darknet"
     raise ValueError("no known layout")
 
@@ -87,8 +89,8 @@ def read_yolo(files: DataFrame, sizes: DataFrame, categories: list[str], layout:
 
 def read_darknet(files: DataFrame, sizes: DataFrame, categories: list[str] | None = None) -> Dataset:
     """Path lists name the images of a split; without obj.names classes are class_0 to the largest."""
-    lists = files.where(F.col("path").rlike(r"^(train|val|valid|test)\.txt$"))
-    named = lists.select(F.regexp_extract("path", r"^(\w+)\.txt$", 1).alias("split"), F.explode(F.split("value", "\n")).alias("line")).where("trim(line) <> ''")
+    lists = files.where(F.col("path").rlike(r"^(train|val|valid|test)(-\d+)?\.txt$"))
+    named = lists.select(F.regexp_extract("path", r"^(\w+?)(-\d+)?\.txt$", 1).alias("split"), F.explode(F.split("value", "\n")).alias("line")).where("trim(line) <> ''")
     images = named.select("split", stem(F.trim("line")).alias("stem")).join(sizes, "stem").select("split", "stem", "file_name", "width", "height")
     label_files = files.where(F.col("path").rlike(r"^labels/"))
     rows = L.yolo(label_files).withColumn("stem", stem(F.col("path")))
@@ -99,7 +101,7 @@ def read_darknet(files: DataFrame, sizes: DataFrame, categories: list[str] | Non
 
 
 def read_coco(files: DataFrame, layout: str = "coco") -> Dataset:
-    pattern = r"^(?:.*/)?annotations/instances_(train|val|test)(?:2017)?\.json$" if layout == "coco" else r"^(?:.*/)?(train|valid|val|test)/_annotations\.coco\.json$"
+    pattern = r"^(?:.*/)?annotations/instances_(train|val|test)(?:2017)?(?:-\d+)?\.json$" if layout == "coco" else r"^(?:.*/)?(train|valid|val|test)/_annotations(?:-\d+)?\.coco\.json$"
     f = files.withColumn("split", F.regexp_extract("path", pattern, 1)).where("split <> ''")
     f = f.withColumn("split", F.when(F.col("split") == "valid", "val").otherwise(F.col("split")))
     j = f.select("split", F.from_json("value", L.COCO).alias("c"))
@@ -122,8 +124,8 @@ def write_yolo(d: Dataset, layout: str) -> DataFrame:
 def write_darknet(d: Dataset) -> DataFrame:
     spark = d.images.sparkSession
     rows = d.images.select("stem", F.concat(F.lit("labels/"), "stem", F.lit(".txt")).alias("path")).join(_normal(d), "stem", "left")
-    lists = d.images.groupBy("split").agg(F.sort_array(F.collect_list(F.concat(F.lit("images/"), "file_name"))).alias("l"))
-    lists = lists.select(F.concat("split", F.lit(".txt")).alias("path"), F.concat(F.array_join("l", "\n"), F.lit("\n")).alias("value"))
+    lists = L.sharded(d.images, "split", F.col("stem"), L.LIST).groupBy("split", "mark").agg(F.sort_array(F.collect_list(F.concat(F.lit("images/"), "file_name"))).alias("l"))
+    lists = lists.select(F.concat("split", "mark", F.lit(".txt")).alias("path"), F.concat(F.array_join("l", "\n"), F.lit("\n")).alias("value"))
     names = spark.createDataFrame([("obj.names", "\n".join(d.categories) + "\n"), ("obj.data", f"classes = {len(d.categories)}\nnames = obj.names\n")], "path string, value string")
     return L.to_label_files(rows, order=("class_id", *L.CENTRE)).unionByName(lists).unionByName(names)
 
@@ -136,6 +138,7 @@ def write_coco(d: Dataset, layout: str = "coco") -> DataFrame:
     return L.to_coco(d.images, d.boxes, d.categories, at)
 
 
+#: Layouts by name; ``register`` adds others.
 WRITERS: dict[str, Callable[[Dataset], DataFrame]] = {
     "coco": write_coco,
     "roboflow": lambda d: write_coco(d, "roboflow"),
@@ -145,8 +148,21 @@ WRITERS: dict[str, Callable[[Dataset], DataFrame]] = {
 }
 
 
+READERS: dict[str, Callable] = {}
+
+
+def register(layout: str, reader: Callable[[DataFrame, DataFrame | None, list[str] | None], Dataset] | None = None, writer: Callable[[Dataset], DataFrame] | None = None) -> None:
+    """A layout of one's own: a reader of (files, sizes, categories), a writer of a Dataset, or both; one's own goes before those here."""
+    if reader is not None:
+        READERS[layout] = reader
+    if writer is not None:
+        WRITERS[layout] = writer
+
+
 def read(files: DataFrame, layout: str, sizes: DataFrame | None = None, categories: list[str] | None = None) -> Dataset:
     """A dataset from its files; label layouts need the images' sizes, their categories come from data.yaml or obj.names."""
+    if layout in READERS:
+        return READERS[layout](files, sizes, categories)
     if layout in ("coco", "roboflow"):
         return read_coco(files, layout)
     if layout == "darknet":

@@ -20,18 +20,29 @@ from gridlens.functions.scalars import stem, yolo_line
 def text_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """(path, value) of all files below ``root`` whose name fits, empty ones too.
 
-    Spark's readers leave out files of no length, which are images without boxes here; a listing finds them.
+    Spark's readers leave out files of no length, which are images without boxes here; a listing finds
+    them: the folders of ``root`` here, what is below each of them in a task.
     """
-    from fnmatch import fnmatch
-
     from pyarrow import fs
 
     df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(root, wholetext=True)
-    system, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
-    found = system.get_file_info(fs.FileSelector(base, recursive=True))
-    bare = [f.path.removeprefix(base).lstrip("/") for f in found if f.is_file and not f.size and fnmatch(f.base_name, glob) and f.base_name[0] not in "._"]
+    place = root if "://" in root else f"file://{root}"
+    system, base = fs.FileSystem.from_uri(place)
+    folders = [f.path for f in system.get_file_info(fs.FileSelector(base)) if not f.is_file]
+
+    def empty(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from fnmatch import fnmatch
+
+        system, base = fs.FileSystem.from_uri(place)
+        for batch in batches:
+            for folder, deep in zip(batch["folder"], batch["deep"], strict=True):
+                found = system.get_file_info(fs.FileSelector(folder, recursive=bool(deep)))
+                bare = [f.path.removeprefix(base).lstrip("/") for f in found if f.is_file and not f.size and fnmatch(f.base_name, glob) and f.base_name[0] not in "._"]
+                yield pd.DataFrame({"path": bare, "value": ""}, dtype=object)
+
     at = F.regexp_replace(F.input_file_name(), "^.*?" + re.escape(base.strip("/")) + "/", "")
-    return df.select(at.alias("path"), "value").unionByName(spark.createDataFrame([(p, "") for p in bare], "path string, value string"))
+    listed = spark.createDataFrame([(base, False), *((f, True) for f in folders)], "folder string, deep boolean").repartition(len(folders) + 1)
+    return df.select(at.alias("path"), "value").unionByName(listed.mapInPandas(empty, "path string, value string"))
 
 
 def named_files(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
@@ -153,14 +164,37 @@ def coco_predictions(files: DataFrame) -> DataFrame:
     return p.select("p.image_id", "p.category_id", *[F.get("p.bbox", F.lit(k)).alias(c) for k, c in enumerate("xywh")], "p.score")
 
 
-def to_coco(images: DataFrame, boxes: DataFrame, categories: Sequence[str], path: Column) -> DataFrame:
+#: Images of a COCO text, and paths of a list: larger splits are written in shards.
+SHARD, LIST = 10_000, 200_000
+
+
+def sharded(rows: DataFrame, by: str, key: Column, most: int) -> DataFrame:
+    """rows with shard (0 and on) and mark (what a path gets: nothing for a split of one shard, else ``-00000``)."""
+    sizes = rows.groupBy(by).agg(F.greatest(F.ceil(F.count(F.lit(1)) / most), F.lit(1)).alias("_shards"))  # one row a split
+    out = rows.join(F.broadcast(sizes), by).withColumn("shard", F.pmod(F.xxhash64(key), "_shards"))
+    return out.withColumn("mark", F.when(F.col("_shards") > 1, F.format_string("-%05d", "shard")).otherwise("")).drop("_shards")
+
+
+def numbered(rows: DataFrame, by: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """rows with ``name`` from 1 on, through the shards of ``by[0]`` in turn: counts first, then each shard's own numbers."""
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    start = Window.partitionBy(by[0]).orderBy(by[1]).rowsBetween(Window.unboundedPreceding, -1)  # one row a shard
+    starts = sizes.select(*by, F.coalesce(F.sum("_n").over(start), F.lit(0)).alias("_n0"))
+    own = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return rows.join(starts, list(by)).withColumn(name, (F.col("_n0") + own).cast("long")).drop("_n0")
+
+
+def to_coco(images: DataFrame, boxes: DataFrame, categories: Sequence[str], path: Column, shard: int = SHARD) -> DataFrame:
     """(path, value): COCO texts of images (stem, file_name, width, height) and boxes (stem, class_id, x, y, w, h in pixels).
 
-    Ids run from 1 in the order of stems and of boxes; categories from 1; numbers have two digits.
+    A split of more than ``shard`` images is written in several texts, each whole in itself, whose ids
+    go on through all of them. Ids run from 1 in the order of stems and of boxes within a text;
+    categories from 1; numbers have two digits.
     """
-    i = images.withColumn("path", path).withColumn("id", F.row_number().over(Window.partitionBy("path").orderBy("stem")).cast("long"))
-    b = boxes.join(i.select("stem", "path", F.col("id").alias("image_id")), "stem")
-    b = b.withColumn("id", F.row_number().over(Window.partitionBy("path").orderBy("image_id", "class_id", *"xywh")).cast("long"))
+    i = sharded(images.withColumn("split_path", path), "split_path", F.col("stem"), shard)
+    i = numbered(i, ("split_path", "shard"), ("stem",), "id").withColumn("path", F.regexp_replace("split_path", r"(\.coco)?\.json$", F.concat("mark", F.lit("$1.json"))))
+    b = boxes.join(i.select("stem", "split_path", "shard", "path", F.col("id").alias("image_id")), "stem")
+    b = numbered(b, ("split_path", "shard"), ("image_id", "class_id", *"xywh"), "id")
     two = lambda c: F.bround(c, 2)
     ann = F.struct("id", "image_id", (F.col("class_id") + 1).cast("long").alias("category_id"), F.array(*[two(F.col(c)) for c in "xywh"]).alias("bbox"), two(F.col("w") * F.col("h")).alias("area"), F.lit(0).alias("iscrowd"))
     ii = i.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("id", "file_name", "width", "height"))).alias("images"))

@@ -10,11 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
+#: Milliseconds for which a key that is through is remembered: a day.
+KEEP_MS = 86_400_000
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -31,8 +33,8 @@ def submit(rows: DataFrame, path: str) -> None:
 class Barrier(StatefulProcessor):
     """Lets a key through once ``need`` different models have reported, or, with a time limit, whoever has by then."""
 
-    def __init__(self, need: int, limit_ms: int | None = None):
-        self.need, self.limit_ms = need, limit_ms
+    def __init__(self, need: int, limit_ms: int | None = None, keep_ms: int = KEEP_MS):
+        self.need, self.limit_ms, self.keep_ms = need, limit_ms, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -42,15 +44,18 @@ class Barrier(StatefulProcessor):
     def _row(self, key, late: bool) -> pd.DataFrame:
         models = sorted(k[0] for k in self.seen.keys())
         boxes = sum(int(v[0]) for v in self.seen.values())
+        self.seen.clear()
+        for at in list(self.handle.listTimers()) if self.limit_ms is not None else ():
+            self.handle.deleteTimer(at)
         return pd.DataFrame({"image_id": [key[0]], "models": [len(models)], "boxes": [boxes], "late": [late]})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if self.done.exists():
+            return
         first = not self.seen.exists()
         for batch in rows:
             for model, boxes in zip(batch["model"], batch["boxes"], strict=True):
                 self.seen.updateValue((int(model),), (int(boxes),))  # a repeated report counts once
-        if self.done.exists():
-            return
         if len(list(self.seen.keys())) >= self.need:
             self.done.update((True,))
             yield self._row(key, False)
@@ -67,7 +72,7 @@ class Barrier(StatefulProcessor):
 
 
 class Retries(StatefulProcessor):
-    """Counts the attempts of failed work: again, or dead at ``most``."""
+    """Counts the attempts of failed work: again, or dead at ``most``. Work that is dead, or came through, is forgotten."""
 
     def __init__(self, most: int):
         self.most = most
@@ -77,36 +82,45 @@ class Retries(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         before = self.attempts.get()[0] if self.attempts.exists() else 0
-        n = before + sum(int(batch["failed"].sum()) for batch in rows)
-        if n == before:
-            return
-        self.attempts.update((n,))
-        yield pd.DataFrame({"image_id": [key[0]], "attempts": [min(n, self.most)], "outcome": ["dead" if n >= self.most else "again"]})
+        n, through = before, False
+        for batch in rows:
+            n += int(batch["failed"].sum())
+            through |= not batch["failed"].all()
+        if n >= self.most or (through and n == before):
+            self.attempts.clear()
+        elif n > before:
+            self.attempts.update((n,))
+        if n > before:
+            yield pd.DataFrame({"image_id": [key[0]], "attempts": [min(n, self.most)], "outcome": ["dead" if n >= self.most else "again"]})
 
     def close(self) -> None:
         pass
 
 
 class Stale(StatefulProcessor):
-    """Gives back a claim of which nothing was heard for ``limit_ms``."""
+    """Gives back a claim of which nothing was heard for ``limit_ms``, by the clock or by the rows' own time ``ts``."""
 
-    def __init__(self, limit_ms: int):
-        self.limit_ms = limit_ms
+    def __init__(self, limit_ms: int, by_clock: bool = True):
+        self.limit_ms, self.by_clock = limit_ms, by_clock
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.claim = handle.getValueState("claim", "worker string, until long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        until = timerValues.getCurrentProcessingTimeInMs() + self.limit_ms
+        old = self.claim.get()[1] if self.claim.exists() else None
         for batch in rows:
-            for kind, worker in zip(batch["kind"], batch["worker"], strict=True):
+            at = [timerValues.getCurrentProcessingTimeInMs()] * len(batch) if self.by_clock else (batch["ts"].astype("datetime64[ms]").astype("int64")).tolist()
+            for kind, worker, ms in zip(batch["kind"], batch["worker"], at, strict=True):
                 if kind == "release":
                     self.claim.clear()
-                else:  # a claim or a heartbeat
-                    self.claim.update((worker, until))
-        if self.claim.exists():
-            self.handle.registerTimer(until)
+                elif not self.claim.exists() or self.claim.get()[1] <= ms + self.limit_ms:  # a claim or a heartbeat
+                    self.claim.update((worker, ms + self.limit_ms))
+        new = self.claim.get()[1] if self.claim.exists() else None
+        if old is not None and old != new:
+            self.handle.deleteTimer(old)
+        if new is not None and old != new:
+            self.handle.registerTimer(new)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -130,15 +144,38 @@ def retries(results: DataFrame, most: int) -> DataFrame:
 
 
 def stale(claims: DataFrame, limit_ms: int) -> DataFrame:
-    """(image_id, worker) of claims that went silent, from (image_id, kind, worker)."""
+    """(image_id, worker) of claims that went silent by the clock, from (image_id, kind, worker)."""
     return claims.groupBy("image_id").transformWithStateInPandas(Stale(limit_ms), "image_id long, worker string", "Append", "ProcessingTime")
 
 
+def stale_by_time(claims: DataFrame, limit_ms: int, late: str = "0 seconds") -> DataFrame:
+    """(image_id, worker) of claims of which nothing is heard for so long by the time ts of (image_id, kind, worker, ts)."""
+    timed = claims.withWatermark("ts", late)
+    return timed.groupBy("image_id").transformWithStateInPandas(Stale(limit_ms, False), "image_id long, worker string", "Append", "EventTime")
+
+
+def enveloped(rows: DataFrame, stage: str, job: str) -> DataFrame:
+    """Messages as they travel: message_id (of the stage, the job and the content, so that a repeated one has the same), stage, job_id, data."""
+    data = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), {"ignoreNullFields": "false"})
+    return rows.select(data.alias("data")).select(F.sha2(F.concat_ws("\n", F.lit(stage), F.lit(job), "data"), 256).substr(1, 32).alias("message_id"), F.lit(stage).alias("stage"), F.lit(job).alias("job_id"), "data")
+
+
+def opened(messages: DataFrame, schema: str) -> DataFrame:
+    """message_id, stage, job_id and the content's columns."""
+    return messages.select("message_id", "stage", "job_id", F.from_json("data", schema).alias("_d")).select("message_id", "stage", "job_id", "_d.*")
+
+
+def dead_letters(messages: DataFrame, error: Column) -> DataFrame:
+    """Failed messages in an envelope of stage dead_letter that holds where they come from, their id, content and error."""
+    inner = F.to_json(F.struct(F.col("stage").alias("origin"), "message_id", "data", error.alias("error")))
+    return messages.where(error.isNotNull()).select("message_id", F.lit("dead_letter").alias("stage"), "job_id", inner.alias("data"))
+
+
 def of_job(rows: DataFrame, job: str) -> DataFrame:
     return rows.where(F.col("job_id") == job)
 
 
-def forward(rows: DataFrame, checkpoint: str, results: str, dead: str, good=None) -> StreamingQuery:
+def forward(rows: DataFrame, checkpoint: str, results: str, dead: str, good=None, mode: str = "append") -> StreamingQuery:
     """Writes good rows to results and the others with their batch to dead; a repeated batch replaces itself."""
     ok = F.lit(True) if good is None else good
 
@@ -150,7 +187,7 @@ def forward(rows: DataFrame, checkpoint: str, results: str, dead: str, good=None
         finally:
             kept.unpersist()
 
-    return rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(both).start()
+    return rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(both).start()
 
 
 def run_now(rows: DataFrame, out: str, checkpoint: str, mode: str = "append") -> DataFrame:

@@ -219,6 +219,70 @@ def test_coco_by_hand(spark):
     assert abs(s.ap - want) < 1e-9 and abs(s.ar - 2 / 3) < 1e-9
 
 
+def slow_coco(preds, truth, th, area, scale=640.0):
+    """Average precision and recall of one class at one threshold and area range, step by step."""
+    lo, hi = M.COCO_AREAS[area]
+    size = lambda b: (b[2] - b[0]) * (b[3] - b[1]) * scale * scale
+    out, total = [], 0
+    for img in sorted({p[0] for p in preds} | {g[0] for g in truth}):
+        boxes_ = sorted(((not lo <= size(g[3:]) <= hi, g[2], g[3:]) for g in truth if g[0] == img), key=lambda g: g[:2])
+        total += sum(not skip for skip, *_ in boxes_)
+        used = set()
+        for p in sorted((p for p in preds if p[0] == img), key=lambda p: (-p[4], p[3]))[:100]:
+            best, at = min(th, 1 - 1e-10), None
+            for k, (skip, _, g) in enumerate(boxes_):
+                if k in used:
+                    continue
+                if at is not None and not boxes_[at][0] and skip:
+                    break
+                if (v := iou(p[5:], g)) >= best:
+                    best, at = v, k
+            if at is not None:
+                used.add(at)
+            if not (boxes_[at][0] if at is not None else not lo <= size(p[5:]) <= hi):
+                out.append((p[4], at is not None))
+    if not total:
+        return None
+    points, hits, seen = [], 0, 0
+    for score in sorted({s for s, _ in out}, reverse=True):
+        hits += sum(tp for s, tp in out if s == score)
+        seen += sum(s == score for s, _ in out)
+        points.append((hits / total, hits / seen))
+    ap = sum(max((prec for rec, prec in points if rec >= k / 100 - 1e-11), default=0.0) for k in range(101)) / 101
+    return ap, max((rec for rec, _ in points), default=0.0)
+
+
+def test_coco_against_steps(spark):
+    r = random.Random(21)
+    truth, preds = [], []
+    for k in range(900):
+        x, y, w, h = r.randint(0, 40) / 64, r.randint(0, 40) / 64, r.choice([1, 2, 8, 20]) / 64, r.choice([1, 3, 8, 20]) / 64
+        truth.append((r.randint(1, 300), k % 2, k, x, y, x + w, y + h))
+    for k, (img, cls, _, *b) in enumerate(truth + truth[::3]):
+        d = [v + r.choice([0, 0, 1, -1]) / 128 for v in b]
+        preds.append((img if r.random() < 0.9 else r.randint(1, 300), cls, 0, k, r.randint(0, 12) / 12, *d))
+    got = {(x.cls, x.area, round(x.th, 2)): (x.ap, x.ar) for x in M.coco_scores(M.coco_matches(boxes(spark, preds), spark.createDataFrame(truth, TRUTH))).collect()}
+    for cls in (0, 1):
+        for area in M.COCO_AREAS:
+            for th in (0.5, 0.75, 0.95):
+                want = slow_coco([p for p in preds if p[1] == cls], [g for g in truth if g[1] == cls], th, area)
+                assert (cls, area, th) in got if want else (cls, area, th) not in got
+                assert want is None or all(abs(a - b) < 1e-9 for a, b in zip(got[cls, area, th], want, strict=True)), (cls, area, th)
+
+
+def test_curve_of_one_score(spark):
+    """All scores equal: places go by id, through all ranges."""
+    truth = [(k, 0, k, 0.0, 0.0, 0.5, 0.5) for k in range(200)]
+    preds = [(k, 0, 0, k, 1.0, *((0.0, 0.0, 0.5, 0.5) if k % 3 else (0.5, 0.5, 1.0, 1.0))) for k in range(200)]
+    p, g = boxes(spark, preds), spark.createDataFrame(truth, TRUTH)
+    rows = M.ranked(M.match(p, g), g).orderBy("rn").collect()
+    assert [r.cand for r in rows] == list(range(200)) and [r.acc_tp for r in rows] == [k + 1 - (k + 3) // 3 for k in range(200)]
+    best = 0.0
+    for r in reversed(rows):
+        best = max(best, r.precision)
+        assert r.envelope == best
+
+
 def test_empty_sides(spark):
     none, g = boxes(spark, []), spark.createDataFrame(truths(1, 5), TRUTH)
     assert M.match(none, g).count() == 0 and B.clusters(none, ["img", "cls"], 0.5).count() == 0

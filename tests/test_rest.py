@@ -1,5 +1,6 @@
 """Similarity, state, sources on disk, streams, scalars, and life without the text operators."""
 
+import json
 import os
 import random
 import shutil
@@ -113,6 +114,42 @@ def test_dataset_round_trips_on_disk(spark, tmp_path):
         assert {(i.split, i.stem) for i in back.images.collect()} == {(i[0], i[1]) for i in images}
 
 
+def test_large_splits_are_sharded(spark, tmp_path, monkeypatch):
+    """Several texts of a split, ids that go on through them, read back as one; no row holds a split."""
+    monkeypatch.setattr(L, "SHARD", 4)
+    monkeypatch.setattr(L, "LIST", 5)
+    images = [("train", f"im{k}", f"im{k}.jpg", 640, 480) for k in range(30)] + [("val", "v", "v.jpg", 320, 320)]
+    rows = [(f"im{k % 30}", k % 3, float(k), 1.0, 2.0, 3.0) for k in range(70)]
+    d = DS.Dataset(spark.createDataFrame(images, "split string, stem string, file_name string, width int, height int"), spark.createDataFrame(rows, "stem string, class_id int, x double, y double, w double, h double"), ["a", "b", "c"])
+    sizes = d.images.select("stem", "file_name", "width", "height")
+    coco = L.to_coco(d.images, d.boxes, d.categories, F.concat("split", F.lit(".json")), 4)
+    texts = {r.path: json.loads(r.value) for r in coco.collect()}
+    assert len(texts) > 5 and "val.json" in texts and all(len(t["images"]) < 20 for t in texts.values())
+    train = [t for p, t in texts.items() if p.startswith("train-")]
+    assert sorted(i["id"] for t in train for i in t["images"]) == list(range(1, 31)) and sorted(a["id"] for t in train for a in t["annotations"]) == list(range(1, 71))
+    assert all({a["image_id"] for a in t["annotations"]} <= {i["id"] for i in t["images"]} for t in train)
+    lists = DS.write_darknet(d).where("path like '%.txt' and path not like 'labels%'")
+    assert {len(r.value.splitlines()) for r in lists.collect()} < set(range(1, 20)) and lists.count() > 5
+    back = DS.read(DS.write_darknet(d), "darknet", sizes)
+    assert {(i.split, i.stem) for i in back.images.collect()} == {i[:2] for i in images}
+    assert DS.detect_format(["train-00001.txt"]) == "darknet" and DS.detect_format(["train/_annotations-00000.coco.json"]) == "roboflow"
+
+
+def test_layouts_of_ones_own(spark):
+    d = DS.Dataset(spark.createDataFrame([("train", "a", "a.jpg", 1, 1)], "split string, stem string, file_name string, width int, height int"), spark.createDataFrame([], "stem string, class_id int, x double, y double, w double, h double"), [])
+    DS.register("mine", lambda files, sizes, categories: d, lambda d: d.images.select(F.col("stem").alias("path"), F.lit("").alias("value")))
+    try:
+        files = spark.createDataFrame([("x", "")], "path string, value string")
+        assert [r.path for r in DS.convert(files, "mine", "mine").collect()] == ["a"]
+    finally:
+        DS.READERS.pop("mine"), DS.WRITERS.pop("mine")
+
+
+def test_neighbours_send_only_what_counts(spark, monkeypatch):
+    x, df = vectors(spark, 2, 50)
+    assert S.neighbours(df, 1 << 30, 0.95).count() < 200 and S.neighbours(df, 1, -2.0).count() == 0
+
+
 def test_label_lines(spark):
     text = "0 0.1 0.2 0.3 0.4\n1 0.5 0.5 0.1\n\n2 0.1 0.1 0.2 0.2 0.7 tail x\n3 a b c d\n"
     files = spark.createDataFrame([("f", text), ("empty", ""), ("six", "1 1 1 1 1 0.5")], "path string, value string")
