@@ -270,21 +270,25 @@ def buckets(texts: DataFrame, scratch: Scratch) -> DataFrame:
 _ENOUGH = f"least(n - pos, n2 - pos2) >= {SIMILARITY / (1 + SIMILARITY):.12f} * (n + n2) - 1e-6"
 
 
-def all_links(live: DataFrame, texts: DataFrame, scratch: Scratch, links: DataFrame | None = None) -> DataFrame:
-    """(a, b) of pairs SIMILARITY alike whose components are those of all such pairs within the buckets ``live`` and of ``links``.
+def groups(live: DataFrame, texts: DataFrame, scratch: Scratch, links: DataFrame | None = None) -> DataFrame:
+    """(node, component) of texts linked by pairs SIMILARITY alike, of all within the buckets ``live`` and of the ``links`` (a, b) known before.
 
     In rounds every bucket is tested against the member that shares most, then what is in one
-    component needs no more tests; in the last round all other pairs are tested.
+    component needs no more tests; in the last round all other pairs are tested. Buckets of one
+    component are done, and rounds end when there are no others.
     """
     live = live.withColumn("c", F.col("id"))
     none = scratch.save(live.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0), "none")
-    links, tested = none if links is None else links, none
+    links, tested, member = none if links is None else links, none, None
     for k in range(HUB_ROUNDS + 1):
-        member = scratch.save(components(links, Scratch(scratch.spark, "nearmembers")), f"members{k}")
-        live = live.drop("c").join(member.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
+        if member is None:
+            member = scratch.save(components(links, Scratch(scratch.spark, "nearmembers")), f"members{k}")
+            live = live.drop("c").join(member.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
         hub = F.max_by(F.struct("id", "n", "pos", "c"), F.struct("weight", "id")).alias("hub")
         open_ = live.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), hub).where("lo <> hi").select("h", "hub")
         live = scratch.save(live.join(open_.hint("merge"), "h"), f"live{k}")
+        if live.isEmpty():
+            break
         if k < HUB_ROUNDS:
             met = live.select("id", "n", "pos", "c", *[F.col(f"hub.{x}").alias(f"{x}2") for x in ("id", "n", "pos", "c")])
         else:
@@ -293,10 +297,12 @@ def all_links(live: DataFrame, texts: DataFrame, scratch: Scratch, links: DataFr
         met = met.where(f"c <> c2 and {_ENOUGH}")
         pairs = met.select(F.greatest("id", "id2").alias("a"), F.least("id", "id2").alias("b")).distinct()
         pairs = scratch.save(pairs.join(tested, ["a", "b"], "left_anti"), f"pairs{k}")
-        links = scratch.save(links.union(verified(pairs, texts)), f"links{k}")
+        found = scratch.save(verified(pairs, texts), f"links{k}")
+        if not found.isEmpty():
+            links, member = links.union(found), None
         tested = tested.union(pairs)
         live = live.select("h", "id", "n", "pos", "c", F.when(F.col("id") == F.col("hub.id"), -1).otherwise(F.col("weight")).alias("weight"))
-    return links
+    return member if member is not None else scratch.save(components(links, Scratch(scratch.spark, "nearmembers")), "members")
 
 
 def near_copies(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, bool]:
@@ -314,11 +320,8 @@ def near_copies(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, bool]:
     again = scratch.save(again.dropDuplicates(["key"]).select("id", "fp", "text"), "needed_texts")
     near = ball_links(again.select("id", "fp"), again.select("id", "text"), scratch)
     again = again.select("id", "text")
-    links = all_links(buckets(again, scratch), again, scratch, near)
-    kept = texts.select("key", "rank", F.col("id").alias("group"))
-    if not links.isEmpty():
-        member = scratch.save(components(links, scratch), "members")
-        kept = texts.select("key", "rank", "id").join(member.withColumnRenamed("node", "id"), "id", "left").select("key", "rank", F.coalesce("component", "id").alias("group"))
+    member = groups(buckets(again, scratch), again, scratch, near).withColumnRenamed("node", "id")
+    kept = texts.select("key", "rank", "id").join(member, "id", "left").select("key", "rank", F.coalesce("component", "id").alias("group"))
     best = kept.groupBy("group").agg(F.min(F.struct("rank", "key")).alias("best")).select("best.key", F.col("best.rank.doc_id").alias("_stays"), F.lit(True).alias("_is"))
     gone = rows.join(best, "key", "left").where("not coalesce(_is and doc_id <=> _stays, false)").select("key", "doc_id")
     return scratch.save(gone, "gone"), not rows.where("n > 1").isEmpty()

@@ -139,7 +139,7 @@ def test_links_close_the_rounds(spark, monkeypatch):
         monkeypatch.setattr(simhash, "HUB_ROUNDS", rounds)
         scratch = Scratch(spark, "t")
         live = simhash.buckets(df, scratch).selectExpr("h", "id", "n", "pos", f"{weigh} as weight")
-        got = components(simhash.all_links(live, df, scratch), Scratch(spark, "t")).collect()
+        got = simhash.groups(live, df, scratch).collect()
         assert {x.node: x.component for x in got} == dict.fromkeys(range(12), 0), rounds
 
 
@@ -168,8 +168,7 @@ def test_a_common_passage_makes_no_pairs(spark, monkeypatch):
     monkeypatch.setattr(simhash, "verified", lambda pairs, texts, f=simhash.verified: met.append(pairs.count()) or f(pairs, texts))
     df = frame(spark, texts, "id long, text binary")
     scratch = Scratch(spark, "t")
-    links = simhash.all_links(simhash.buckets(df, scratch), df, scratch)
-    assert {x.node for x in components(links, scratch).collect()} == {*range(100, 140)}
+    assert {x.node for x in simhash.groups(simhash.buckets(df, scratch), df, scratch).collect()} == {*range(100, 140)}
     assert sum(met) <= 3 * 80
 
 
