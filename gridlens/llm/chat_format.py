@@ -2,7 +2,8 @@ r"""Chat formatting by event-sourced reconstruction, with DataFrame operations o
 
 A log has one row per event: conv_id, turn, seq, event, role, text. ``open`` starts a turn
 and ``delta`` streams more text; ``edit`` replaces the text of a turn; ``regenerate`` starts
-the turn over and drops the later turns that came before it. Each turn is folded in a group
+the turn over and drops the later turns that came before it, of which only what comes after
+it is left. Each turn is folded in a group
 of its own, so a long conversation is spread over tasks until its turns are final; only the
 finished turns meet, as they must, in the row that holds the conversation.
 
@@ -40,13 +41,14 @@ def reconstruct(log: DataFrame) -> DataFrame:
     known = log.where(F.col("event").isin(*STARTS, "delta"))
     begun = F.max(F.when(F.col("event").isin(*STARTS), F.col("seq"))).over(own)
     again = F.max(F.when(F.col("event") == "regenerate", F.col("seq"))).over(own)
-    live = known.withColumns({"_begun": begun, "_again": again, "_last": F.max("seq").over(own), "_role": F.first("role", True).over(own.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    live = known.withColumns({"_begun": begun, "_again": again, "_role": F.first("role", True).over(own.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
     live = live.where("_begun is null or seq >= _begun")
     part = F.struct(F.col("seq").alias("seq"), F.col("event").alias("event"), F.coalesce("text", F.lit("")).alias("text"))
-    turns = live.groupBy("conv_id", "turn").agg(F.first("_role").alias("role"), F.first("_again").alias("_again"), F.first("_last").alias("_last"), F.sort_array(F.collect_list(part)).alias("_parts"))
-    turns = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), "_again", "_last", F.array_join(F.col("_parts.text"), "").alias("text"))
+    turns = live.groupBy("conv_id", "turn").agg(F.first("_role").alias("role"), F.first("_again").alias("_again"), F.sort_array(F.collect_list(part)).alias("_parts"))
     earlier = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    return turns.withColumn("_cut", F.max("_again").over(earlier)).where("_cut is null or _last >= _cut").select("conv_id", "turn", "role", "text")
+    left = F.expr("filter(_parts, x -> _cut is null or x.seq >= _cut)")
+    turns = turns.withColumn("_cut", F.max("_again").over(earlier)).withColumn("_parts", left).where("size(_parts) > 0")
+    return turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.array_join(F.col("_parts.text"), "").alias("text"))
 
 
 def render(turns: DataFrame, trained: tuple[str, ...] = ("assistant",)) -> DataFrame:
