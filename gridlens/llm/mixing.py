@@ -5,9 +5,10 @@ more than another), targets are filled up to a cap, and each document is taken
 floor(rate) times plus once more with the remaining probability, by a hash of its id.
 
 Defined cases: a null text has size 0; a null source is a source of its own and sorts
-last; a source of size 0 gets target 0; a null doc_id is hashed as the empty string;
+last; a source of size 0 gets target 0; a null doc_id is hashed by its text instead;
 repeated rows are documents of their own with the same draw; extra columns are kept out of
-the plan; an empty table gives an empty plan.
+the plan, and ``emit`` keeps them but for one called ``copy``, whose place the number of the
+copy takes; an empty table gives an empty plan. The sums by source meet in one task: a row a source.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ WEIGHTS = (5, 2, 1)
 DIGITS = 13
 
 
-def draw(seed: str, doc_id):
-    """Uniform in [0, 1), by an md5 of seed and id, the same in every run."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))
+def draw(seed: str, doc_id, text):
+    """Uniform in [0, 1), by an md5 of seed and id (of the text where there is none), the same in every run."""
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.md5(F.coalesce(text, F.lit("")).cast("binary"))))
     return F.conv(F.substring(F.md5(text), 1, DIGITS), 16, 10).cast("double") / F.lit(float(16**DIGITS))
 
 
@@ -61,13 +62,13 @@ def plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.5,
     """One row per document: doc_id, source, size, source_size, target, copies, taken (and ``keep``)."""
     spark = docs.sparkSession
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sized = docs.select("doc_id", "source", *keep, size.alias("size"))
+    sized = docs.select("doc_id", "source", *keep, size.alias("size"), draw(seed, F.col("doc_id"), F.col("text")).alias("u"))
     scratch = Scratch(spark, "mixing")
     goal = scratch.save(targets(sized, weights, share, cap), "targets")
     goal = small(goal.withColumnRenamed("source", "goal_source"), goal.count(), BROADCAST_ROWS)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor("rate")
-    copies = (whole + F.when(draw(seed, F.col("doc_id")) < F.col("rate") - whole, 1).otherwise(0)).cast("long")
+    copies = (whole + F.when(F.col("u") < F.col("rate") - whole, 1).otherwise(0)).cast("long")
     return (
         sized.join(goal, F.col("source").eqNullSafe(F.col("goal_source")))
         .withColumn("rate", rate)
@@ -90,7 +91,7 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 ORACLE = f"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents),
+  SELECT doc_id, source, coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS drawn, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents),
 by_source AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighed AS (
   SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w, 2.0::DOUBLE * source_size AS most FROM by_source),
@@ -104,7 +105,7 @@ goal AS (
   SELECT source, source_size, least(most, coalesce((SELECT own FROM filled WHERE own <= level ORDER BY pos LIMIT 1) * w, most)) AS target FROM filled),
 rated AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
-         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, {DIGITS}))::BIGINT::DOUBLE / {float(16**DIGITS)}::DOUBLE AS u
+         ('0x' || substr(md5('mix:' || drawn), 1, {DIGITS}))::BIGINT::DOUBLE / {float(16**DIGITS)}::DOUBLE AS u
   FROM sized JOIN goal ON sized.source IS NOT DISTINCT FROM goal.source)
 SELECT doc_id, size, source_size, target,
        (size * (floor(rate)::BIGINT + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken

@@ -56,6 +56,42 @@ def test_events_fold(spark):
     assert [out.formatted[t.text_start : t.text_start + t.text_length] for t in out.turns if t.in_loss] == ["good answer"]
 
 
+def slow_fold(log):
+    """Events one after the other: what stands at the end, and each turn's first known role."""
+    turns, roles = defaultdict(dict), {}
+    for conv, turn, _, event, role, text in sorted(log, key=lambda e: (e[0], e[2])):
+        own = turns[conv]
+        if role is not None and event in (*chat_format.STARTS, "delta"):
+            roles.setdefault((conv, turn), role)
+        if event == "delta":
+            own[turn] = own.get(turn, "") + (text or "")
+        elif event in chat_format.STARTS:
+            own[turn] = text or ""
+            if event == "regenerate":
+                for later in [k for k in own if k > turn]:
+                    del own[later]
+    return {(c, k): (roles.get((c, k), ""), x) for c, own in turns.items() for k, x in own.items()}
+
+
+def test_random_events_fold(spark):
+    """Logs of streamed deltas, edits and regenerations in any order of rows."""
+    import random
+
+    r = random.Random(15)
+    log = []
+    for conv in range(60):
+        last = 0
+        for seq in range(r.randint(1, 40)):
+            kind = r.choice(["open", "delta", "delta", "delta", "edit", "regenerate", "ping"])
+            turn = r.randint(0, last)
+            last = min(last + (kind == "open"), 6)
+            log.append((conv, turn, seq, kind, r.choice([None, "user", "assistant"]), r.choice([None, "a", "bc ", "### x: </turn>"])))
+    r.shuffle(log)
+    df = with_clashes(frame(spark, log, "conv_id long, turn long, seq long, event string, role string, text string"))
+    got = {(x.conv_id, x.turn): (x.role, x.text) for x in chat_format.reconstruct(df).collect()}
+    assert got == slow_fold(log) and len(got) > 60
+
+
 def test_chat_plan_is_native(spark, sf_dir):
     for q in (chat_format.query, mixing.query):
         plan = q(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
@@ -209,6 +245,14 @@ def test_draw_follows_its_probability(spark):
     assert all(abs(r["sum(taken)"] - r.target) < 0.05 * r.target for r in got)
 
 
+def test_rows_without_ids_are_drawn_one_by_one(spark):
+    rows = [(None, f"{prose(i, 3)} w{i}", "en", "abc"[i % 3], 0) for i in range(3000)]
+    got = mixing.plan(frame(spark, rows)).groupBy("source", "target").sum("taken").collect()
+    assert all(abs(r["sum(taken)"] - r.target) < 0.08 * r.target for r in got)
+    out = mixing.emit(frame(spark, rows).withColumn("copy", F.lit("own")))
+    assert out.columns[-1] == "copy" and {r.copy for r in out.select("copy").distinct().collect()} <= {1, 2}
+
+
 def test_mix_emits_copies(spark):
     df = with_clashes(frame(spark, mix_rows()))
     plan = Counter({r.doc_id: 0 for r in df.collect()})
