@@ -44,7 +44,7 @@ STAGES = [
     ("mix", mix),
 ]
 
-#: Learnt thresholds and 64-bit fingerprints are beyond SQL; tests hold run() against brute force.
+#: Learnt thresholds and 64-bit fingerprints are beyond SQL; tests hold run() against every stage done by hand.
 ORACLE_SQL = None
 
 
