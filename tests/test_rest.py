@@ -262,10 +262,11 @@ def test_backoff():
     assert Q.with_backoff(lambda x: 1 / x, 1, 0.0)(0)[1].startswith("ZeroDivisionError")
 
 
-def test_without_the_text_operators(tmp_path):
-    """With those folders and the pipeline gone the entry point works, and nothing else names them."""
+@pytest.mark.parametrize("gone", [("llm", "corpus_pipeline.py"), ("llm",)])
+def test_without_the_text_operators(tmp_path, gone):
+    """With those folders gone, and the pipeline too or not, the entry point works, and nothing else names them."""
     copy = tmp_path / "repo"
-    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "llm", "corpus_pipeline.py", "spark-warehouse"))
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", *gone, "spark-warehouse"))
     code = "import __spark_entry__ as e; q = e.queries(); print(len(q), any(n.startswith('op') or n == 'pipeline' for n in q), len(e.oracle_sql()))"
     env = os.environ | {"PYTHONPATH": str(copy)}
     out = subprocess.run([sys.executable, "-c", code], cwd=copy, env=env, capture_output=True, text=True, timeout=120, check=True).stdout.split()
