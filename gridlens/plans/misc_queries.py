@@ -247,6 +247,17 @@ def _(t):
     return t.orders.select("o_orderkey", "o_orderstatus").join(F.broadcast(lookup), "o_orderstatus", "left").select("o_orderkey", F.coalesce("status", F.lit("PENDING")).alias("status"))  # a fixed list
 
 
+ADVANCE = ("POPULATING", "DOWNLOADING", "FILTERING", "COMPLETE")
+
+
+@query("src_registry_stage", """SELECT o_custkey % 25 AS project_id, ['POPULATING', 'DOWNLOADING', 'FILTERING', 'COMPLETE'][max(CASE o_orderstatus WHEN 'F' THEN 3 WHEN 'P' THEN 2 ELSE 1 END + (o_orderkey % 97 = 0)::INT)] AS stage FROM orders GROUP BY 1""")
+def _(t):
+    """A project's stage is that of its most advanced video, by the order of the stages and not of their names."""
+    at = F.when(F.col("o_orderstatus") == "F", 3).when(F.col("o_orderstatus") == "P", 2).otherwise(1) + (F.col("o_orderkey") % 97 == 0).cast("int")
+    rows = t.orders.select((F.col("o_custkey") % 25).alias("project_id"), F.element_at(F.array(*[F.lit(s) for s in ADVANCE]), at).alias("s"))
+    return TB.most_advanced(rows, "project_id", F.col("s"), ADVANCE)
+
+
 @query("src_excel_q", "SELECT p_partkey, CASE WHEN p_brand LIKE 'Brand#1%' THEN 'walking' WHEN p_brand LIKE 'Brand#%' THEN 'street' ELSE 'live' END AS category, greatest(0.05e0, (p_size % 5) * 0.05e0) AS yield_ratio FROM part")
 def _(t):
     cat = TB.category_of(F.col("p_brand"), [("brand#1", "walking"), ("brand#", "street")], "live")

@@ -56,3 +56,9 @@ def result_key(*parts: Column, digits: int = 16) -> Column:
 
 def config_hash(*parts: Column, digits: int = 16) -> Column:
     return F.substring(F.sha2(F.concat_ws("\n", *parts), 256), 1, digits)
+
+
+def most_advanced(rows: DataFrame, by: str, stage: Column, order: Sequence[str]) -> DataFrame:
+    """(by, stage): of each group the stage that stands last in ``order``, whatever the stages are called; others don't count."""
+    place = F.array_position(F.array(*[F.lit(s) for s in order]), stage)
+    return rows.withColumn("_p", place).where("_p > 0").groupBy(by).agg(F.max("_p").alias("_p")).select(by, F.element_at(F.array(*[F.lit(s) for s in order]), F.col("_p").cast("int")).alias("stage"))
