@@ -132,9 +132,13 @@ def clusters(rows: DataFrame, by: Sequence[str], threshold: float) -> DataFrame:
     none = F.transform(F.filter("_all", lambda x: F.lit(False)), lambda x: F.array(x))
 
     def join(acc: Column, x: Column) -> Column:
-        meets = lambda s: F.exists(s, lambda k: G.iou(G.part(k), G.part(x)) >= threshold)
-        met = F.filter(acc, meets)
-        return F.concat(F.filter(acc, lambda s: ~meets(s)), F.array(F.concat(F.flatten(met), F.array(x))))
+        told = F.transform(acc, lambda s: F.struct(s.alias("s"), F.exists(s, lambda k: G.iou(G.part(k), G.part(x)) >= threshold).alias("meets")))
+
+        def joined(t: Column) -> Column:
+            sets = lambda met: F.transform(F.filter(t, lambda y: y["meets"] if met else ~y["meets"]), lambda y: y["s"])
+            return F.concat(sets(False), F.array(F.concat(F.flatten(sets(True)), F.array(x))))
+
+        return F.get(F.transform(F.array(told), joined), F.lit(0))  # a name for what is used twice
 
     sets = groups.select(*by, F.explode(F.aggregate("_all", none, join)).alias("_s"))
     out = sets.select(*by, F.array_min(F.transform("_s", lambda k: k["cand"])).alias("cluster"), F.explode("_s").alias("_k"))
@@ -187,10 +191,11 @@ def cross_class(rows: DataFrame, classes: DataFrame, confusions: DataFrame, mode
     def outer(lost: Column, a: Column) -> Column:
         def hits(b: Column) -> Column:
             confused = F.exists(F.col("_pairs"), lambda p: ((p["a"] == a["cls"]) & (p["b"] == b["cls"])) | ((p["a"] == b["cls"]) & (p["b"] == a["cls"])))
-            return (b["_i"] > a["_i"]) & ~F.array_contains(lost, b["cand"]) & (a["cls"] != b["cls"]) & ~a["exempt"] & ~b["exempt"] & ~confused & (G.iou(G.part(a), G.part(b)) > threshold)
+            return (a["cls"] != b["cls"]) & ~b["exempt"] & (G.iou(G.part(a), G.part(b)) > threshold) & ~confused & ~F.array_contains(lost, b["cand"])
 
-        losers = F.transform(F.filter("_all", hits), lambda b: F.when(beats(a, b), b["cand"]).otherwise(a["cand"]))
-        return F.when(F.array_contains(lost, a["cand"]), lost).otherwise(F.array_union(lost, losers))
+        later = F.slice("_all", a["_i"] + 2, F.size("_all"))
+        losers = F.transform(F.filter(later, hits), lambda b: F.when(beats(a, b), b["cand"]).otherwise(a["cand"]))
+        return F.when(F.coalesce(a["exempt"], F.lit(True)) | F.array_contains(lost, a["cand"]), lost).otherwise(F.array_union(lost, losers))
 
     out = groups.withColumn("_lost", F.aggregate("_all", none, outer)).select("img", F.explode(F.filter("_all", lambda x: ~F.array_contains(F.col("_lost"), x["cand"]))).alias("_k"))
     return out.select("img", *[F.col(f"_k.{c}") for c in cols]).select(*rows.columns)

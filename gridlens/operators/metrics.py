@@ -92,6 +92,7 @@ def at_thresholds(matched: DataFrame, truth: DataFrame, thresholds: DataFrame, b
 
 def confusion(matched: DataFrame, truth: DataFrame, threshold: float = 0.5) -> DataFrame:
     """(gt_cls, cls, score): true positives on the diagonal, others with the best box of any class, or -1."""
+    matched = settled(matched.select("img", "cls", "cand", "score", "tp", *BOX))
     fp = matched.where("not tp")
     g = truth.select("img", "gt", F.col("cls").alias("gt_cls"), *[F.col(c).alias(f"g_{c}") for c in BOX])
     near = fp.join(g, "img").withColumn("_iou", G.iou(G.box(), G.box("g_"))).where(F.col("_iou") >= threshold - EPS)
