@@ -286,6 +286,7 @@ def groups(live: DataFrame, texts: DataFrame, scratch: Scratch, links: DataFrame
             live = live.drop("c").join(member.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
         hub = F.max_by(F.struct("id", "n", "pos", "c"), F.struct("weight", "id")).alias("hub")
         open_ = live.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), hub).where("lo <> hi").select("h", "hub")
+        open_ = scratch.save(open_, f"open{k}")  # stored, so that a large bucket may be split where it is joined
         live = scratch.save(live.join(open_.hint("merge"), "h"), f"live{k}")
         if live.isEmpty():
             break
