@@ -300,7 +300,7 @@ def groups(live: DataFrame, texts: DataFrame, scratch: Scratch, links: DataFrame
         pairs = scratch.save(pairs.join(tested, ["a", "b"], "left_anti"), f"pairs{k}")
         found = scratch.save(verified(pairs, texts), f"links{k}")
         if not found.isEmpty():
-            links, member = links.union(found), None
+            links, member = member.select(F.col("node").alias("a"), F.col("component").alias("b")).union(found), None  # stars stand for all links before
         tested = tested.union(pairs)
         live = live.select("h", "id", "n", "pos", "c", F.when(F.col("id") == F.col("hub.id"), -1).otherwise(F.col("weight")).alias("weight"))
     return member if member is not None else scratch.save(components(links, Scratch(scratch.spark, "nearmembers")), "members")
