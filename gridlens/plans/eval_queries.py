@@ -32,8 +32,13 @@ def matched(t) -> DataFrame:
     return M.match(t.detections, t.ground_truth)
 
 
-def curve(t, by=("cls",)) -> DataFrame:
-    return M.ranked(matched(t), t.ground_truth, by)
+def scored(t) -> DataFrame:
+    """What curves read of the matches."""
+    return matched(t).select("cand", "model", "cls", "score", "tp")
+
+
+def curve(t, by=("cls",), hits=False) -> DataFrame:
+    return M.ranked(scored(t), t.ground_truth, by, hits)
 
 
 @query("ev_match", f"WITH {MATCH} SELECT cand, img, cls, tp FROM matched")
@@ -77,7 +82,7 @@ def _(t):
 @query("snk_pdf", f"{curve_sql('cls')} SELECT cls, rn, recall, precision, f1, score AS conf FROM curve WHERE tp")
 def _(t):
     """The points of the curves that a plot draws: one for each true positive."""
-    return curve(t).where("tp").select("cls", "rn", "recall", "precision", "f1", F.col("score").alias("conf"))
+    return curve(t, hits=True).select("cls", "rn", "recall", "precision", "f1", F.col("score").alias("conf"))
 
 
 THRESHOLDS = "ths AS (SELECT i / 8e0 AS th FROM range(1, 8) r(i))"

@@ -283,6 +283,22 @@ def test_curve_of_one_score(spark):
         assert r.envelope == best
 
 
+def test_curves_run_through_in_linear_time(spark):
+    """A window from each row to the end is run anew for every row: no curve has one. Scores of classes agree with the whole curve."""
+    p, g = boxes(spark, noise(5, 200)), spark.createDataFrame(truths(6, 40), TRUTH)
+    m = M.match(p, g, 0.4)
+    curve = M.ranked(m, g)
+    plan = curve._jdf.queryExecution().analyzed().toString()
+    assert "windowspecdefinition" in plan and "unboundedfollowing" not in plan
+    whole = {r.cls: (r.ap, r.f) for r in M.average_precision(curve, ("cls",), F.max("f1").alias("f")).collect()}
+    some = {r.cls: (r.ap, r.max_f1) for r in M.class_scores(m, g).collect()}
+    assert whole.keys() == some.keys() and all(abs(a - b) < 1e-12 for k in whole for a, b in zip(whole[k], some[k], strict=True))
+    at = {r.cand: (r.rn, r.acc_tp, r.envelope) for r in curve.where("tp").collect()}
+    assert at == {r.cand: (r.rn, r.acc_tp, r.envelope) for r in M.ranked(m, g, hits=True).collect()}
+    none = M.class_scores(M.match(p, g.limit(0)), g)
+    assert {r.cls: (r.ap, r.max_f1) for r in none.collect()} == {k: (0.0, 0.0) for k in whole}
+
+
 def test_empty_sides(spark):
     none, g = boxes(spark, []), spark.createDataFrame(truths(1, 5), TRUTH)
     assert M.match(none, g).count() == 0 and B.clusters(none, ["img", "cls"], 0.5).count() == 0
