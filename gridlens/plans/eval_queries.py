@@ -62,7 +62,7 @@ AP = "sum((acc_tp / (total_gt + 1e-6) - (acc_tp - 1) / (total_gt + 1e-6)) * enve
 @query("ev_ap", f"{curve_sql('cls')} SELECT cls, round(coalesce({AP}, 0e0), 7) AS ap FROM curve GROUP BY cls UNION ALL SELECT -1, round(avg(ap), 7) FROM (SELECT coalesce({AP}, 0e0) AS ap FROM curve GROUP BY cls)")
 def _(t):
     # a mean over one row is that row: the rollup gives the classes and their mean from one curve
-    ap = M.average_precision(curve(t)).rollup("cls").agg(F.avg("ap").alias("ap"))
+    ap = M.class_scores(scored(t), t.ground_truth).rollup("cls").agg(F.avg("ap").alias("ap"))
     return ap.select(F.coalesce(F.col("cls").cast("long"), F.lit(-1)).alias("cls"), F.round("ap", 7).alias("ap"))
 
 
