@@ -74,7 +74,7 @@ def _(t):
 @query("ev_map_report", f"""{curve_sql('model, cls')}, r AS (SELECT model, cls, coalesce({AP}, 0e0) AS ap, max(f1) AS max_f1 FROM curve GROUP BY model, cls)
 SELECT model, cls::VARCHAR AS class_id, round(ap, 7) AS ap, round(max_f1, 7) AS max_f1 FROM r UNION ALL SELECT model, 'mAP', round(avg(ap), 7), round(avg(max_f1), 7) FROM r GROUP BY model""")
 def _(t):
-    r = M.average_precision(curve(t, ("model", "cls")), ("model", "cls"), F.max("f1").alias("max_f1"))
+    r = M.class_scores(scored(t), t.ground_truth, ("model", "cls"))
     r = r.rollup("model", "cls").agg(F.avg("ap").alias("ap"), F.avg("max_f1").alias("max_f1")).where("model is not null")
     return r.select("model", F.coalesce(F.col("cls").cast("string"), F.lit("mAP")).alias("class_id"), F.round("ap", 7).alias("ap"), F.round("max_f1", 7).alias("max_f1"))
 
