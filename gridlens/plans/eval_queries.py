@@ -11,6 +11,7 @@ from gridlens.operators import annotate as A
 from gridlens.operators import boxes as B
 from gridlens.operators import metrics as M
 from gridlens.operators import similarity as S
+from gridlens.operators.scratch import settled
 from gridlens.plans.box_queries import GEO, REASON, across, area, fold, inter, iou, survivors
 from gridlens.registry import query
 
@@ -178,10 +179,10 @@ def _(t):
 def _(t):
     """The scores of every model: a class of a model is a class of its own, and each model has the whole truth."""
     k = 1 << 20
-    d = t.detections.withColumn("cls", F.col("model") * k + F.col("cls"))
-    models = t.detections.select("model").distinct()  # a registry: one row a model
+    d = settled(t.detections.select("img", "model", (F.col("model") * k + F.col("cls")).alias("cls"), "cand", "score", *B.BOX))
+    models = d.select("model").distinct()  # a registry: one row a model
     g = t.ground_truth.join(F.broadcast(models), F.lit(True)).withColumn("cls", F.col("model") * k + F.col("cls"))
-    s = M.coco_scores(M.coco_matches(d, g)).withColumn("model", F.floor(F.col("cls") / k))
+    s = M.coco_curve(*M.coco_counts(d, g)).withColumn("model", F.floor(F.col("cls") / k))
     return s.groupBy("model", "area").agg(F.round(F.avg("ap"), 6).alias("ap"), F.round(F.avg(F.when(F.col("th") < 0.525, F.col("ap"))), 6).alias("ap50"), F.round(F.avg("ar"), 6).alias("ar"))
 
 

@@ -270,6 +270,29 @@ def test_coco_against_steps(spark):
                 assert want is None or all(abs(a - b) < 1e-9 for a, b in zip(got[cls, area, th], want, strict=True)), (cls, area, th)
 
 
+@pytest.mark.parametrize("bucket", [1, 50_000])
+def test_coco_counts_are_small(spark, monkeypatch, bucket):
+    """Predictions leave the tasks summed up by score, not as forty rows each, and give the scores of these rows; crowded groups, ties and empty boxes included."""
+    monkeypatch.setattr(M, "BUCKET", bucket)
+    r = random.Random(4)
+    near = lambda: [v / 16 for v in (r.randint(0, 2), r.randint(0, 2), r.randint(2, 6), r.randint(2, 6))]
+    truth = [(r.randint(0, 3), k % 2, k, *near()) for k in range(120)]
+    preds = [(r.randint(0, 4), k % 2, 0, k, r.randint(0, 4) / 4, *near()) for k in range(700)]
+    p, g = boxes(spark, preds), spark.createDataFrame(truth, TRUTH)
+    total, counts = M.coco_counts(p, g)
+    assert counts.count() <= 2 * 5 * 40
+    key = lambda x: (x.cls, x.area, x.th)
+    got = {key(x): (x.ap, x.ar) for x in M.coco_curve(total, counts).collect()}
+    want = {key(x): (x.ap, x.ar) for x in M.coco_scores(M.coco_matches(p, g)).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(a - b) < 1e-12 for k in got for a, b in zip(got[k], want[k], strict=True))
+    for (cls, area, th), (ap, ar) in got.items():
+        slow = slow_coco([x for x in preds if x[1] == cls], [x for x in truth if x[1] == cls], th, area)
+        assert abs(ap - slow[0]) < 1e-9 and abs(ar - slow[1]) < 1e-9
+    plan = M.coco_curve(total, counts)._jdf.queryExecution().analyzed().toString()
+    assert "windowspecdefinition" in plan and "unboundedfollowing" not in plan
+
+
 def test_curve_of_one_score(spark):
     """All scores equal: places go by id, through all ranges."""
     truth = [(k, 0, k, 0.0, 0.0, 0.5, 0.5) for k in range(200)]
