@@ -150,6 +150,28 @@ def test_neighbours_send_only_what_counts(spark, monkeypatch):
     assert S.neighbours(df, 1 << 30, 0.95).count() < 200 and S.neighbours(df, 1, -2.0).count() == 0
 
 
+def test_vectors_are_not_copied_for_their_partners(spark):
+    """What is shuffled are pairs at the threshold, however many blocks there are; equal vectors tie by id."""
+    x, df = vectors(spark, 3, 60)
+    df = df.union(df.select(F.col("vec_id") + 60, "embedding", "label"))
+    edges = S.neighbours(df, 4, 0.7, block=9)
+    plan = edges._jdf.queryExecution().analyzed().toString().lower()
+    assert "embedding" not in plan and "explode" not in plan
+    got = {r.id for r in S.greedy_keep(df.select(F.col("vec_id").alias("id")), edges).collect()}
+    assert got == slow_knn(np.concatenate((x, x)), list(range(120)), 4, 0.7)
+
+
+@pytest.mark.parametrize(("block", "t"), [(7, 0.7), (7, 0.999), (1000, 0.7), (7, -2.0)])
+def test_all_neighbours_without_pairs(spark, block, t, monkeypatch):
+    """Rows that all near ones go from are found block by block, without a pair in a table, within groups, too."""
+    x, df = vectors(spark, 4, 60)
+    assert {r.vec_id for r in S.greedy_all(df, t, block=block).collect()} == slow_knn(x, list(range(60)), 60, t)
+    by = set().union(*[slow_knn(x[ids], ids, 60, t) for g in range(3) if (ids := [i for i in range(60) if i % 3 == g])])
+    assert {r.vec_id for r in S.greedy_all(df, t, "label", block).collect()} == by
+    monkeypatch.setattr(S, "neighbours", None)
+    assert S.knn_dedup(df, S.ALL, t).count() == len(slow_knn(x, list(range(60)), 60, t)) and S.greedy_all(df.limit(0), t).count() == 0
+
+
 def test_label_lines(spark):
     text = "0 0.1 0.2 0.3 0.4\n1 0.5 0.5 0.1\n\n2 0.1 0.1 0.2 0.2 0.7 tail x\n3 a b c d\n"
     files = spark.createDataFrame([("f", text), ("empty", ""), ("six", "1 1 1 1 1 0.5")], "path string, value string")
