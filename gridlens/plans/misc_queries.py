@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from gridlens.functions import scalars as C
 from gridlens.operators import stats as ST
-from gridlens.operators.scratch import folder
+from gridlens.operators.scratch import folder, settled
 from gridlens.registry import query
 from gridlens.sources import datasets as DS
 from gridlens.sources import labels as L
@@ -679,8 +679,9 @@ def _(t):
 def _(t):
     at = _stream_dir(t)
     t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", Q.ROCKS)
+    sent = settled(t.proposals)
     for k in (0, 1):
-        Q.submit(t.proposals.where(F.col("model") % 2 == k), f"{at}/in")
+        Q.submit(sent.where(F.col("model") % 2 == k), f"{at}/in")
     out = Q.barrier(Q.messages(t.spark, f"{at}/in", t.proposals.schema, 1000), 4)
     return Q.run_now(out, f"{at}/out", f"{at}/ck").select("image_id", "models", "boxes")
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
@@ -38,34 +38,33 @@ class Barrier(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getMapState("seen", "model long", "boxes long")
-        self.done = handle.getValueState("done", "through boolean")
+        # one value, read and written once a batch: each call to the store is a round trip
+        self.seen = handle.getValueState("seen", "models array<long>, boxes array<long>, through boolean")
 
-    def _row(self, key, late: bool) -> pd.DataFrame:
-        models = sorted(k[0] for k in self.seen.keys())
-        boxes = sum(int(v[0]) for v in self.seen.values())
-        self.seen.clear()
+    def _row(self, key, seen: dict[int, int], late: bool) -> Row:
+        self.seen.update(([], [], True))
         for at in list(self.handle.listTimers()) if self.limit_ms is not None else ():
             self.handle.deleteTimer(at)
-        return pd.DataFrame({"image_id": [key[0]], "models": [len(models)], "boxes": [boxes], "late": [late]})
+        return Row(image_id=key[0], models=len(seen), boxes=sum(seen.values()), late=late)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if self.done.exists():
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held = self.seen.get()
+        if held is not None and held[2]:
             return
-        first = not self.seen.exists()
-        for batch in rows:
-            for model, boxes in zip(batch["model"], batch["boxes"], strict=True):
-                self.seen.updateValue((int(model),), (int(boxes),))  # a repeated report counts once
-        if len(list(self.seen.keys())) >= self.need:
-            self.done.update((True,))
-            yield self._row(key, False)
-        elif first and self.limit_ms is not None:
+        seen = {} if held is None else dict(zip(held[0], held[1], strict=True))
+        for row in rows:
+            seen[row.model] = row.boxes  # a repeated report counts once
+        if len(seen) >= self.need:
+            yield self._row(key, seen, False)
+            return
+        self.seen.update((list(seen), list(seen.values()), False))
+        if held is None and self.limit_ms is not None:
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.limit_ms)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.done.exists():
-            self.done.update((True,))
-            yield self._row(key, True)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = self.seen.get()
+        if held is not None and not held[2]:
+            yield self._row(key, dict(zip(held[0], held[1], strict=True)), True)
 
     def close(self) -> None:
         pass
@@ -98,7 +97,7 @@ class Retries(StatefulProcessor):
 
 
 class Stale(StatefulProcessor):
-    """Gives back a claim of which nothing was heard for ``limit_ms``, by the clock or by the rows' own time ``ts``."""
+    """Gives back a claim of which nothing was heard for ``limit_ms``, by the clock or by the rows' own time ``ms``."""
 
     def __init__(self, limit_ms: int, by_clock: bool = True):
         self.limit_ms, self.by_clock = limit_ms, by_clock
@@ -107,27 +106,32 @@ class Stale(StatefulProcessor):
         self.handle = handle
         self.claim = handle.getValueState("claim", "worker string, until long")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        old = self.claim.get()[1] if self.claim.exists() else None
-        for batch in rows:
-            at = [timerValues.getCurrentProcessingTimeInMs()] * len(batch) if self.by_clock else (batch["ts"].astype("datetime64[ms]").astype("int64")).tolist()
-            for kind, worker, ms in zip(batch["kind"], batch["worker"], at, strict=True):
-                if kind == "release":
-                    self.claim.clear()
-                elif not self.claim.exists() or self.claim.get()[1] <= ms + self.limit_ms:  # a claim or a heartbeat
-                    self.claim.update((worker, ms + self.limit_ms))
-        new = self.claim.get()[1] if self.claim.exists() else None
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held = before = self.claim.get()
+        now = timerValues.getCurrentProcessingTimeInMs() if self.by_clock else None
+        for row in rows:
+            until = (now if self.by_clock else row.ms) + self.limit_ms
+            if row.kind == "release":
+                held = None
+            elif held is None or held[1] <= until:  # a claim or a heartbeat
+                held = (row.worker, until)
+        if held is None:
+            if before is not None:
+                self.claim.clear()
+        elif before is None or tuple(held) != tuple(before):
+            self.claim.update(tuple(held))
+        old, new = (None if x is None else x[1] for x in (before, held))
         if old is not None and old != new:
             self.handle.deleteTimer(old)
         if new is not None and old != new:
             self.handle.registerTimer(new)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.claim.exists() and self.claim.get()[1] <= expiredTimerInfo.getExpiryTimeInMs():
-            worker = self.claim.get()[0]
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = self.claim.get()
+        if held is not None and held[1] <= expiredTimerInfo.getExpiryTimeInMs():
             self.claim.clear()
-            yield pd.DataFrame({"image_id": [key[0]], "worker": [worker]})
+            yield Row(image_id=key[0], worker=held[0])
 
     def close(self) -> None:
         pass
@@ -135,7 +139,7 @@ class Stale(StatefulProcessor):
 
 def barrier(reports: DataFrame, need: int, limit_ms: int | None = None) -> DataFrame:
     """(image_id, models, boxes, late) from reports (image_id, model, boxes)."""
-    return reports.groupBy("image_id").transformWithStateInPandas(Barrier(need, limit_ms), "image_id long, models long, boxes long, late boolean", "Append", "ProcessingTime" if limit_ms is not None else "None")
+    return reports.groupBy("image_id").transformWithState(Barrier(need, limit_ms), "image_id long, models long, boxes long, late boolean", "Append", "ProcessingTime" if limit_ms is not None else "None")
 
 
 def retries(results: DataFrame, most: int) -> DataFrame:
@@ -145,13 +149,13 @@ def retries(results: DataFrame, most: int) -> DataFrame:
 
 def stale(claims: DataFrame, limit_ms: int) -> DataFrame:
     """(image_id, worker) of claims that went silent by the clock, from (image_id, kind, worker)."""
-    return claims.groupBy("image_id").transformWithStateInPandas(Stale(limit_ms), "image_id long, worker string", "Append", "ProcessingTime")
+    return claims.groupBy("image_id").transformWithState(Stale(limit_ms), "image_id long, worker string", "Append", "ProcessingTime")
 
 
 def stale_by_time(claims: DataFrame, limit_ms: int, late: str = "0 seconds") -> DataFrame:
     """(image_id, worker) of claims of which nothing is heard for so long by the time ts of (image_id, kind, worker, ts)."""
-    timed = claims.withWatermark("ts", late)
-    return timed.groupBy("image_id").transformWithStateInPandas(Stale(limit_ms, False), "image_id long, worker string", "Append", "EventTime")
+    timed = claims.withColumn("ms", F.unix_millis("ts")).withWatermark("ts", late)
+    return timed.groupBy("image_id").transformWithState(Stale(limit_ms, False), "image_id long, worker string", "Append", "EventTime")
 
 
 def enveloped(rows: DataFrame, stage: str, job: str) -> DataFrame:

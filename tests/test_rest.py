@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from gridlens.functions import scalars as C
@@ -236,6 +237,49 @@ def test_barrier_over_batches(spark, tmp_path):
     assert sorted(tuple(r) for r in out.collect()) == [(1, 3, 12, False), (2, 3, 6, False)]
 
 
+class Store:
+    """Stands for a state store: counts what is asked of it."""
+
+    def __init__(self):
+        self.value, self.calls, self.timers = None, 0, []
+
+    def getValueState(self, name, schema):
+        return self
+
+    def getMapState(self, *a):
+        raise AssertionError("one call to the store an entry")
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def clear(self):
+        self.update(None)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_state_is_read_and_written_once_a_batch():
+    """However many messages of a key there are; each call to the store is a round trip."""
+    at, b = Store(), Q.Barrier(100)
+    b.init(at)
+    assert list(b.handleInputRows((7,), iter([Row(model=m, boxes=2) for m in range(99)]), None)) == [] and at.calls == 2
+    assert [tuple(r) for r in b.handleInputRows((7,), iter([Row(model=m, boxes=2) for m in range(90, 100)]), None)] == [(7, 100, 200, False)] and at.calls == 4
+    assert list(b.handleInputRows((7,), iter([Row(model=0, boxes=2)]), None)) == [] and at.calls == 5
+    at, s = Store(), Q.Stale(10, False)
+    s.init(at)
+    claims = [Row(kind="claim", worker=f"w{k}", ms=k) for k in (5, 50, 20)]
+    assert list(s.handleInputRows((7,), iter(claims), None)) == [] and at.calls == 2 and at.timers == [60] and at.value == ("w50", 60)
+    assert list(s.handleInputRows((7,), iter([Row(kind="release", worker="w50", ms=51)]), None)) == [] and at.calls == 4 and at.timers == [] and at.value is None
+
+
 def test_retries_end(spark, tmp_path):
     schema = "image_id long, failed boolean"
     for _ in range(3):
