@@ -263,3 +263,80 @@ def test_quality_rules_stage_keeps_columns(spark):
     df = with_clashes(frame(spark, docs))
     out = quality_rules.keep_good(df, frame(spark, labels, "doc_id long, quality int, toxic int"))
     assert out.columns == df.columns and out.where("_quality = 'extra'").count() == out.count() > 100
+
+
+def test_quality_rules_learn_from_all_labelled_rows(spark):
+    """Leaves and threshold of 7,000 labelled rows, more than were once taken, by hand over each of them."""
+    docs, labels = [], []
+    for i in range(7000):
+        words = prose(i, 22 + i % 15).split()
+        docs.append((i, junk(i // 9, words) if i % 9 == 0 else " ".join(words), "en", "a", 0))
+        labels.append((i, int(i % 9 > 0), 0))
+    df, told = frame(spark, docs), frame(spark, labels, "doc_id long, quality int, toxic int")
+    forest = quality_rules.fitted(df, told)
+    judges = {r[0]: r[1] == 1 for r in df.selectExpr("doc_id", "xxhash64(doc_id) & 1").collect()}
+    judges = np.array([judges[i] for i in range(7000)])
+    both = [quality_rules.statistics(t.encode()) for _, t, *_ in docs]
+    x, good = np.array([f for _, f in both]), np.array([q == 1 for _, q, _ in labels])
+    passed = np.array([not (b[0] < 20 or 100 * b[4] > 30 * b[0]) for b, _ in both])
+
+    ends = Counter()
+    for row, usual in zip(x[~judges], good[~judges], strict=True):
+        for root in forest.roots:
+            at = root
+            while forest.feature[at] >= 0:
+                at = forest.left[at] + (row[forest.feature[at]] >= forest.cut[at])
+            ends[at, bool(usual)] += 1
+    n_good, n_rest = (good & ~judges).sum(), (~good & ~judges).sum()
+    leaves = np.nonzero(forest.feature < 0)[0]
+    assert quality_rules.tree_rows(n_good, n_rest) == (243, 13)
+    mass = [ends[at, True] * 243 / n_good + ends[at, False] * 13 / n_rest for at in leaves]
+    usual_path = [0.0, 1.0, *(2 * (np.log(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n for n in range(3, 257))]
+    assert np.allclose(forest.path[leaves], forest.depth[leaves] + np.interp(mass, range(1, 257), usual_path), rtol=1e-12)
+    assert sum(ends.values()) == len(forest.roots) * (~judges).sum()
+    at = judges & passed
+    assert forest.threshold == quality_rules.calibrate(forest.scores(x[at]), good[at]) < np.inf
+
+    # rows repeated, in other places, change nothing: one id of 400 rows among them
+    again = quality_rules.fitted(df.union(df.limit(50)).union(df.where("doc_id = 5").selectExpr("*", "explode(sequence(1, 400)) k").drop("k")).repartition(5), told.repartition(3))
+    for name in ("feature", "cut", "left", "path", "threshold"):
+        assert np.array_equal(getattr(again, name), getattr(forest, name)), name
+
+
+def test_draws_of_trees_are_of_all_rows(spark):
+    r = random.Random(6)
+    rows = [(r.randrange(-(2**63), 2**63), [float(i)] * len(quality_rules.FEATURES), i % 4 > 0) for i in range(5000)]
+    got = quality_rules.drawn_rows(spark.createDataFrame(rows, "key long, x array<double>, good boolean"), (1250, 3750), (13, 243), "good", trees=40)
+
+    def mixed(z):
+        z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+        z = (z ^ z >> 27) * 0x94D049BB133111EB % 2**64
+        return z ^ z >> 31
+
+    seeds = np.random.default_rng(quality_rules.SEED).integers(0, 2**64, 40, dtype=np.uint64)
+    drawn = set()
+    for seed, own in zip(seeds, got, strict=True):
+        ranked = sorted(rows, key=lambda row: mixed(row[0] % 2**64 ^ int(seed)))
+        want = [row[1][0] for row in ranked if row[2]][:243] + [row[1][0] for row in ranked if not row[2]][:13]
+        assert own[:, 0].tolist() == want
+        drawn.update(want)
+    assert len(drawn) > 3500  # each tree has other rows
+    few = quality_rules.drawn_rows(spark.createDataFrame(rows[:8], "key long, x array<double>, good boolean"), (2, 6), (0, 6), "good", trees=3)
+    assert [sorted(own[:, 0]) for own in few] == [[1, 2, 3, 5, 6, 7]] * 3
+
+
+@pytest.mark.parametrize("n, share, kinds", [(3000, 0.1, 10**6), (3000, 0.1, 40), (700, 1.0, 10**6), (50, 0.0, 10**6), (0, 0.5, 1), (2, 0.5, 3)])
+def test_threshold_in_the_cluster(spark, n, share, kinds):
+    r = np.random.default_rng(n)
+    scores, good = (r.integers(0, kinds, n) + 1) / (kinds + 1), r.random(n) >= share
+    stored = spark.createDataFrame(list(zip(good.tolist(), scores.view(np.int64).tolist(), strict=True)), "good boolean, bits long")
+    for rejects in (quality_rules.FALSE_REJECTS, 0.0, 0.2):
+        assert quality_rules.threshold(stored, rejects) == quality_rules.calibrate(scores, good, rejects)
+
+
+def test_quality_rules_of_one_kind_of_label(spark):
+    """Without good rows, and with good rows only, the base rules decide alone."""
+    docs, _ = labelled(120)
+    for q in (0, 1):
+        forest = quality_rules.fitted(frame(spark, docs), frame(spark, [(i, q, 0) for i in range(120)], "doc_id long, quality int, toxic int"))
+        assert forest.threshold == np.inf and len(forest.roots) == quality_rules.TREES
