@@ -177,13 +177,19 @@ def _(t):
 
 @query("ev_coco")
 def _(t):
-    """The scores of every model: a class of a model is a class of its own, and each model has the whole truth."""
+    """The protocol's summary of every model and area range, of each class and (cls null) on average of the classes; -1 where no box is held.
+
+    A class of a model is a class of its own, and each model has the whole truth.
+    """
     k = 1 << 20
     d = settled(t.detections.select("img", "model", (F.col("model") * k + F.col("cls")).alias("cls"), "cand", "score", *B.BOX))
     models = d.select("model").distinct()  # a registry: one row a model
     g = t.ground_truth.join(F.broadcast(models), F.lit(True)).withColumn("cls", F.col("model") * k + F.col("cls"))
-    s = M.coco_curve(*M.coco_counts(d, g)).withColumn("model", F.floor(F.col("cls") / k))
-    return s.groupBy("model", "area").agg(F.round(F.avg("ap"), 6).alias("ap"), F.round(F.avg(F.when(F.col("th") < 0.525, F.col("ap"))), 6).alias("ap50"), F.round(F.avg("ar"), 6).alias("ar"))
+    s = M.coco_results(d, g).withColumns({"model": F.floor(F.col("cls") / k), "cls": F.col("cls") % k})
+    at = lambda th: F.avg(F.when(F.abs(F.col("th") - th) < 0.025, F.col("ap")))
+    stats = {"ap": F.avg("ap"), "ap50": at(0.5), "ap75": at(0.75), **{f"ar_{most}": F.avg(f"ar_{most}") for most in M.COCO_RECALLS}}
+    sets = [["model", "area"], ["model", "area", "cls"]]
+    return s.groupingSets(sets, "model", "cls", "area").agg(*[F.coalesce(F.round(c, 6), F.lit(-1.0)).alias(name) for name, c in stats.items()])
 
 
 PAIRED = f"""ordered AS (SELECT *, row_number() OVER (PARTITION BY img ORDER BY score DESC, cand) AS i FROM detections WHERE model = 1),

@@ -293,6 +293,111 @@ def test_coco_counts_are_small(spark, monkeypatch, bucket):
     assert "windowspecdefinition" in plan and "unboundedfollowing" not in plan
 
 
+def slow_protocol(preds, truth, crowds, th, area, most, scale=640.0):
+    """The COCO protocol of one class by its own steps: images in order, ``most`` predictions of each, all put by score in a stable sort and counted one by one."""
+    lo, hi = M.COCO_AREAS[area]
+    size = lambda b: (b[2] - b[0]) * (b[3] - b[1]) * scale * scale
+    rows, total = [], 0
+    for img in sorted({p[0] for p in preds} | {g[0] for g in truth}):
+        gts = sorted(([g[2] in crowds or not lo <= size(g[3:]) <= hi, g[2] in crowds, g[3:], False] for g in truth if g[0] == img), key=lambda g: g[0])
+        total += sum(not g[0] for g in gts)
+        for p in sorted((p for p in preds if p[0] == img), key=lambda p: (-p[4], p[3]))[:most]:
+            best, m = min(th, 1 - 1e-10), None
+            for g in gts:
+                if g[3] and not g[1]:
+                    continue
+                if m is not None and not m[0] and g[0]:
+                    break
+                b, d = g[2], p[5:]
+                inter = max(0.0, min(b[2], d[2]) - max(b[0], d[0])) * max(0.0, min(b[3], d[3]) - max(b[1], d[1]))
+                own = (d[2] - d[0]) * (d[3] - d[1])
+                union = own if g[1] else own + (b[2] - b[0]) * (b[3] - b[1]) - inter
+                v = inter / union if union > 0 else 0.0
+                if v >= best:
+                    best, m = v, g
+            if m is not None:
+                m[3] = True
+            if not (m[0] if m is not None else not lo <= size(p[5:]) <= hi):
+                rows.append((p[4], m is not None))
+    if not total:
+        return None
+    hits, points = 0, []
+    for n, (_, tp) in enumerate(sorted(rows, key=lambda r: -r[0]), 1):
+        hits += tp
+        points.append((hits / total, hits / n))
+    return sum(max((prec for rec, prec in points if rec >= k / 100 - 1e-11), default=0.0) for k in range(101)) / 101, hits / total
+
+
+def crowded(seed, images, n_truth, n_preds):
+    """Boxes of few sizes about the limits of the area ranges, few scores, crowd regions, and images of more than ten predictions of a class."""
+    r = random.Random(seed)
+
+    def near():
+        x, y = r.randint(0, 3) / 16, r.randint(0, 3) / 16
+        return [x, y, x + r.choice([2, 3, 8, 12]) / 64, y + r.choice([2, 3, 8, 12]) / 64]
+
+    truth = [(r.randint(0, images), k % 2, k, *near()) for k in range(n_truth)]
+    preds = [(r.randint(0, images + 1), k % 3, 0, k, r.randint(0, 3) / 4, *near()) for k in range(n_preds)]
+    return preds, truth, {k for k in range(n_truth) if r.random() < 0.15}
+
+
+@pytest.mark.parametrize("bucket, chunk", [(1, 7), (50_000, 10_000)])
+@pytest.mark.parametrize("images, n_truth, n_preds", [(3, 120, 700), (40, 120, 600)])
+def test_coco_results_by_the_protocol(spark, monkeypatch, bucket, chunk, images, n_truth, n_preds):
+    """Recall at 1, 10 and 100 predictions of an image, equal scores one by one, crowd regions, ranges without boxes."""
+    monkeypatch.setattr(M, "BUCKET", bucket)
+    monkeypatch.setattr(M, "CHUNK", chunk)
+    preds, truth, crowds = crowded(images, images, n_truth, n_preds)
+    g = spark.createDataFrame([(*t, t[2] in crowds) for t in truth], TRUTH + ", crowd boolean")
+    got = {(x.cls, x.area, round(x.th, 2)): x for x in M.coco_results(boxes(spark, preds), g).collect()}
+    assert len(got) == 2 * 40
+    some = set()
+    for (cls, area, th), x in got.items():
+        own = [[b for b in side if b[1] == cls] for side in (preds, truth)]
+        for most in (1, 10, 100):
+            want = slow_protocol(*own, crowds, th, area, most)
+            assert (x[f"ar_{most}"] is None) == (want is None)
+            assert want is None or abs(x[f"ar_{most}"] - want[1]) < 1e-9, (cls, area, th, most)
+        assert (x.ap is None) == (want is None) and (want is None or abs(x.ap - want[0]) < 1e-9), (cls, area, th)
+        some.add(want is not None and x.ar_1 < x.ar_10)
+    assert True in some
+
+
+def test_coco_equal_scores_stand_by_image(spark):
+    """A right and a wrong prediction of one score: the image that comes first decides."""
+    truth = [(k, 0, k, 0.0, 0.0, 0.5, 0.5) for k in (1, 2)]
+    right, wrong = (0.0, 0.0, 0.5, 0.5), (0.5, 0.5, 1.0, 1.0)
+    for first, ap in ((right, 51 / 101), (wrong, 51 / 101 / 2)):
+        preds = [(1, 0, 0, 9, 0.5, *first), (2, 0, 0, 1, 0.5, *(wrong if first == right else right))]
+        s = M.coco_results(boxes(spark, preds), spark.createDataFrame(truth, TRUTH)).where("area = 'all' and th = 0.5").first()
+        assert abs(s.ap - ap) < 1e-9 and s.ar_1 == s.ar_100 == 0.5
+
+
+def test_coco_query_has_the_whole_summary(spark, sf_dir):
+    """Of every model: means of the classes (cls null) and each class, at 0.5 too, recalls at 1, 10 and 100; -1 where no box is held."""
+    from gridlens import registry
+    from gridlens.plans.views import Tables
+
+    t = Tables(spark, sf_dir)
+    truth = [(g.img, g.cls, g.gt, g.x1, g.y1, g.x2, g.y2) for g in t.ground_truth.collect()]
+    preds = [(d.img, d.cls, 0, d.cand, d.score, d.x1, d.y1, d.x2, d.y2) for d in t.detections.where("model = 1").collect()]
+    rows = registry.queries()["ev_coco"](spark, sf_dir).collect()
+    got = {(x.cls, x.area): x for x in rows if x.model == 1}
+    classes = {g[1] for g in truth}
+    assert got.keys() == {(c, a) for c in {None, *classes} for a in M.COCO_AREAS} and len(rows) == 4 * len(got)
+    assert {x.ap for x in rows if x.area == "small"} == {-1.0}
+    want = {}
+    for cls in classes:
+        own = [[b for b in side if b[1] == cls] for side in (preds, truth)]
+        each = {th: slow_protocol(*own, set(), th, "all", 100)[0] for th in M.COCO_IOU}
+        at = [[slow_protocol(*own, set(), th, "all", most)[1] for th in M.COCO_IOU] for most in (1, 10, 100)]
+        want[cls] = [sum(each.values()) / 10, each[M.COCO_IOU[0]], each[M.COCO_IOU[5]], *[sum(a) / 10 for a in at]]
+    want[None] = [sum(v) / len(classes) for v in zip(*want.values(), strict=True)]
+    for cls, v in want.items():
+        x = got[cls, "all"]
+        assert all(abs(a - b) < 1.1e-6 for a, b in zip((x.ap, x.ap50, x.ap75, x.ar_1, x.ar_10, x.ar_100), v, strict=True)), cls
+
+
 def test_curve_of_one_score(spark):
     """All scores equal: places go by id, through all ranges."""
     truth = [(k, 0, k, 0.0, 0.0, 0.5, 0.5) for k in range(200)]
